@@ -24,7 +24,7 @@ def durable(df: DataFrame) -> DataFrame:
 
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of df: the size of its files for a scan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def bucket_bits(df: DataFrame, bytes_each: int, least: int = 3, most: int = 16) -> int:

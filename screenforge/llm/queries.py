@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, ngram_join, substring_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,11 +17,21 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(_documents(spark, sf_dir))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_words(_documents(spark, sf_dir))
+
+
 #: A-Z lower-cased and nothing else.
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op7_substring_dedup": op7_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -30,4 +40,21 @@ ORACLE_SQL: dict[str, str] = {
         c AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
         FROM n JOIN c USING (t)""",
+    "op5_ngram_jaccard_join": rf"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS g FROM w),
+        c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+        e AS (SELECT a, b FROM p JOIN c ca ON ca.doc_id = a JOIN c cb ON cb.doc_id = b WHERE 100 * i >= 80 * (ca.n + cb.n - i)),
+        r(node, m) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.node)
+        SELECT r.node AS doc_id, coalesce(max(c.n), 0) AS n_shingles, min(r.m) AS component_id
+        FROM r LEFT JOIN c ON c.doc_id = r.node GROUP BY r.node""",
+    "op7_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        g AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM w)),
+        late AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM g) WHERE k > 1),
+        gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 20)))) AS x FROM late GROUP BY doc_id),
+        k AS (SELECT w.doc_id, w, list_filter(w, lambda v, i: NOT coalesce(list_contains(x, i), false)) AS kept FROM w LEFT JOIN gone USING (doc_id))
+        SELECT doc_id, len(w) AS n_words, len(w) - len(kept) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k""",
 }

@@ -241,27 +241,44 @@ def _candidates(percent: int, stars: bool):
         h, n, pos, node, comp, parts = h[order], n[order], pos[order].astype(np.int64), node[order], comp[order], parts[order]
         edges = np.append(np.flatnonzero(np.r_[True, h[1:] != h[:-1]]), len(h))
         found: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = gathered = 0
 
-        def keep(i: np.ndarray, j: np.ndarray) -> None:
-            if len(i) and (ok := passing(i, j, n, pos, parts)).any():
-                a, b = node[i[ok]], node[j[ok]]
-                found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
-                if sum(map(len, found)) > 500_000:
-                    found[:] = [np.unique(np.concatenate(found), axis=0)]
-
-        for s, e in zip(edges[:-1], edges[1:], strict=True):
-            upto = np.searchsorted(n[s:e], 100 * n[s:e] // percent, side="right") + s
+        def settle() -> None:
+            nonlocal waiting, gathered
+            i, j = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            waiting = 0
+            ok = passing(i, j, n, pos, parts)
+            a, b = node[i[ok]], node[j[ok]]
+            found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0))
+            gathered += len(found[-1])
+            if gathered > 1_000_000:
+                found[:] = [np.unique(np.concatenate(found), axis=0)]
+                gathered = len(found[0])
+
+        several = np.minimum.reduceat(comp, edges[:-1]) != np.maximum.reduceat(comp, edges[:-1]) if len(h) else np.zeros(0, bool)
+        for s, e in zip(edges[:-1][several].tolist(), edges[1:][several].tolist(), strict=True):
+            upto = (np.searchsorted(n[s:e], 100 * n[s:e] // percent, side="right") + s).tolist()
             if stars:
                 lead = s
                 while lead < e:
-                    stop = int(upto[lead - s])
-                    keep(np.full(stop - lead - 1, lead), np.arange(lead + 1, stop))
+                    stop = upto[lead - s]
+                    if stop > lead + 1:
+                        held.append((np.full(stop - lead - 1, lead), np.arange(lead + 1, stop)))
+                        waiting += stop - lead - 1
                     lead = max(stop, lead + 1)
-            elif (comp[s:e] != comp[s]).any():
-                for i in range(s, e):
+            else:
+                for i in range(s, e - 1):
                     j = np.arange(i + 1, upto[i - s])
                     j = j[comp[j] != comp[i]]
-                    keep(np.full(len(j), i), j)
+                    if len(j):
+                        held.append((np.full(len(j), i), j))
+                        waiting += len(j)
+            if waiting > 200_000:
+                settle()
+        if held:
+            settle()
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]}, _PAIRS)
 

@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, ngram_join, substring_dedup
+from . import exact_dedup, html_extract, language_id, ngram_join, packing, substring_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file is; its folder is a setting, as tasks read it too."""
+    return os.path.join(os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers"), name)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json")).drop("ids")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir))
 
@@ -25,13 +35,24 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_words(_documents(spark, sf_dir))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(_documents(spark, sf_dir))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 #: A-Z lower-cased and nothing else.
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
+    "op9_language_id": op9_language_id,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -36,7 +36,7 @@ HOT_FROM = 8
 HOT_MOST = 1 << 20
 #: Partitions of the hash space that the suffix filter counts.
 SUFFIX_PARTS = 128
-_FLUSH = 2_000_000
+_FLUSH = 1_000_000
 
 _FREQ = pa.schema([("bucket", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary())])
 _PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("d", pa.binary()), ("ids", pa.list_(pa.int64()))])
@@ -312,7 +312,7 @@ def verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFra
 
 def similar(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per document; a component's id is its smallest doc_id."""
-    bits = bucket_bits(docs, 32 << 20)
+    bits = bucket_bits(docs, 16 << 20)
     rows = durable(prefix_rows(docs, n, percent, bits))
     every = rows.where("kind = 1").select("doc_id", "key", "n", "parts")
     nodes = every.where("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("node"), F.first("parts").alias("parts"))

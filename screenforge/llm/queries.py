@@ -7,7 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, html_extract, language_id, ngram_join, packing, substring_dedup
+from . import exact_dedup, html_extract, language_id, line_dedup, ngram_join, order_minhash, packing, sentence_pieces, substring_dedup, token_counts
+
+
+#: The pattern that byte_bpe_50k cuts texts by.
+BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +23,14 @@ def tokenizer_path(name: str) -> str:
     return os.path.join(os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers"), name)
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.edited_counts(_documents(spark, sf_dir), token_counts.sample_edits(), tokenizer_path("byte_bpe_50k.tiktoken"), BYTE_PATTERN)
+
+
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(_documents(spark, sf_dir))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json")).drop("ids")
 
@@ -31,10 +43,18 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar(_documents(spark, sf_dir))
 
 
+def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.pieces(_documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"), with_ids=False).drop("ids")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_words(_documents(spark, sf_dir))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_documents(spark, sf_dir))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(_documents(spark, sf_dir))
 
@@ -47,10 +67,14 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_order_minhash": op2_order_minhash,
     "op3_packing": op3_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_sentence_pieces": op6_sentence_pieces,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_html_extraction": op10_html_extraction,
 }
@@ -78,4 +102,16 @@ ORACLE_SQL: dict[str, str] = {
         gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 20)))) AS x FROM late GROUP BY doc_id),
         k AS (SELECT w.doc_id, w, list_filter(w, lambda v, i: NOT coalesce(list_contains(x, i), false)) AS kept FROM w LEFT JOIN gone USING (doc_id))
         SELECT doc_id, len(w) AS n_words, len(w) - len(kept) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k""",
+    "op8_line_dedup": r"""
+        WITH RECURSIVE l AS (SELECT doc_id, i - 1 AS no, x[i] AS line FROM (SELECT doc_id, x, unnest(range(1, len(x) + 1)) AS i
+            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents))),
+        o AS (SELECT * FROM l WHERE regexp_matches(line, '\S')),
+        d AS (SELECT line, length(line) AS n, min((doc_id, no)) AS f FROM o GROUP BY line),
+        e AS MATERIALIZED (SELECT a.line AS a, b.line AS b FROM d a JOIN d b ON b.n BETWEEN a.n - 2 AND a.n + 2 AND a.line <> b.line
+            WHERE a.n >= 20 AND b.n >= 20 AND levenshtein(a.line, b.line) <= 2),
+        r(line, m) AS (SELECT line, f FROM d UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.line),
+        c AS (SELECT line, min(m) AS m FROM r GROUP BY line),
+        k AS (SELECT l.doc_id, l.no, l.line, c.m IS NOT NULL AS counted, c.m IS NULL OR c.m = (l.doc_id, l.no) AS stays FROM l LEFT JOIN c USING (line))
+        SELECT doc_id, count(*) FILTER (counted) AS n_lines, count(*) FILTER (NOT stays) AS n_removed,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (stays), '')) AS kept_sha256 FROM k GROUP BY doc_id""",
 }

@@ -36,7 +36,7 @@ from .textscan import column_bytes, gram_hashes, slices, word_hashes, word_spans
 WINDOW = 20
 PHRASE = 8
 _REACH = WINDOW - PHRASE + 1  # phrases in a window
-_FLUSH = 1_500_000
+_FLUSH = 500_000
 
 _ANCHORS = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("h", pa.binary()), ("row", pa.binary()), ("pos", pa.binary()), ("many", pa.binary()), ("ids", pa.list_(pa.int64()))])
 _ANCHORS_SQL = "bucket int, kind byte, h binary, row binary, pos binary, many binary, ids array<long>"
@@ -46,7 +46,7 @@ _CONTEXTS = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("start",
 
 def _anchor_of_windows(column: pa.Array) -> Iterator[tuple]:
     """For slices of the column: (row of its start, bytes, word starts, word ends, first words, phrase hashes, window starts, anchors)."""
-    for a, b in slices(column, 4 << 20):
+    for a, b in slices(column, 1 << 20):
         raw, offsets = column_bytes(column.slice(a, b - a))
         starts, ends, first = word_spans(raw, offsets)
         size = len(starts) - WINDOW + 1
@@ -201,40 +201,36 @@ def _locate(table: pa.Table) -> pa.Table:
     """The starts, by document, of windows that are not the first of their kind; one shard."""
     passed = table.filter(table.column("at").is_valid())
     table = table.filter(table.column("words").is_valid())
-    number: dict[bytes, int] = {}
     index: dict[bytes, int] = {}
-    held: list[tuple] = []  # distinct contexts as word numbers
-    which = np.empty(table.num_rows, np.int64)
-    for k, words in enumerate(table.column("words").to_pylist()):
-        context = words.split()
-        key = b" ".join(context)
-        which[k] = at = index.setdefault(key, len(held))
-        if at == len(held):
-            held.append(tuple([number.setdefault(w, len(number)) for w in context]))
-    times = np.bincount(which, minlength=len(held)).tolist()
-    seen: dict[tuple, int] = {}
-    for context, n in zip(held, times, strict=True):
-        for i in range(len(context) - WINDOW + 1):
-            window = context[i : i + WINDOW]
-            seen[window] = seen.get(window, 0) + n
+    which = np.array([index.setdefault(words, len(index)) for words in table.column("words").to_pylist()], np.int64)
+    times = np.bincount(which, minlength=len(index))
+    # Windows of distinct contexts, by hash; those that come twice or more are to be confirmed word by word.
+    raw, offsets = column_bytes(pa.array(list(index), pa.binary()))
+    starts, ends, first = word_spans(raw, offsets)
+    hashes = word_hashes(raw, starts, ends, False)
+    numbers = np.unique(hashes, return_inverse=True)[1]
+    size = max(0, len(starts) - WINDOW + 1)
+    row = np.repeat(np.arange(len(index)), np.diff(first))
+    windows = np.flatnonzero(row[:size] == row[WINDOW - 1 : WINDOW - 1 + size])
+    _, lead, kind = np.unique(gram_hashes(hashes, WINDOW)[windows], return_index=True, return_inverse=True)
+    again = np.bincount(kind, times[row[windows]], minlength=len(lead)) > 1
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for k, (window, n) in enumerate(seen.items()):
-        if n > 1:
-            automaton.add_word(window, k)
-    del seen
+    for k, at in zip(np.flatnonzero(again).tolist(), windows[lead[again]].tolist(), strict=True):
+        automaton.add_word(tuple(numbers[at : at + WINDOW].tolist()), k)
+    streamed = np.unique(row[windows[again[kind]]]).tolist()
     doc_ids, ats = passed.column("doc_id").to_pylist(), passed.column("at").to_pylist()
     if len(automaton):
         automaton.make_automaton()
         pattern, context_of, offset = [], [], []
-        for k, context in enumerate(held):
-            for end, value in automaton.iter(context):
+        for k in streamed:
+            for end, value in automaton.iter(tuple(numbers[first[k] : first[k + 1]].tolist())):
                 pattern.append(value)
                 context_of.append(k)
                 offset.append(end - WINDOW + 1)
         pattern, context_of, offset = (np.array(x, np.int64) for x in (pattern, context_of, offset))
         order = np.argsort(which, kind="stable")
-        begin = np.searchsorted(which[order], np.arange(len(held)))
-        count = np.array(times)[context_of]
+        begin = np.searchsorted(which[order], np.arange(len(index)))
+        count = times[context_of]
         row = order[np.repeat(begin[context_of] - np.cumsum(count) + count, count) + np.arange(count.sum())]
         doc = table.column("doc_id").to_numpy()[row]
         start = table.column("start").to_numpy()[row] + np.repeat(offset, count)
@@ -266,7 +262,7 @@ def _covered(size: int, blobs: list[bytes] | None, whole: bool | None) -> np.nda
 def removals(docs: DataFrame) -> DataFrame:
     """doc_id, at (lists of packed window starts), whole (all windows): documents of which something is removed."""
     bits = bucket_bits(docs, 16 << 20)
-    shards = 1 << bucket_bits(docs, 8 << 20)
+    shards = 1 << bucket_bits(docs, 2 << 20, most=26)
     text = whole_text(docs.select("doc_id", "text")).where("doc_id is not null")
     digest = text.select("doc_id", F.md5("text").alias("digest"), F.length("text").alias("size"))
     leads = digest.groupBy("digest", "size").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n")).where("n > 1")

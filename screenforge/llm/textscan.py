@@ -75,19 +75,27 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
-    """64-bit hash of each word's bytes, the same wherever the word stands."""
-    if starts.size == 0:
-        return np.zeros(0, np.uint64)
-    up, down = _power_tables(raw.size + 1)
+def prefix_sums(raw: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Running sums from which span_hashes gets the hash of any span of the bytes."""
+    up, _ = _power_tables(raw.size + 1)
     total = np.empty(raw.size + 1, np.uint64)
     total[0] = 0
     np.multiply((_WEIGHT[_LOWER] if lower else _WEIGHT)[raw], up[: raw.size], out=total[1:])
-    np.cumsum(total, out=total)
+    return np.cumsum(total, out=total)
+
+
+def span_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span's bytes, the same wherever the span stands."""
+    _, down = _power_tables(total.size)
     value = (total[ends] - total[starts]) * down[starts]
     return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
+    """span_hashes of words."""
+    return span_hashes(prefix_sums(raw, lower), starts, ends) if starts.size else np.zeros(0, np.uint64)
+
+
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n consecutive words; the caller drops runs that cross a row's end."""
     size = words.size - n + 1
@@ -99,7 +107,7 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return value
 
 
-def slices(column: pa.Array, most_bytes: int = 8 << 20):
+def slices(column: pa.Array, most_bytes: int = 2 << 20):
     """Cuts a column into row ranges of about most_bytes each (one row at least), to bound memory."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)

@@ -7,6 +7,8 @@ bounded cache doesn't hold reach the tokenizer.
 
 from __future__ import annotations
 
+import re
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,12 +20,12 @@ _CACHE_MOST = 400_000
 
 
 class ChunkCache:
-    """Values (short integer arrays) of chunks, computed in groups by encode; at most _CACHE_MOST are kept."""
+    """Ids of chunks (packed 32-bit numbers), computed in groups by encode; at most _CACHE_MOST are kept."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list]) -> None:
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]]) -> None:
         self.encode, self.held = encode, {}
 
-    def values(self, chunks: list[bytes]) -> list:
+    def values(self, chunks: list[bytes]) -> list[bytes]:
         if len(self.held) > _CACHE_MOST:
             self.held.clear()
         missing = [c for c in chunks if c not in self.held]
@@ -44,8 +46,8 @@ def encoded(column: pa.Array, cache: ChunkCache, spans=word_spans) -> Iterator[t
         _, where, inverse = np.unique(word_hashes(raw, starts, ends, False), return_index=True, return_inverse=True)
         whole = raw.tobytes()
         values = cache.values([whole[x:y] for x, y in zip(starts[where].tolist(), ends[where].tolist(), strict=True)])
-        sizes = np.fromiter(map(len, values), np.int64, len(values))
-        flat = np.concatenate(values) if sizes.sum() else np.zeros(0, np.int64)
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        flat = np.frombuffer(b"".join(values), "<i4").astype(np.int64)
         begin = np.cumsum(sizes) - sizes
         count = sizes[inverse]
         upto = np.cumsum(count)
@@ -53,21 +55,53 @@ def encoded(column: pa.Array, cache: ChunkCache, spans=word_spans) -> Iterator[t
         yield a, out, np.r_[0, upto][first]
 
 
-def huggingface_encoder(path: str) -> Callable[[list[bytes]], list[np.ndarray]]:
-    """Encodes chunks without white space by a tokenizer file that drops white space."""
+#: Chunks of plain Latin letters and final punctuation.  Their letters lower-case one by one, are composed already, and
+#: part from the punctuation before anything else; byte-level models write them by this table.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+_BYTE_LETTERS = {b: chr(b) for b in (*range(33, 127), *range(161, 173), *range(174, 256))}
+_BYTE_LETTERS |= {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in _BYTE_LETTERS)}
+_LETTERS = {c: "".join(_BYTE_LETTERS[b] for b in chr(c).encode()) for c in range(128, 256)}
+
+
+def huggingface_encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
+    """Encodes chunks without white space by a file of a lower-casing, byte-level BPE that drops white space.
+
+    Plain chunks go to the model part by part, each part once while a bounded cache holds it; all others take the
+    whole way through the tokenizer.
+    """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-
-    def encode(chunks: list[bytes]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
-        for k in range(0, len(chunks), 4000):
-            words = [c.decode() for c in chunks[k : k + 4000]]
-            found = tokenizer.encode(" ".join(words), add_special_tokens=False)
-            ids = np.array(found.ids, np.int64)
-            edges = np.cumsum([0, *(len(w) + 1 for w in words)])
+    model, parts = tokenizer.model, {}
+
+    def part(text: str) -> bytes:
+        found = parts.get(text)
+        if found is None:
+            if len(parts) >= _CACHE_MOST:
+                parts.clear()
+            written = text if text.isascii() else text.translate(_LETTERS)
+            found = parts[text] = struct.pack(f"<{len(ids := [t.id for t in model.tokenize(written)])}i", *ids)
+        return found
+
+    def encode(chunks: list[bytes]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(chunks)
+        others = []
+        for k, chunk in enumerate(chunks):
+            text = chunk.decode()
+            plain = _PLAIN.fullmatch(text)
+            if plain:
+                letters, end = plain.groups()
+                out[k] = part(letters.lower()) + part(end) if end else part(letters.lower())
+            else:
+                others.append((k, text))
+        for s in range(0, len(others), 500):
+            some = others[s : s + 500]
+            found = tokenizer.encode(" ".join(text for _, text in some), add_special_tokens=False)
+            ids = np.array(found.ids, "<i4")
+            edges = np.cumsum([0, *(len(text) + 1 for _, text in some)])
             at = np.fromiter((o[0] for o in found.offsets), np.int64, len(ids))
-            out += np.split(ids, np.searchsorted(at, edges[1:-1]))
+            for (k, _), one in zip(some, np.split(ids, np.searchsorted(at, edges[1:-1])), strict=True):
+                out[k] = one.tobytes()
         return out
 
     return encode

@@ -18,3 +18,9 @@ def importable(spark: SparkSession) -> SparkSession:
     if _ROOT not in places:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*places, _ROOT])
     return spark
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Of keys that repeat within a JSON object the last counts."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return importable(spark)

@@ -43,7 +43,8 @@ def detected(df: DataFrame, config: ScreenConfig, detector, text: str = "text")
     df = df.withColumns({"__short": F.when(~long_text, F.col(text)), "__chunks": F.when(long_text, chunking.chunks(text, config))})
     df = df.withColumns({"__one": detector.one("__short"), "__many": detector.many("__chunks")})
     found = F.when(F.col("__chunks").isNotNull(), F.expr(vote_sql("__many", config))).otherwise(F.expr(single_sql("__one", config)))
-    return df.withColumn("found", F.when(F.col(text).isNotNull(), found)).drop("__short", "__chunks", "__one", "__many")
+    # Exploding one element keeps the optimizer from working the decision out anew wherever one of its fields is used.
+    return df.select("*", F.explode(F.array(F.when(F.col(text).isNotNull(), found))).alias("found")).drop("__short", "__chunks", "__one", "__many")
 
 
 def outcomes(rows: DataFrame, config: ScreenConfig, detector) -> DataFrame:

@@ -1,8 +1,60 @@
-"""Corpus pipeline: stages over documents, each written as Parquet and read again by the next."""
+"""Corpus pipeline: documents go through language ID, exact dedup, n-gram Jaccard join, substring dedup and packing.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and gives a DataFrame that is written as Parquet and read again as the next
+one's docs.  All but the last keep the columns of documents.
+"""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from screenforge.llm import exact_dedup, language_id, ngram_join, packing, substring_dedup
+from screenforge.llm.queries import tokenizer_path
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language."""
+    return language_id.drop_unknown(docs)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text."""
+    return exact_dedup.drop_exact_duplicates(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that five-word shingles link at a similarity of 0.8 or more."""
+    return ngram_join.drop_near_duplicates(docs)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that start earlier elsewhere."""
+    return substring_dedup.drop_repeats(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 4096 tokens, mixed by source."""
+    return packing.packed(docs, tokenizer_path("word_bpe_49k.json")).drop("ids")
+
+
+STAGES = [("language ID", languages), ("exact dedup", exact), ("n-gram Jaccard join", near), ("substring dedup", repeats), ("packing", pack)]
+
+#: Language ID has no SQL; the pipeline is tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; what lies between them is written to the shared folder."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
+    folder = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            place = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{k - 1}")
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return docs

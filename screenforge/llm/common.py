@@ -22,14 +22,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of df: the size of its files for a scan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame, text: str = "text") -> int:
+    """Catalyst's size estimate of df, which is the size of its files for a scan; where it has none, half its text's bytes."""
+    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if known < 1 << 60:
+        return known
+    return int(df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]) // 2
 
 
 def bucket_bits(df: DataFrame, bytes_each: int, least: int = 3, most: int = 16) -> int:
     """Number of hash bits so that a share of df of about bytes_each falls to each bucket."""
-    want = max(1, min(input_bytes(df), 1 << 50) // bytes_each)
+    want = max(1, input_bytes(df) // bytes_each)
     return int(min(max(least, int(want).bit_length()), most))
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom, bucket_bits, components, durable, only_keys, record, whole_text
+from .common import bloom, bucket_bits, components, durable, only_keys, record, split_by_keys, whole_text
 from .textscan import shingle_sets
 
 #: An n-gram in at least so many documents may enter the table of frequent ones.
@@ -334,3 +334,11 @@ def similar(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """docs with one document, the one with the smallest doc_id, of each component; rows without doc_id stay."""
+    gone = durable(similar(docs, n, percent).where("doc_id <> component_id").select("doc_id").distinct())
+    maybe, sure = split_by_keys(docs, "doc_id", bloom(gone, "doc_id"))
+    out = maybe.join(gone, "doc_id", "left_anti")
+    return out if sure is None else out.unionByName(sure)

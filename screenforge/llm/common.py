@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import os
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_LIBC = ctypes.CDLL("libc.so.6") if sys.platform == "linux" and ctypes.util.find_library("c") else None
+
 
 def durable(df: DataFrame) -> DataFrame:
     """Writes df to the cluster's shared checkpoint folder and cuts its lineage; Spark removes the files when unused."""
@@ -41,6 +46,13 @@ def whole_text(df: DataFrame, column: str = "text") -> DataFrame:
     return df.withColumn(column, F.coalesce(F.make_valid_utf8(F.col(column)), F.lit("")))
 
 
+def tidy() -> None:
+    """Hands memory that a Python worker no longer uses back to the system; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def batches(function: Callable[[pa.RecordBatch], Iterator[dict] | dict | None], schema: pa.Schema):
     """A mapInArrow function from one that turns a batch into column dictionaries."""
 
@@ -131,6 +143,7 @@ def _filtered(df: DataFrame, column: str, field: np.ndarray, wanted: bool) -> Da
             mask = mask == wanted
             if mask.any():
                 yield batch.filter(pa.array(mask))
+            tidy()
 
     return df.mapInArrow(keep, df.schema)
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom, bucket_bits, components, durable, only_keys, record, split_by_keys, whole_text
+from .common import bloom, bucket_bits, components, durable, only_keys, record, split_by_keys, tidy, whole_text
 from .textscan import shingle_sets
 
 #: An n-gram in at least so many documents may enter the table of frequent ones.
@@ -36,7 +36,7 @@ HOT_FROM = 8
 HOT_MOST = 1 << 20
 #: Partitions of the hash space that the suffix filter counts.
 SUFFIX_PARTS = 128
-_FLUSH = 1_000_000
+_FLUSH = 500_000
 
 _FREQ = pa.schema([("bucket", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary())])
 _PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("d", pa.binary()), ("ids", pa.list_(pa.int64()))])
@@ -90,8 +90,10 @@ def frequent(docs: DataFrame, n: int, bits: int) -> tuple[np.ndarray, np.ndarray
                 if size >= _FLUSH:
                     yield flush()
                     size = 0
+            tidy()
         if held:
             yield flush()
+        tidy()
 
     def total(table: pa.Table) -> pa.Table:
         ids = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table.column("ids")])
@@ -102,6 +104,8 @@ def frequent(docs: DataFrame, n: int, bits: int) -> tuple[np.ndarray, np.ndarray
         sums = np.add.reduceat(counts, starts)
         hot = sums >= HOT_FROM
         bucket = table.column("bucket")[0].as_py()
+        del order, counts
+        tidy()
         return pa.table({"id": ids[starts][hot].astype(np.int64) | (bucket << 32), "df": sums[hot]})
 
     counts = _text_only(docs).mapInArrow(count, "bucket int, ids binary, counts binary").groupBy("bucket").applyInArrow(total, "id long, df long")
@@ -174,8 +178,10 @@ def prefix_rows(docs: DataFrame, n: int, percent: int, bits: int) -> DataFrame:
                 if entries >= _FLUSH or len(keys) >= 50_000:
                     yield flush()
                     entries = 0
+            tidy()
         if keys:
             yield flush()
+        tidy()
 
     def lists(table: pa.Table) -> pa.Table:
         out = []
@@ -213,6 +219,7 @@ def prefix_rows(docs: DataFrame, n: int, percent: int, bits: int) -> DataFrame:
                     _ROWS,
                 )
             )
+        tidy()
         return pa.Table.from_batches(out, _ROWS)
 
     packed = _text_only(docs).mapInArrow(emit, "bucket int, kind byte, a binary, b binary, c binary, d binary, ids array<long>")
@@ -293,6 +300,8 @@ def verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFra
         for batch in stream:
             found = [s.tobytes() for s in shingle_sets(batch.column(1), n)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "hashes"])
+            del found
+            tidy()
 
     def check(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:

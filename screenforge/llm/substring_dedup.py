@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom, bucket_bits, durable, only_keys, record, split_by_keys, whole_text
+from .common import bloom, bucket_bits, durable, only_keys, record, split_by_keys, tidy, whole_text
 from .textscan import column_bytes, gram_hashes, slices, word_hashes, word_spans
 
 WINDOW = 20
@@ -121,8 +121,10 @@ def recurring_anchors(docs: DataFrame, bits: int) -> DataFrame:
             if count >= _FLUSH:
                 yield flush()
                 count = seen = 0
+            tidy()
         if count:
             yield flush()
+        tidy()
 
     def owner(table: pa.Table) -> pa.Table:
         blob = lambda row, name, kind: np.frombuffer(table.column(name)[row].as_buffer(), kind)
@@ -144,6 +146,8 @@ def recurring_anchors(docs: DataFrame, bits: int) -> DataFrame:
             known.append(np.concatenate(docs_)[again])
             known_at.append(np.concatenate(places)[again])
         found = list(_group(np.concatenate(known), np.concatenate(known_at)))
+        hs.clear(), docs_.clear(), places.clear(), many.clear(), known.clear(), known_at.clear()
+        tidy()
         return pa.table({"doc_id": pa.array([x[0] for x in found], pa.int64()), "at": pa.array([x[1].astype("<u4").tobytes() for x in found], pa.binary())}, _AT)
 
     return docs.mapInArrow(emit, _ANCHORS_SQL).groupBy("bucket").applyInArrow(owner, "doc_id long, at binary")
@@ -193,6 +197,9 @@ def _contexts(shards: int):
                     {"shard": [x[0] % shards for x in found], "doc_id": [x[0] for x in found], "start": pa.nulls(len(found), pa.int64()), "words": pa.nulls(len(found), pa.binary()), "at": [x[1].astype("<u4").tobytes() for x in found]},
                     _CONTEXTS,
                 )
+                del found
+            del first_of, late_doc, late_at
+            tidy()
 
     return run
 
@@ -243,6 +250,9 @@ def _locate(table: pa.Table) -> pa.Table:
         for key, values in _group(doc[late], start[late]):
             doc_ids.append(key)
             ats.append(values.astype("<u4").tobytes())
+        del pattern, doc, start, order, row, count, late, lead
+    del automaton, index, raw, hashes, numbers, kind
+    tidy()
     return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "at": pa.array(ats, pa.binary())}, _AT)
 
 
@@ -306,6 +316,7 @@ def repeated_words(docs: DataFrame) -> DataFrame:
                 out["n_removed"].append(size - len(words))
                 out["kept_sha256"].append(hashlib.sha256(b" ".join(words)).hexdigest())
             yield record(out, schema)
+            tidy()
 
     return _joined(whole_text(docs.select("doc_id", "text")), finish, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
@@ -338,6 +349,8 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
             arrays[place] = pa.array(texts, batch.schema.field(place).type)
             kept = pa.RecordBatch.from_arrays(arrays, schema=pa.schema([batch.schema.field(k) for k in range(len(columns))]))
             yield kept.filter(kept.column(place).is_valid())
+            del texts, arrays, kept
+            tidy()
 
     out = _joined(whole_text(docs), cut, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else out

@@ -137,11 +137,11 @@ def _has_letter(text: str) -> bool:
     return any(c.isalpha() for c in text)
 
 
-def predicted(docs: DataFrame, trees: Trees) -> DataFrame:
-    """docs with lang_pred, score and bits_per_byte (of the language chosen) added at the end."""
+def predicted(docs: DataFrame, trees: Trees, prefix: str = "") -> DataFrame:
+    """docs with lang_pred, score and bits_per_byte (of the language chosen) added at the end, under a prefix if names would clash."""
     shared = docs.sparkSession.sparkContext.broadcast(trees)
     columns, place = docs.columns, docs.columns.index("text")
-    added = [pa.field("lang_pred", pa.string()), pa.field("score", pa.float64()), pa.field("bits_per_byte", pa.float64())]
+    added = [pa.field(f"{prefix}lang_pred", pa.string()), pa.field(f"{prefix}score", pa.float64()), pa.field(f"{prefix}bits_per_byte", pa.float64())]
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
@@ -170,7 +170,7 @@ def predicted(docs: DataFrame, trees: Trees) -> DataFrame:
 
     schema = docs.schema
     for name, kind in (("lang_pred", "string"), ("score", "double"), ("bits_per_byte", "double")):
-        schema = type(schema)(list(schema.fields)).add(name, kind)
+        schema = type(schema)(list(schema.fields)).add(prefix + name, kind)
     return docs.mapInArrow(run, schema)
 
 
@@ -183,4 +183,5 @@ def languages(docs: DataFrame) -> DataFrame:
 def drop_unknown(docs: DataFrame) -> DataFrame:
     """docs without those that are in no known language: no letter, or no shorter in any language than as plain bytes."""
     texts = whole_text(docs)
-    return predicted(texts, trained(docs)).where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < 8)).select(*docs.columns)
+    found = predicted(texts, trained(docs), "__")
+    return found.where((F.col("__lang_pred") != "und") & (F.col("__bits_per_byte") < 8)).select(*docs.columns)

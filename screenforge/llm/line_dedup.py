@@ -127,17 +127,17 @@ def gone(docs: DataFrame, edits: int, least: int) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
-    """docs with the lines that stay as `kept`, and the counts n_lines (not blank) and n_removed."""
-    late = gone(docs, edits, least).withColumnRenamed("doc_id", "__id")
+    """docs with the lines that stay as `kept`, and the counts n_lines (not blank) and n_removed; columns so named are replaced."""
+    late = gone(docs, edits, least).select(F.col("doc_id").alias("__id"), F.col("gone").alias("__gone"))
     joined = docs.join(late, docs["doc_id"] == late["__id"], "left").drop("__id")
     lines = F.split(F.coalesce(F.make_valid_utf8("text"), F.lit("")), "\n")
-    kept = _let("l", "__lines", "transform(array_except(sequence(0, size(l) - 1), gone), i -> get(l, i))")
+    kept = _let("l", "__lines", "transform(array_except(sequence(0, size(l) - 1), __gone), i -> get(l, i))")
     return (
         joined.withColumn("__lines", lines)
         .withColumn("n_lines", F.expr("cast(size(filter(__lines, l -> l rlike r'\\S')) as bigint)"))
-        .withColumn("n_removed", F.coalesce(F.size("gone"), F.lit(0)).cast("bigint"))
-        .withColumn("kept", F.expr(f"if(gone is null, array_join(__lines, '\n'), array_join({kept}, '\n'))"))
-        .drop("__lines", "gone")
+        .withColumn("n_removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("bigint"))
+        .withColumn("kept", F.expr(f"if(__gone is null, array_join(__lines, '\n'), array_join({kept}, '\n'))"))
+        .drop("__lines", "__gone")
     )
 
 

@@ -182,7 +182,7 @@ def _contexts(shards: int):
                     if there is None or here < there:
                         first_of[words] = here
                         here = there
-                    if here is not None:
+                    if here is not None and here[:2] != first_of[words][:2]:
                         late_doc.append(here[0])
                         late_at.append(np.arange(here[1], here[1] + here[2]))
             if first_of:
@@ -340,6 +340,9 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
                 raw = text.as_buffer().to_pybytes()
                 starts, ends, _ = word_spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
                 gone = _covered(len(starts), at, whole)
+                if not gone.any():
+                    texts.append(text.as_py())
+                    continue
                 if gone.all():
                     texts.append(None)
                     continue

@@ -178,7 +178,7 @@ def conf_hist(spark, sf_dir):
     return stats.conf_histogram(_facts(spark, sf_dir))
 
 
-@_register(_hist_sql(f"{O.quoted(T.RATIO_BUCKETS)}[least(9, en * 10 // total) + 1]", T.RATIO_BUCKETS, {"chunked": "chunked"}, SMALL))
+@_register(_hist_sql(f"{O.quoted(T.RATIO_BUCKETS)}[(least(9, en * 10 // total) + 1)::BIGINT]", T.RATIO_BUCKETS, {"chunked": "chunked"}, SMALL))
 def en_ratio_hist(spark, sf_dir):
     return stats.ratio_histogram(_facts(spark, sf_dir, SMALL))
 

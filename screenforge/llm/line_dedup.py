@@ -25,6 +25,7 @@ from .order_minhash import _let
 
 EDITS = 2
 LEAST = 20
+_ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 #: A line with more occurrences takes part in the join by its first one alone.
 FREQUENT = 100
 #: Tables of ids are broadcast up to so many rows, and joined beyond.
@@ -75,7 +76,9 @@ def distance_sql(a: str, b: str, edits: int) -> str:
     )
     start = f"named_struct('vp', {((1 << edits) - 1) << (edits + 1) & full}L, 'vn', 0L, 'd', 0)"
     down = " + ".join(f"if(size(x) - size(y) >= {k}, cast((shiftright(s.vp, {edits + k}) & 1) - (shiftright(s.vn, {edits + k}) & 1) as int), 0)" for k in range(1, edits + 1)) or "0"
-    walked = f"aggregate(if(size(y) = 0, cast(array() as array<int>), sequence(1, size(y))), {start}, (s, i) -> {step}, s -> s.d + {down})"
+    # What is beyond twice the edits on the diagonal stays beyond the edits at the end.
+    step = f"if(s.d > {2 * edits}, s, {step})"
+    walked = f"aggregate(if(size(y) = 0, cast(array() as array<int>), sequence(1, size(y))), {start}, (s, i) -> {step}, s -> if(s.d > {2 * edits}, s.d, s.d + {down}))"
     letters = lambda t: f"regexp_extract_all({t}, '(?s).', 0)"
     return _let("x", letters(a), _let("y", letters(b), f"if(size(x) - size(y) > {edits}, {edits + 1}, {walked})"))
 
@@ -92,8 +95,32 @@ def _small(table: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(table) if rows <= MOST_BROADCAST_ROWS else table
 
 
+def _letters_sql(line: str) -> str:
+    """SQL for how often each of the letters a to z stands in a line."""
+    return "array(" + ", ".join(f"length({line}) - length(replace({line}, '{c}', ''))" for c in _ALPHABET) + ")"
+
+
+def verified(docs: DataFrame, pairs: DataFrame, edits: int) -> DataFrame:
+    """The pairs (a, b) of lines within the edit distance.
+
+    An edit changes at most two letter counts by one, which spares most unlike pairs the distance.
+    """
+    wanted = durable(pairs.select(F.explode(F.array("a", "b")).alias("__line")).distinct())
+    texts = _lines(docs, True).join(_small(wanted, wanted.count()), F.col("line") == F.col("__line"), "left_semi")
+    texts = durable(texts.groupBy("line").agg(F.min("text").alias("text")).withColumn("letters", F.expr(_letters_sql("text"))))
+    x, y = (texts.select(F.col("line").alias(k), F.struct("text", "letters").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+    apart = "aggregate(zip_with(x.letters, y.letters, (p, q) -> abs(p - q)), 0, (s, d) -> s + d)"
+    near = pairs.join(x, "a").join(y, "b").where(F.expr(apart) <= 2 * edits)
+    ordered = near.select("a", "b", F.expr("if(length(x.text) >= length(y.text), x.text, y.text)").alias("x"), F.expr("if(length(x.text) >= length(y.text), y.text, x.text)").alias("y"))
+    return ordered.where(F.expr(distance_sql("x", "y", edits)) <= edits).select("a", "b")
+
+
 def alike(docs: DataFrame, firsts: DataFrame, edits: int, least: int) -> DataFrame:
-    """(a, b): pairs of different lines that are alike."""
+    """(a, b): pairs of lines that are alike, enough of them to connect all that are.
+
+    The first round compares the lines of a key with one of them, the second those still in different components: a
+    large group of lines that are alike never becomes all its pairs.
+    """
     frequent = durable(firsts.where(F.col("n") > FREQUENT).select(F.col("line").alias("__line"), F.col("first").alias("__first")))
     held = frequent.count()
     lines = _lines(docs, True).where(F.length("text") >= least)
@@ -103,14 +130,23 @@ def alike(docs: DataFrame, firsts: DataFrame, edits: int, least: int) -> DataFra
         keys = lines.select("line", F.explode(F.expr(keys_sql("text", edits, probing))).alias("key"))
         return keys.repartition("key").dropDuplicates(["key", "line"])
 
-    index, probes = sent(False).withColumnRenamed("line", "a"), sent(True).withColumnRenamed("line", "b")
-    met = durable(index.join(probes, "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    wanted = durable(met.select(F.explode(F.array("a", "b")).alias("__line")).distinct())
-    texts = _lines(docs, True).join(_small(wanted, wanted.count()), F.col("line") == F.col("__line"), "left_semi")
-    texts = durable(texts.groupBy("line").agg(F.min("text").alias("text")))
-    pairs = met.join(texts.select(F.col("line").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("line").alias("b"), F.col("text").alias("y")), "b")
-    ordered = pairs.select("a", "b", F.expr("if(length(x) >= length(y), x, y)").alias("x"), F.expr("if(length(x) >= length(y), y, x)").alias("y"))
-    return ordered.where(F.expr(distance_sql("x", "y", edits)) <= edits).select("a", "b")
+    index, probes = sent(False), sent(True)
+    # Only keys that bring different lines together go on; every line probes its own segments.
+    several = probes.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high")
+    leads = index.groupBy("key").agg(F.min("line").alias("lead")).join(several, "key").select("key", "lead")
+    met = durable(probes.join(leads, "key").select("key", "line", "lead"))
+    pair = [F.least("line", "lead").alias("a"), F.greatest("line", "lead").alias("b")]
+    first = durable(met.where("line <> lead").select(*pair).distinct())
+    near = durable(verified(docs, first, edits))
+
+    groups = components(near).select(F.col("node").alias("line"), "component")
+    known = met.select("key", "line").join(_small(groups, groups.count()), "line", "left").select("key", "line", F.coalesce("component", "line").alias("group"))
+    mixed = known.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
+    known = durable(known.join(mixed, "key"))
+    held_lines = index.join(mixed, "key").select("key", F.col("line").alias("lead"))
+    left = held_lines.join(known.select("key", F.col("line").alias("lead"), F.col("group").alias("lead_group")), ["key", "lead"])
+    second = known.join(left, "key").where("group <> lead_group").select(*pair).distinct().join(first, ["a", "b"], "left_anti")
+    return near.union(verified(docs, durable(second), edits))
 
 
 def gone(docs: DataFrame, edits: int, least: int) -> DataFrame:

@@ -95,6 +95,10 @@ class Pieces:
 
     def encode(self, chunks: list[bytes]) -> list[np.ndarray]:
         """Ids of chunks in which a space stands for the mark."""
+        return [np.frombuffer(ids, "<i4").astype(np.int64) for ids in self.packed(chunks)]
+
+    def packed(self, chunks: list[bytes]) -> list[bytes]:
+        """encode, with each chunk's ids as packed 32-bit numbers."""
         out: list = [None] * len(chunks)
         raw = np.frombuffer(b"".join(chunks), np.uint8)
         total = prefix_sums(raw)
@@ -107,7 +111,7 @@ class Pieces:
             which = np.flatnonzero(size == n)
             if n == 0:
                 for k in which.tolist():
-                    out[k] = np.zeros(0, np.int64)
+                    out[k] = np.zeros(1, np.int64)
                 continue
             for part in np.array_split(which, max(1, len(which) * n // 200_000)):
                 places = letters[first[part][:, None] + np.arange(n + 1)]  # byte edges of each word's code points
@@ -118,17 +122,27 @@ class Pieces:
                 else:
                     spans = self._merge(total, places)
                 for k, edges in zip(part.tolist(), spans, strict=True):
-                    out[k] = self._written(total, raw, edges)
+                    out[k] = edges
+        return self._written(total, raw, out)
+
+    def _written(self, total: np.ndarray, raw: np.ndarray, edges: list[np.ndarray]) -> list[bytes]:
+        """The ids of chunks cut at the given edges."""
+        if not edges:
+            return []
+        count = np.fromiter(map(len, edges), np.int64, len(edges)) - 1
+        upto = np.cumsum(count)
+        flat = np.concatenate(edges)
+        inside = np.ones(len(flat), bool)
+        inside[np.cumsum(count + 1) - 1] = False  # the last edge of a chunk starts nothing
+        starts = np.flatnonzero(inside)
+        known, at = self.probe(total, flat[starts], flat[starts + 1])
+        whole = self.ids[at].astype("<i4").tobytes()
+        out = [whole[4 * a : 4 * b] for a, b in zip((upto - count).tolist(), upto.tolist(), strict=True)]
+        for k in np.unique(np.searchsorted(upto, np.flatnonzero(~known), side="right")).tolist():
+            out[k] = np.array(self._with_unknown(raw, edges[k], known[upto[k] - count[k] : upto[k]], at[upto[k] - count[k] : upto[k]]), "<i4").tobytes()
         return out
 
-    def packed(self, chunks: list[bytes]) -> list[bytes]:
-        """encode, with each chunk's ids as packed 32-bit numbers."""
-        return [ids.astype("<i4").tobytes() for ids in self.encode(chunks)]
-
-    def _written(self, total: np.ndarray, raw: np.ndarray, edges: np.ndarray) -> np.ndarray:
-        known, at = self.probe(total, edges[:-1], edges[1:])
-        if known.all():
-            return self.ids[at]
+    def _with_unknown(self, raw: np.ndarray, edges: np.ndarray, known: np.ndarray, at: np.ndarray) -> list[int]:
         out: list[int] = []
         for good, k, s, e in zip(known.tolist(), self.ids[at].tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             if good:
@@ -138,7 +152,7 @@ class Pieces:
                 out += self.bytes[np.frombuffer(raw[s:e].tobytes().replace(b" ", _MARK), np.uint8)].tolist()
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)
-        return np.array(out)
+        return out
 
     def _viterbi(self, total: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
         words, n = places.shape[0], places.shape[1] - 1

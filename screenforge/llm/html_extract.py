@@ -4,21 +4,27 @@
 2. For each host, the most frequent trees are aligned by simple tree matching and merged into one template tree.
    Every page of the host, whatever its tree, is then aligned with that template, so that its blocks fall into slots.
 3. Over all pages of the host (pages that share their longest block count once), a slot whose texts mostly repeat is
-   constant: it is part of the template.  Varying slots are content.
-4. A page's text is what stands in content slots, inside the article or main element if the page has one, and not
-   under an element that says by its tag, class or id that it is something else (menu, footer, advert, form, ...).
-   Inside an article or main element, repetition alone doesn't make a slot constant: articles may quote one another.
+   constant: it is part of the template.  So is a text that stands on half the pages that fill its slot, whatever else
+   the slot holds (a notice among paragraphs).  Varying blocks are content.
+4. A page's text is what stands in varying blocks, inside an article or main element or not, and not under an element
+   that says by its tag, class or id that it is something else (menu, footer, advert, form, ...).
+   An article or main element is evidence on top: a slot inside is constant only if each of its texts stands there
+   LEAST_TEXTS times on average, as articles may quote one another; and on a page most of whose text it holds, blocks
+   outside whose slots have too few texts to tell are not content.
 
 A host's trees may be many: the MOST_TREES most frequent ones shape its template.  Statistics cover all pages.
 
 Defined results: null or blank html gives an empty text; text outside any element is a block; pages cut short end
-there; null url is a host of its own; a page with no block left by step 3 keeps what the other steps leave.
+there; null url is a host of its own; a page with no block left by step 3 keeps what the other steps leave, of its
+article or main element if that holds any.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -33,7 +39,7 @@ from .common import durable, record
 MOST_TREES = 48
 #: A slot needs so many texts before it can be called constant.
 LEAST_TEXTS = 6
-#: It is constant if its different texts are at most this share of its texts.
+#: It is constant if its different texts are at most this share of its texts; a text is if it stands on that share of pages.
 CONSTANT = 0.5
 #: Elements nested deeper belong to their ancestor of this depth.
 MOST_DEPTH = 200
@@ -290,7 +296,22 @@ class Page:
         flush()
 
 
-def _content(page: Page, slot_of: dict[int, int], constant: set[int]) -> list[str]:
+class Wrapper:
+    """What a host's slots are: constant ones, firm ones (constant inside an article too), known ones, and constant texts."""
+
+    __slots__ = ("constant", "firm", "known", "texts")
+
+    def __init__(self, text: str | None = None) -> None:
+        held = json.loads(text) if text else {}
+        self.constant, self.firm, self.known = (set(held.get(k) or ()) for k in ("constant", "firm", "known"))
+        self.texts = {(x["slot"], x["text"]) for x in held.get("texts") or ()}
+
+    def repeats(self, slot: int | None, text: str, inside: bool) -> bool:
+        """Whether a block is part of the template; inside: of an article or main element."""
+        return slot in (self.firm if inside else self.constant) or bool(self.texts) and (slot, _mark(text)) in self.texts
+
+
+def _content(page: Page, slot_of: dict[int, int], wrapper: Wrapper) -> list[str]:
     """The texts of a numbered page's content blocks."""
     state: dict[int, tuple[bool, bool]] = {}  # (something else, inside an article or main element)
 
@@ -303,16 +324,18 @@ def _content(page: Page, slot_of: dict[int, int], constant: set[int]) -> list[st
                 state[node.id] = (other or _says_other(node.label, inside), inside or node.label.split(".")[0] in ("article", "main") or ".@main" in node.label)
         return state[node.id]
 
-    fit = [(node, text) for node, text in page.blocks if not of(node)[0]]
-    core = [x for x in fit if of(x[0])[1]]
-    if core:
-        return [text for _, text in core]
-    varying = [text for node, text in fit if slot_of.get(node.id) not in constant]
-    return varying or [text for _, text in fit]
+    fit = [(slot_of.get(node.id), text, of(node)[1]) for node, text in page.blocks if not of(node)[0]]
+    varying = [x for x in fit if not wrapper.repeats(*x)]
+    if not varying:
+        varying = [x for x in fit if x[2]] or fit
+    inside = sum(len(text) for _, text, core in varying if core)
+    if 2 * inside >= sum(len(text) for _, text, _ in varying) > 0:
+        varying = [x for x in varying if x[2] or x[0] in wrapper.known]
+    return [text for _, text, _ in varying]
 
 
 _PARSED = pa.schema([("host", pa.string()), ("tree", pa.string()), ("lead", pa.int64()), ("nodes", pa.list_(pa.int32())), ("texts", pa.list_(pa.int64()))])
-_SLOTS = pa.schema([("host", pa.string()), ("slot", pa.int32()), ("text", pa.int64())])
+_SLOTS = pa.schema([("host", pa.string()), ("slot", pa.int32()), ("text", pa.int64()), ("times", pa.int64())])
 
 
 def _mark(text: str) -> int:
@@ -356,11 +379,12 @@ def _slots(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: dict[str, list] = {f.name: [] for f in _SLOTS}
         for host, tree, nodes, texts, template in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             slot = aligner.slots(tree, template)
-            for node, text in zip(nodes, texts, strict=True):
-                if node in slot:
-                    out["host"].append(host)
-                    out["slot"].append(slot[node])
-                    out["text"].append(text)
+            here = Counter((slot[node], text) for node, text in zip(nodes, texts, strict=True) if node in slot)
+            for (k, text), times in [*here.items(), *(((k, None), 0) for k in {k for k, _ in here})]:  # null: the page itself
+                out["host"].append(host)
+                out["slot"].append(k)
+                out["text"].append(text)
+                out["times"].append(times)
         yield record(out, _SLOTS)
 
 
@@ -376,7 +400,7 @@ def _small(table: DataFrame, text: str) -> DataFrame:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, template, constant: each host's template tree and its constant slots."""
+    """host, template, wrapper: each host's template tree and, as JSON, what its slots are."""
     parsed = durable(_with_host(pages).select("host", "html").mapInArrow(_parse, "host string, tree string, lead long, nodes array<int>, texts array<long>").dropDuplicates(["host", "lead"]))
     often = Window.partitionBy("host").orderBy(F.desc("count"), "tree")
     trees = parsed.groupBy("host", "tree").count().withColumn("k", F.row_number().over(often)).where(F.col("k") <= MOST_TREES)
@@ -387,15 +411,20 @@ def wrappers(pages: DataFrame) -> DataFrame:
 
     templates = durable(trees.groupBy("host").applyInArrow(induce, "host string, template string"))
     slots = parsed.join(_small(templates, "template"), "host").select("host", "tree", "nodes", "texts", "template")
-    texts = slots.mapInArrow(_slots, "host string, slot int, text long").groupBy("host", "slot", "text").count()
-    constant = (
-        texts.groupBy("host", "slot")
-        .agg(F.sum("count").alias("n"), F.count("*").alias("different"))
-        .where((F.col("n") >= LEAST_TEXTS) & (F.col("different") <= CONSTANT * F.col("n")))
-        .groupBy("host")
-        .agg(F.collect_list("slot").alias("constant"))
+    texts = slots.mapInArrow(_slots, "host string, slot int, text long, times long").groupBy("host", "slot", "text")
+    texts = durable(texts.agg(F.sum("times").alias("n"), F.count("*").alias("pages")))
+    known = texts.groupBy("host", "slot").agg(F.sum("n").alias("n"), F.count("text").alias("different"), F.max(F.when(F.col("text").isNull(), F.col("pages"))).alias("all"))
+    known = durable(known.where(F.col("n") >= LEAST_TEXTS))
+    common = texts.where(F.col("text").isNotNull() & (F.col("pages") >= LEAST_TEXTS)).select("host", "slot", "text", "pages")
+    common = common.join(known, ["host", "slot"]).where(F.col("pages") >= CONSTANT * F.col("all"))
+    common = common.groupBy("host").agg(F.collect_list(F.struct("slot", "text")).alias("texts"))
+    kinds = known.groupBy("host").agg(
+        F.collect_list(F.when(F.col("different") <= CONSTANT * F.col("n"), F.col("slot"))).alias("constant"),
+        F.collect_list(F.when(F.col("different") * LEAST_TEXTS <= F.col("n"), F.col("slot"))).alias("firm"),
+        F.collect_list("slot").alias("known"),
     )
-    return durable(templates.join(constant, "host", "left"))
+    kinds = kinds.join(common, "host", "left").select("host", F.to_json(F.struct("constant", "firm", "known", "texts")).alias("wrapper"))
+    return durable(templates.join(kinds, "host", "left"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -403,14 +432,18 @@ def main_texts(pages: DataFrame) -> DataFrame:
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def extract(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner()
+        aligner, wrappers_of = Aligner(), {None: Wrapper()}
         for batch in stream:
             out: dict[str, list] = {f.name: [] for f in schema}
-            for page_id, url, html, template, constant in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for page_id, url, html, template, wrapper in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 page = Page(html)
                 number(page.root)
-                slot = aligner.slots(written(page.root), template) if constant else {}
-                text = "\n".join(_content(page, slot, set(constant or ())))
+                slot = aligner.slots(written(page.root), template) if wrapper else {}
+                if wrapper not in wrappers_of:
+                    if len(wrappers_of) > 1000:
+                        wrappers_of = {}
+                    wrappers_of[wrapper] = Wrapper(wrapper)
+                text = "\n".join(_content(page, slot, wrappers_of[wrapper]))
                 out["page_id"].append(page_id)
                 out["url"].append(url)
                 out["text"].append(text)
@@ -418,4 +451,4 @@ def main_texts(pages: DataFrame) -> DataFrame:
             yield record(out, schema)
 
     joined = _with_host(pages).join(_small(wrappers(pages), "template"), "host", "left")
-    return joined.select("page_id", "url", "html", "template", "constant").mapInArrow(extract, "page_id long, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "template", "wrapper").mapInArrow(extract, "page_id long, url string, text string, n_chars long")

@@ -144,6 +144,20 @@ def test_html_extraction(spark):
     assert html_extract.main_texts(df.limit(0)).collect() == []
 
 
+def _texts(spark, pages):
+    rows = [(k, f"http://h.example/{k}", p) for k, p in enumerate(pages)]
+    return [r.text for r in html_extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+
+
+def test_html_slots_decide_inside_and_beside_articles(spark):
+    notice = "<p>Read every day, a notice that stands in each article.</p>"
+    got = _texts(spark, [f"<body><article><p>Own text of this page, longer than the notice that stands below it {k}</p>{notice}<p>Last {k}</p></article><div>About {k % 2}</div></body>" for k in range(16)])
+    assert got == [f"Own text of this page, longer than the notice that stands below it {k}\nLast {k}" for k in range(16)]
+    got = _texts(spark, [f"<body><div><p>A long body of page {k}</p><p>and more of {k}</p></div><article><p>Teaser</p></article></body>" for k in range(8)])
+    assert got == [f"A long body of page {k}\nand more of {k}" for k in range(8)]
+    assert _texts(spark, ["<body><div><p>A long body of the only page</p></div><article><p>Teaser</p></article></body>"]) == ["A long body of the only page\nTeaser"]
+
+
 def test_tree_matching():
     a, b = html_extract.read("0 r\n1 a\n2 x\n1 b\n1 c"), html_extract.read("0 r\n1 b\n1 a\n2 x\n2 y\n1 c")
     x, y = html_extract.number(a), html_extract.number(b)

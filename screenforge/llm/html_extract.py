@@ -3,7 +3,7 @@
 1. Every page becomes a tree of its block elements; runs of like siblings (paragraphs, list items) fold into one node.
 2. For each host, the most frequent trees are aligned by simple tree matching and merged into one template tree.
    Every page of the host, whatever its tree, is then aligned with that template, so that its blocks fall into slots.
-3. Over all pages of the host (pages that share their longest block count once), a slot whose texts mostly repeat is
+3. Over all pages of the host (true copies, of the same tree and texts, count once), a slot whose texts mostly repeat is
    constant: it is part of the template.  So is a text that stands on half the pages that fill its slot, whatever else
    the slot holds (a notice among paragraphs).  Varying blocks are content.
 4. A page's text is what stands in varying blocks, inside an article or main element or not, and not under an element
@@ -334,7 +334,7 @@ def _content(page: Page, slot_of: dict[int, int], wrapper: Wrapper) -> list[str]
     return [text for _, text, _ in varying]
 
 
-_PARSED = pa.schema([("host", pa.string()), ("tree", pa.string()), ("lead", pa.int64()), ("nodes", pa.list_(pa.int32())), ("texts", pa.list_(pa.int64()))])
+_PARSED = pa.schema([("host", pa.string()), ("tree", pa.string()), ("copy", pa.int64()), ("nodes", pa.list_(pa.int32())), ("texts", pa.list_(pa.int64()))])
 _SLOTS = pa.schema([("host", pa.string()), ("slot", pa.int32()), ("text", pa.int64()), ("times", pa.int64())])
 
 
@@ -350,9 +350,9 @@ def _parse(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             number(page.root)
             out["host"].append(host)
             out["tree"].append(written(page.root))
-            out["lead"].append(_mark(max((t for _, t in page.blocks), key=len, default="")))
             out["nodes"].append([n.id for n, _ in page.blocks])
             out["texts"].append([_mark(t) for _, t in page.blocks])
+            out["copy"].append(_mark(repr([out[x][-1] for x in ("tree", "nodes", "texts")])))
         yield record(out, _PARSED)
 
 
@@ -401,7 +401,7 @@ def _small(table: DataFrame, text: str) -> DataFrame:
 
 def wrappers(pages: DataFrame) -> DataFrame:
     """host, template, wrapper: each host's template tree and, as JSON, what its slots are."""
-    parsed = durable(_with_host(pages).select("host", "html").mapInArrow(_parse, "host string, tree string, lead long, nodes array<int>, texts array<long>").dropDuplicates(["host", "lead"]))
+    parsed = durable(_with_host(pages).select("host", "html").mapInArrow(_parse, "host string, tree string, copy long, nodes array<int>, texts array<long>").dropDuplicates(["host", "copy"]))
     often = Window.partitionBy("host").orderBy(F.desc("count"), "tree")
     trees = parsed.groupBy("host", "tree").count().withColumn("k", F.row_number().over(often)).where(F.col("k") <= MOST_TREES)
 

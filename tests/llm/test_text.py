@@ -158,6 +158,12 @@ def test_html_slots_decide_inside_and_beside_articles(spark):
     assert _texts(spark, ["<body><div><p>A long body of the only page</p></div><article><p>Teaser</p></article></body>"]) == ["A long body of the only page\nTeaser"]
 
 
+def test_html_pages_with_one_longest_block_all_count(spark):
+    footer = "<p class=x>This licence text is longer than any paragraph of any of the pages here.</p>"
+    got = _texts(spark, [f"<body><div><p>Own {k}</p></div>{footer}</body>" for k in range(8)])
+    assert got == [f"Own {k}" for k in range(8)]
+
+
 def test_tree_matching():
     a, b = html_extract.read("0 r\n1 a\n2 x\n1 b\n1 c"), html_extract.read("0 r\n1 b\n1 a\n2 x\n2 y\n1 c")
     x, y = html_extract.number(a), html_extract.number(b)

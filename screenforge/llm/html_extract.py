@@ -1,7 +1,7 @@
 """HTML extraction by wrapper induction.
 
 1. Every page becomes a tree of its block elements; runs of like siblings (paragraphs, list items) fold into one node.
-2. For each host, the most frequent trees are aligned by simple tree matching and merged into one template tree.
+2. For each host, all different trees are aligned by simple tree matching and merged into one template tree.
    Every page of the host, whatever its tree, is then aligned with that template, so that its blocks fall into slots.
 3. Over all pages of the host (true copies, of the same tree and texts, count once), a slot whose texts mostly repeat is
    constant: it is part of the template.  So is a text that stands on half the pages that fill its slot, whatever else
@@ -12,7 +12,9 @@
    LEAST_TEXTS times on average, as articles may quote one another; and on a page most of whose text it holds, blocks
    outside whose slots have too few texts to tell are not content.
 
-A host's trees may be many: the MOST_TREES most frequent ones shape its template.  Statistics cover all pages.
+A host's trees may be many: about MOST_TREES at a time are merged to partial templates, and these likewise, until one is
+left, in which every node of every tree has its slot.  Where layouts differ so much that a slot has few texts, a text on
+half the host's pages is still part of the template.
 
 Defined results: null or blank html gives an empty text; text outside any element is a block; pages cut short end
 there; null url is a host of its own; a page with no block left by step 3 keeps what the other steps leave, of its
@@ -30,17 +32,19 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import durable, record
 
-#: Trees of a host that shape its template.
+#: Trees of a host that are merged in one go, on average.
 MOST_TREES = 48
 #: A slot needs so many texts before it can be called constant.
 LEAST_TEXTS = 6
 #: It is constant if its different texts are at most this share of its texts; a text is if it stands on that share of pages.
 CONSTANT = 0.5
+#: Stands for all slots of a host.
+ANYWHERE = -1
 #: Elements nested deeper belong to their ancestor of this depth.
 MOST_DEPTH = 200
 #: The table of templates is broadcast up to so many bytes, and joined beyond.
@@ -144,13 +148,15 @@ def matched(a: Node, b: Node) -> dict[int, int]:
         key = (x.id, y.id)
         if key not in memo:
             m, n = len(x.children), len(y.children)
-            best = np.zeros((m + 1, n + 1), np.int64)
-            gain = {}
-            for i in range(m):
-                for j in range(n):
-                    g = score(x.children[i], y.children[j])[0] if x.children[i].label == y.children[j].label else 0
-                    gain[i, j] = g
-                    best[i + 1, j + 1] = max(best[i, j + 1], best[i + 1, j], best[i, j] + g)
+            best = np.zeros((m + 1, n + 1), np.int32)
+            places: dict[str, list[int]] = {}
+            for j, child in enumerate(y.children):
+                places.setdefault(child.label, []).append(j)
+            for i, child in enumerate(x.children):
+                best[i + 1] = best[i]
+                for j in places.get(child.label, ()):
+                    best[i + 1, j + 1] = max(best[i, j + 1], best[i, j] + score(child, y.children[j])[0])
+                np.maximum.accumulate(best[i + 1], out=best[i + 1])
             pairs, i, j = [], m, n
             while i and j:
                 if best[i, j] == best[i - 1, j]:
@@ -308,7 +314,10 @@ class Wrapper:
 
     def repeats(self, slot: int | None, text: str, inside: bool) -> bool:
         """Whether a block is part of the template; inside: of an article or main element."""
-        return slot in (self.firm if inside else self.constant) or bool(self.texts) and (slot, _mark(text)) in self.texts
+        if slot in (self.firm if inside else self.constant):
+            return True
+        mark = _mark(text) if self.texts else 0
+        return (slot, mark) in self.texts or (ANYWHERE, mark) in self.texts
 
 
 def _content(page: Page, slot_of: dict[int, int], wrapper: Wrapper) -> list[str]:
@@ -380,6 +389,7 @@ def _slots(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, tree, nodes, texts, template in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             slot = aligner.slots(tree, template)
             here = Counter((slot[node], text) for node, text in zip(nodes, texts, strict=True) if node in slot)
+            here.update((ANYWHERE, text) for text in texts)
             for (k, text), times in [*here.items(), *(((k, None), 0) for k in {k for k, _ in here})]:  # null: the page itself
                 out["host"].append(host)
                 out["slot"].append(k)
@@ -399,17 +409,26 @@ def _small(table: DataFrame, text: str) -> DataFrame:
     return F.broadcast(table) if size <= MOST_BROADCAST else table
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """host, template, wrapper: each host's template tree and, as JSON, what its slots are."""
-    parsed = durable(_with_host(pages).select("host", "html").mapInArrow(_parse, "host string, tree string, copy long, nodes array<int>, texts array<long>").dropDuplicates(["host", "copy"]))
-    often = Window.partitionBy("host").orderBy(F.desc("count"), "tree")
-    trees = parsed.groupBy("host", "tree").count().withColumn("k", F.row_number().over(often)).where(F.col("k") <= MOST_TREES)
+def _templates(trees: DataFrame) -> DataFrame:
+    """host, template: all trees (host, tree, count) of each host merged, batch by batch and then the batches' templates."""
 
     def induce(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(table.column("k").to_pylist(), table.column("tree").to_pylist(), strict=True))
-        return pa.table({"host": table.column("host")[:1], "template": pa.array([merged([r[1] for r in rows])])})
+        rows = sorted(zip(table.column("count").to_pylist(), table.column("tree").to_pylist(), strict=True), key=lambda r: (-r[0], r[1]))
+        return pa.table({"host": table.column("host")[:1], "tree": pa.array([merged([r[1] for r in rows])]), "count": pa.array([sum(r[0] for r in rows)])})
+
+    trees, most = durable(trees), MOST_TREES + 1
+    while most > MOST_TREES:
+        sizes = durable(trees.groupBy("host").agg(F.count("*").alias("trees")))
+        most = sizes.agg(F.coalesce(F.max("trees"), F.lit(0))).first()[0]
+        dealt = trees.join(sizes, "host").withColumn("batch", F.pmod(F.xxhash64("tree"), F.ceil(F.col("trees") / MOST_TREES)))
+        trees = durable(dealt.groupBy("host", "batch").applyInArrow(induce, "host string, tree string, count long"))
+    return trees.select("host", F.col("tree").alias("template"))
 
-    templates = durable(trees.groupBy("host").applyInArrow(induce, "host string, template string"))
+
+def wrappers(pages: DataFrame) -> DataFrame:
+    """host, template, wrapper: each host's template tree and, as JSON, what its slots are."""
+    parsed = durable(_with_host(pages).select("host", "html").mapInArrow(_parse, "host string, tree string, copy long, nodes array<int>, texts array<long>").dropDuplicates(["host", "copy"]))
+    templates = _templates(parsed.groupBy("host", "tree").count())
     slots = parsed.join(_small(templates, "template"), "host").select("host", "tree", "nodes", "texts", "template")
     texts = slots.mapInArrow(_slots, "host string, slot int, text long, times long").groupBy("host", "slot", "text")
     texts = durable(texts.agg(F.sum("times").alias("n"), F.count("*").alias("pages")))

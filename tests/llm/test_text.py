@@ -164,6 +164,14 @@ def test_html_pages_with_one_longest_block_all_count(spark):
     assert got == [f"Own {k}" for k in range(8)]
 
 
+def test_html_rare_layouts_have_slots(spark):
+    names = [f"x{a}{b}" for a in "bcdfghjk" for b in "bcdfghjk"]  # more than are merged in one go
+    got = _texts(spark, [f"<body><div class='{n}'><p>Own {n} of page {k}</p><div>Notice of layout {n}</div></div></body>" for n in names for k in range(6)])
+    assert got == [f"Own {n} of page {k}" for n in names for k in range(6)]
+    got = _texts(spark, [f"<body><div class='{n}'><p>Own {n}</p><div>Notice of all</div></div></body>" for n in names])
+    assert got == [f"Own {n}" for n in names]
+
+
 def test_tree_matching():
     a, b = html_extract.read("0 r\n1 a\n2 x\n1 b\n1 c"), html_extract.read("0 r\n1 b\n1 a\n2 x\n2 y\n1 c")
     x, y = html_extract.number(a), html_extract.number(b)

@@ -11,6 +11,8 @@
    An article or main element is evidence on top: a slot inside is constant only if each of its texts stands there
    LEAST_TEXTS times on average, as articles may quote one another; and on a page most of whose text it holds, blocks
    outside whose slots have too few texts to tell are not content.
+   Words of a class or id (not tags, roles and the hidden attribute) are ignored on an element that holds most of the
+   page's longest article or, without any article, all blocks that vary, and where nothing else would be left.
 
 A host's trees may be many: about MOST_TREES at a time are merged to partial templates, and these likewise, until one is
 left, in which every node of every tree has its slot.  Where layouts differ so much that a slot has few texts, a text on
@@ -53,7 +55,7 @@ MOST_BROADCAST = 32 << 20
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)>?""", re.S
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template".split())
@@ -213,31 +215,42 @@ def _label(tag: str, attributes: str) -> str:
         kind = m[1].lower()
         if kind == "hidden":
             names.append("!hidden")
-        else:
+        elif kind in ("class", "id", "role"):
             value = m[2] or m[3] or m[4] or ""
             names += [("@" if kind == "role" else "") + w.lower() for w in _WORD.findall(value)]
     return f"{tag}.{'.'.join(names)}" if names else tag
 
 
-def _says_other(label: str, inside: bool) -> bool:
-    """Whether an element is something else than content, by its label; inside: of an article or main element."""
+_COMMENT_WORDS = frozenset(["comment", "comments"])
+_OTHER_ROLES = frozenset("@navigation @banner @complementary @contentinfo @search @form @dialog @alert".split())
+
+
+def _is_article(label: str) -> bool:
+    return label.split(".")[0] in ("article", "main") or ".@main" in label
+
+
+def _says_other(label: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element is something else than content by its tag, role or hidden attribute, and by the words of its class
+    and id; inside: of an article or main element."""
     tag, *words = label.split(".")
     if tag in _NOT_CONTENT or tag == "header" and not inside:
-        return True
-    if tag in ("html", "body", "article", "main") and not set(words) & {"comment", "comments"}:
-        return False
-    return any(w in _NOT_CONTENT_WORDS or w == "!hidden" or w.startswith("@") and w[1:] in ("navigation", "banner", "complementary", "contentinfo", "search", "form", "dialog", "alert") or not inside and w in _ROOT_WORDS for w in words)
+        return True, False
+    if tag in ("html", "body", "article", "main") and not set(words) & _COMMENT_WORDS:
+        return False, False
+    return any(w == "!hidden" or w in _OTHER_ROLES for w in words), any(w in _NOT_CONTENT_WORDS or not inside and w in _ROOT_WORDS for w in words)
 
 
 class Page:
-    """Blocks of a page, in order: texts and the folded node of each."""
+    """Blocks of a page, in order: texts, the folded node of each, and the number of its article or main element (0: none)."""
 
-    __slots__ = ("root", "blocks")
+    __slots__ = ("root", "blocks", "articles")
 
     def __init__(self, html: str) -> None:
         self.root = Node("", None)
         self.blocks: list[tuple[Node, str]] = []
-        open_: list[tuple[str, Node]] = [("", self.root)]  # block elements only
+        self.articles: list[int] = []
+        open_: list[tuple[str, Node, int]] = [("", self.root, 0)]  # block elements only
+        seen = 0
         pieces: list[str] = []
 
         def flush() -> None:
@@ -247,6 +260,7 @@ class Page:
                 text = " ".join((unescape(text) if "&" in text else text).split())
                 if text:
                     self.blocks.append((open_[-1][1], text))
+                    self.articles.append(open_[-1][2])
 
         def close(k: int) -> None:
             flush()
@@ -298,7 +312,10 @@ class Page:
                 continue
             node = open_[-1][1].child(_label(tag, m[3])) if len(open_) < MOST_DEPTH else open_[-1][1]
             if tag not in _VOID and not m[3].endswith("/"):
-                open_.append((tag, node))
+                article = open_[-1][2]
+                if _is_article(node.label) and len(open_) < MOST_DEPTH and not _COMMENT_WORDS.intersection(node.label.split(".")):
+                    article = seen = seen + 1
+                open_.append((tag, node, article))
         flush()
 
 
@@ -320,27 +337,50 @@ class Wrapper:
         return (slot, mark) in self.texts or (ANYWHERE, mark) in self.texts
 
 
+def _misnamed(blocks: list[tuple], of) -> set[int]:
+    """Elements whose words say that they are something else, but which hold most of the page's longest article or, without
+    any article, all blocks.  blocks: (node, slot, text, inside, article), those of the template left out."""
+    size: Counter = Counter()
+    for *_, text, _, article in blocks:
+        size[article] += len(text)
+    del size[0]
+    longest = min(size, key=lambda k: (-size[k], k), default=0)
+    held: Counter = Counter()
+    for node, _, text, _, article in blocks:
+        if article == longest:
+            for k in of(node)[2]:
+                held[k] += len(text)
+    whole = sum(len(b[2]) for b in blocks)
+    return {k for k, n in held.items() if (2 * n > size[longest] if longest else n == whole)}
+
+
 def _content(page: Page, slot_of: dict[int, int], wrapper: Wrapper) -> list[str]:
     """The texts of a numbered page's content blocks."""
-    state: dict[int, tuple[bool, bool]] = {}  # (something else, inside an article or main element)
+    state: dict[int, tuple[bool, bool, tuple]] = {}  # (something else, inside an article or main element, elements that words call something else)
 
-    def of(node: Node) -> tuple[bool, bool]:
+    def of(node: Node) -> tuple[bool, bool, tuple]:
         if node.id not in state:
             if node.parent is None:
-                state[node.id] = (False, False)
+                state[node.id] = (False, False, ())
             else:
-                other, inside = of(node.parent)
-                state[node.id] = (other or _says_other(node.label, inside), inside or node.label.split(".")[0] in ("article", "main") or ".@main" in node.label)
+                other, inside, named = of(node.parent)
+                mine, words = _says_other(node.label, inside)
+                state[node.id] = (other or mine, inside or _is_article(node.label), (*named, node.id) if words else named)
         return state[node.id]
 
-    fit = [(slot_of.get(node.id), text, of(node)[1]) for node, text in page.blocks if not of(node)[0]]
-    varying = [x for x in fit if not wrapper.repeats(*x)]
+    blocks = [(node, slot_of.get(node.id), text, of(node)[1], article) for (node, text), article in zip(page.blocks, page.articles, strict=True) if not of(node)[0]]
+    fit = blocks
+    if any(of(b[0])[2] for b in blocks):
+        own = [b for b in blocks if not wrapper.repeats(*b[1:4])] or blocks
+        misnamed = _misnamed(own, of)
+        fit = [b for b in blocks if misnamed.issuperset(of(b[0])[2])] or own
+    varying = [b for b in fit if not wrapper.repeats(*b[1:4])]
     if not varying:
-        varying = [x for x in fit if x[2]] or fit
-    inside = sum(len(text) for _, text, core in varying if core)
-    if 2 * inside >= sum(len(text) for _, text, _ in varying) > 0:
-        varying = [x for x in varying if x[2] or x[0] in wrapper.known]
-    return [text for _, text, _ in varying]
+        varying = [b for b in fit if b[3]] or fit
+    inside = sum(len(b[2]) for b in varying if b[3])
+    if 2 * inside >= sum(len(b[2]) for b in varying) > 0:
+        varying = [b for b in varying if b[3] or b[1] in wrapper.known]
+    return [b[2] for b in varying]
 
 
 _PARSED = pa.schema([("host", pa.string()), ("tree", pa.string()), ("copy", pa.int64()), ("nodes", pa.list_(pa.int32())), ("texts", pa.list_(pa.int64()))])

@@ -172,6 +172,15 @@ def test_html_rare_layouts_have_slots(spark):
     assert got == [f"Own {n}" for n in names]
 
 
+def test_html_labels_keep_real_content(spark):
+    wraps = ["<div style='overflow:hidden'>", "<div aria-hidden='false'>", "<div title='hidden valley'>", "<div class='layout has-sidebar'>", "<div id=page class='comments-open'>"]
+    for kind in ("article", "div"):
+        got = _texts(spark, [f"<body>{w}<{kind}><h1>Title {k}</h1><p>Own {k}</p></{kind}><div hidden>Gone {k}</div><aside>Side {k}</aside></div></body>" for k, w in enumerate(wraps)])
+        assert got == [f"Title {k}\nOwn {k}" for k in range(5)]
+    page = "<body><div class=has-sidebar><article>A long real article</article><div class=related><article>Teaser</article></div></div><div class=sidebar>Links</div></body>"
+    assert _texts(spark, [page]) == ["A long real article"]
+
+
 def test_tree_matching():
     a, b = html_extract.read("0 r\n1 a\n2 x\n1 b\n1 c"), html_extract.read("0 r\n1 b\n1 a\n2 x\n2 y\n1 c")
     x, y = html_extract.number(a), html_extract.number(b)

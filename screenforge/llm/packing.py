@@ -9,7 +9,8 @@ sequences of exactly the given size; the last tokens go to sequences whose sizes
 is padded.
 
 Defined results: null text counts as empty (the document is its end token alone); null source is a queue of its own;
-more than MOST_QUEUES sources share queues by hash; an empty table gives no pieces; repeated rows are packed each.
+every source has a queue, however many there are (the schedule, a few numbers a source and phase, is held by the driver
+and each worker); an empty table gives no pieces; repeated rows are packed each.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from .common import durable, record, whole_text
 from .tokens import ChunkCache, encoded, huggingface_encoder
 
-#: Sources beyond this share queues; the schedule (a few numbers a queue and phase) is held by the driver.
-MOST_QUEUES = 1024
+#: Tokens that are placed at a time, and cells (windows by queues) that are summed at a time.
+MOST_TOKENS, MOST_CELLS = 500_000, 1 << 20
 #: The table of queue starts by block is broadcast up to so many rows, and joined beyond.
 MOST_BROADCAST_ROWS = 500_000
 
@@ -38,9 +39,7 @@ _PIECES_SQL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens
 
 def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """Every document's ids, its block (task) and the tokens of its queue before it in that block."""
-    count = docs.agg(F.approx_count_distinct("source")).first()[0]
-    source = F.col("source").cast("string")
-    queue = source if count <= MOST_QUEUES else F.pmod(F.xxhash64(source), F.lit(MOST_QUEUES)).cast("string")
+    queue = F.col("source").cast("string")
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, before, block = ChunkCache(huggingface_encoder(tokenizer_path)), {}, TaskContext.get().partitionId()
@@ -76,6 +75,8 @@ class Schedule:
         share = left.astype(float) if weights is None else np.array([float(weights.get(n, 0)) for n in self.names])
         self.phases, base = [], 0  # (base, windows, taken so far by queue, takes by queue)
         had = np.zeros(len(left), np.int64)
+        #: What each queue is owed from the start, spread evenly, so that like queues don't take their tokens all at once.
+        self.owed = (np.arange(len(left)) * 0.6180339887498949 % 1 * (1 << self.BITS)).astype(np.int64)
         while left.sum():
             live = (left > 0) & (share > 0)
             if not live.any():  # only queues without a share are left: they take their natural parts
@@ -96,40 +97,56 @@ class Schedule:
             tail -= 1 << tail.bit_length() - 1
         self.tail = np.array(edges, np.int64)  # starts of the last, short sequences, and the end
 
-    def _had(self, take: np.ndarray, windows: int, w: np.ndarray) -> np.ndarray:
+    def _had(self, take: np.ndarray, owed: np.ndarray, windows: int, w: np.ndarray) -> np.ndarray:
         """Tokens that each queue has had before window w: what it is owed, rounded down."""
         whole, rest = take // windows, take % windows
         part = (rest << self.BITS) // windows if windows < 1 << 32 else (rest.astype(float) / windows * (1 << self.BITS)).astype(np.int64)
-        return np.where(w >= windows, take, whole * w + (part * w >> self.BITS))
+        return np.where(w >= windows, take, whole * w + (part * w + owed >> self.BITS))
 
-    def place(self, queue, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(row, offset in queue, length, place among all tokens) of the runs that documents of a queue are cut into."""
-        q, out = self.names.index(queue), []
+    def place(self, queue: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, offset in queue, length, place among all tokens) of the runs that documents are cut into; queue: numbers."""
+        out = []
         for base, windows, had, takes in self.phases:
-            take = takes[q]
-            low, high = np.maximum(start - had[q], 0), np.minimum(start + length - had[q], take)
+            low, high = np.maximum(start - had[queue], 0), np.minimum(start + length - had[queue], takes[queue])
             row = np.flatnonzero(low < high)
             if not len(row):
                 continue
-            low, high = low[row], high[row]
-            first, last = (self._window(take, windows, x) for x in (low, high - 1))
-            n = last - first + 1
+            low, high, take, owed = low[row], high[row], takes[queue[row]], self.owed[queue[row]]
+            first, last = (self._window(take, owed, windows, x) for x in (low, high - 1))
+            # A queue that gives less than a token a window is followed by tokens, others by windows.
+            by_token = take < windows
+            n = np.where(by_token, high - low, last - first + 1)
             index = np.repeat(np.arange(len(row)), n)
-            w = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-            here = self._had(take, windows, w)
-            a, b = np.maximum(here, low[index]), np.minimum(self._had(take, windows, w + 1), high[index])
-            g = base + a - here
-            for k, other in enumerate(takes):
-                g += self._had(other, windows, w + (1 if k < q else 0))
+            w = np.repeat(np.where(by_token, low, first) - np.cumsum(n) + n, n) + np.arange(n.sum())
+            single = by_token[index]
+            w[single] = self._window(take[index[single]], owed[index[single]], windows, w[single])
+            here = self._had(take[index], owed[index], windows, w)
+            a, b = np.maximum(here, low[index]), np.minimum(self._had(take[index], owed[index], windows, w + 1), high[index])
             full = a < b
-            out.append((row[index][full], (a + had[q])[full], (b - a)[full], g[full]))
+            full[1:] &= (index[1:] != index[:-1]) | (w[1:] != w[:-1])
+            index, w, here, a, b = index[full], w[full], here[full], a[full], b[full]
+            q = queue[row][index]
+            out.append((row[index], a + had[q], b - a, base + a - here + self._before(takes, windows, q, w)))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 4
 
-    def _window(self, take: int, windows: int, x: np.ndarray) -> np.ndarray:
+    def _before(self, takes: np.ndarray, windows: int, q: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Tokens of all queues before the part of queue q in window w."""
+        found, at = np.unique(w, return_inverse=True)
+        out, order = np.empty(len(w), np.int64), np.argsort(at, kind="stable")
+        step = max(1, MOST_CELLS // len(takes))
+        edges = np.searchsorted(at[order], np.arange(0, len(found) + step, step))
+        for k, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            some, mine = found[k * step : (k + 1) * step, None], order[i:j]
+            now, after = (np.cumsum(self._had(takes, self.owed, windows, x), axis=1) for x in (some, some + 1))
+            r, before = at[mine] - k * step, q[mine] - 1
+            out[mine] = now[r, -1] + np.where(before < 0, 0, after[r, before] - now[r, before])
+        return out
+
+    def _window(self, take: np.ndarray, owed: np.ndarray, windows: int, x: np.ndarray) -> np.ndarray:
         w = np.clip((x / take * windows).astype(np.int64), 0, windows - 1)
-        while (late := (self._had(take, windows, w) > x)).any():
+        while (late := (self._had(take, owed, windows, w) > x)).any():
             w = w - late
-        while (early := (self._had(take, windows, w + 1) <= x)).any():
+        while (early := (self._had(take, owed, windows, w + 1) <= x)).any():
             w = w + early
         return w
 
@@ -162,14 +179,16 @@ def packed(docs: DataFrame, tokenizer_path: str, size: int = 4096, end_id: int =
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = schedule.value
+        number = {name: k for k, name in enumerate(plan.names)}
         for batch in stream:
-            queues = np.array(batch.column("queue").to_pylist(), object)
+            queues = np.array([number[x] for x in batch.column("queue").to_pylist()], np.int64)
             start = batch.column("start").to_numpy()
             tokens = batch.column("doc_tokens").to_numpy()
             ids, doc_ids = batch.column("ids"), batch.column("doc_id")
-            for queue in dict.fromkeys(queues.tolist()):
-                mine = np.flatnonzero(np.array([x == queue for x in queues.tolist()]))
-                row, offset, length, sequence, place = plan.cut(*plan.place(queue, start[mine], tokens[mine]))
+            part = np.cumsum(tokens) // MOST_TOKENS
+            for p in np.unique(part):
+                mine = np.flatnonzero(part == p)
+                row, offset, length, sequence, place = plan.cut(*plan.place(queues[mine], start[mine], tokens[mine]))
                 order = np.lexsort((offset, row))
                 row, offset, length, sequence, place = mine[row[order]], offset[order], length[order], sequence[order], place[order]
                 offset -= start[row]
@@ -181,9 +200,10 @@ def packed(docs: DataFrame, tokenizer_path: str, size: int = 4096, end_id: int =
                 )
 
     table = starts.select(F.col("queue").alias("__queue"), F.col("block").alias("__block"), "base")
-    if table.count() <= MOST_BROADCAST_ROWS:
-        table = F.broadcast(table)
-    joined = rows.join(table, rows["queue"].eqNullSafe(table["__queue"]) & (rows["block"] == table["__block"]))
+    few = table.count() <= MOST_BROADCAST_ROWS
+    joined = rows.join(F.broadcast(table) if few else table, rows["queue"].eqNullSafe(table["__queue"]) & (rows["block"] == table["__block"]))
+    if not few:  # documents of one block fall into much the same windows
+        joined = joined.sortWithinPartitions("block", "before")
     return joined.select("doc_id", "queue", (F.col("base") + F.col("before")).alias("start"), "doc_tokens", "ids").mapInArrow(run, _PIECES_SQL)
 
 

@@ -154,6 +154,28 @@ def test_packing_places_every_id_once(weights, spark):
                     assert abs(sum(r.length for r in pieces if source[r.doc_id] == name) - share * size) <= 8
 
 
+def test_packing_keeps_a_queue_for_each_of_many_sources(spark):
+    path, size = tokenizer_path("word_bpe_49k.json"), 64
+    rows = [(k, "the cat " * 20, None, f"s{k % 1500}" if k % 1500 else None, 0) for k in range(3000)]
+    rows += [(3000 + k, "the cat " * 200, None, "named", 0) for k in range(100)]
+    got = packing.packed(spark.createDataFrame(rows, brute.SCHEMA).repartition(3), path, size=size, weights={"named": 3, "s1": 1}).collect()
+    by_doc, first = {}, {}
+    for r in got:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        first[r.sequence_id] = first.get(r.sequence_id, 0) + (r.doc_id >= 3000) * r.length
+    assert set(by_doc) == {r[0] for r in rows} and all(sum(x.length for x in p) == p[0].doc_tokens for p in by_doc.values())
+    places = sorted((r.sequence_id, r.offset, r.length) for r in got)
+    assert all(b[1] == a[1] + a[2] if a[0] == b[0] else b[1] == 0 for a, b in zip(places, places[1:]))
+    assert abs(first[0] - 48) <= 4  # three parts named, one part s1, nothing of others yet
+    assert all(r.doc_id >= 3000 or r.doc_id % 1500 == 1 for r in got if r.sequence_id < 4)
+    natural = packing.packed(spark.createDataFrame(rows, brute.SCHEMA).repartition(3), path, size=size).collect()
+    share = sum(p[0].doc_tokens for i, p in by_doc.items() if i >= 3000) / sum(p[0].doc_tokens for p in by_doc.values())
+    named = {}
+    for r in natural:
+        named[r.sequence_id] = named.get(r.sequence_id, 0) + (r.doc_id >= 3000) * r.length
+    assert all(abs(n - share * size) <= 8 for s, n in named.items() if s < len(named) - 8)
+
+
 def test_packing_edge_tables(spark):
     path = tokenizer_path("word_bpe_49k.json")
     assert packing.packed(spark.createDataFrame([], brute.SCHEMA), path).collect() == []

@@ -274,11 +274,12 @@ def basename_collision(spark, sf_dir):
 def resume_skip(spark, sf_dir):
     files = _table(spark, sf_dir, "documents").groupBy(F.col("source").alias("path")).agg(F.count("*").alias("size")).withColumn("key", F.lit("text"))
     number = F.substring("path", 4, 10).cast("int")
-    # The earlier run saw every third file, but recorded an odd size as even.
+    # The earlier run saw every third file, but recorded an odd size as even, or lost a line of its output.
     earlier = files.where(number % 3 == 0).select(
-        "path", "key", (F.col("size") - F.col("size") % 2).alias("input_size_bytes"), F.col("path").alias("basename"), *[F.lit(0).alias(f"{b}_rows") for b in ("kept", "rejected", "unknown")]
+        "path", "key", (F.col("size") - F.when(number % 2 == 0, F.col("size") % 2).otherwise(0)).alias("input_size_bytes"), F.col("path").alias("basename"), F.col("size").alias("kept_rows"), *[F.lit(0).alias(f"{b}_rows") for b in ("rejected", "unknown")]
     )
-    return resume.remaining(files, resume.finished(files, earlier)).select("path", "size")
+    written = files.select(F.col("path").alias("basename"), F.lit("en").alias("bucket"), (F.col("size") - F.col("size") % 2).alias("lines"))
+    return resume.remaining(files, resume.finished(files, earlier, written)).select("path", "size")
 
 
 def _chats(spark, sf_dir, role: str, content: str, key: str) -> DataFrame:

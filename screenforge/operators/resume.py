@@ -16,7 +16,7 @@ def finished(files: DataFrame, earlier: DataFrame, written: DataFrame | None = N
     same = files.join(old, "path").where(F.col("key").eqNullSafe(F.col("__key")) & (F.col("size") == F.col("__size")))
     if written is not None:
         wide = written.groupBy("basename").agg(*[F.sum(F.when(F.col("bucket") == b, F.col("lines")).otherwise(0)).alias(f"lines_{b}") for b in ("en", "non_selected", "unknown")])
-        same = same.join(wide, "basename").where("lines_en = kept_rows and lines_non_selected = rejected_rows and lines_unknown = unknown_rows")
+        same = same.join(wide, "basename", "left").na.fill(0, ["lines_en", "lines_non_selected", "lines_unknown"]).where("lines_en = kept_rows and lines_non_selected = rejected_rows and lines_unknown = unknown_rows")
     return same.select("path", "basename")
 
 

@@ -64,8 +64,8 @@ def _newest_manifest(spark: SparkSession, output: str) -> dict | None:
 def run(spark: SparkSession, csv_path: str, output: str, config: ScreenConfig, detector=None, again: bool = True, sample: float = 0.001) -> dict:
     """Screens a worklist into output/run_<time>/ and returns its summary and findings.
 
-    again: files that the newest run has finished under the same settings are not read anew; its manifest entries
-    are carried into the new one.  Findings don't fail the run.
+    again: files that the newest run has finished under the same settings, and whose outputs have the lines it counted, are
+    not read anew; its manifest entries and outputs are carried into the new one.  Findings don't fail the run.
     """
     prepare(spark)
     began = time.time()
@@ -82,14 +82,17 @@ def run(spark: SparkSession, csv_path: str, output: str, config: ScreenConfig, d
     before = _newest_manifest(spark, output) if again else None
     if before and before["run_info"]["config"] == settings and before["per_file"]:
         old = spark.createDataFrame([{k: f[k] for k in ("path", "key", "input_size_bytes", "basename", "kept_rows", "rejected_rows", "unknown_rows")} for f in before["per_file"]])
-        done = {r["path"] for r in resume.finished(entries, old).collect()}
+        lines = f"{output}/{before['run']}/lines"
+        there = sinks.read_routed(spark, lines) if sinks.exists(spark, lines) else spark.createDataFrame([], "value string, basename string, bucket string")
+        written = there.groupBy("basename", "bucket").agg(F.count("*").alias("lines"))
+        done = {r["path"] for r in resume.finished(entries, old, written).collect()}
         carried = [f for f in before["per_file"] if f["path"] in done]
         named = named.where(~F.col("path").isin(*done)) if done else named
     info = {r["path"]: r.asDict() for r in named.collect()}
     summary = {"missing": missing, "skipped": len(carried), "files": len(info), "findings": []}
     if not info:
         return summary
-    if not verify.disk_space(output, sum(f["size"] for f in info.values())):
+    if not verify.disk_space(output, sum(f["size"] for f in info.values()) + sum(f["input_size_bytes"] for f in carried)):
         summary["findings"].append((output, "too little disk space"))
 
     folder = f"{output}/run_{time.strftime('%Y%m%d_%H%M%S')}_{os.urandom(3).hex()}"
@@ -98,6 +101,9 @@ def run(spark: SparkSession, csv_path: str, output: str, config: ScreenConfig, d
     everything = everything.drop("v", "text", "line", "found").persist()
     try:
         sinks.write_routed(everything, f"{folder}/lines")
+        kept = [f["basename"] for f in carried if f["kept_rows"] or f["rejected_rows"] or f["unknown_rows"]]
+        if kept:
+            sinks.carry(spark, f"{output}/{before['run']}/lines", f"{folder}/lines", kept)
         langs, schemas = stats.labels_of(everything, "lang"), stats.labels_of(everything, "schema")
         files = stats.by_file(everything)
         for column, labels in (("lang", langs), ("schema", schemas)):
@@ -122,7 +128,7 @@ def run(spark: SparkSession, csv_path: str, output: str, config: ScreenConfig, d
         sinks.write_text(spark, f"{folder}/manifest.json", sinks.manifest_json(run_info, total, per_file + carried))
 
         written = sinks.read_routed(spark, f"{folder}/lines")
-        known = spark.createDataFrame([{k: f[k] for k in ("path", "basename", "input_size_bytes", "kept_rows", "rejected_rows", "unknown_rows")} for f in per_file])
+        known = spark.createDataFrame([{k: f[k] for k in ("path", "basename", "input_size_bytes", "kept_rows", "rejected_rows", "unknown_rows")} for f in per_file + carried])
         summary["findings"] += verify.report(
             verify.accounting(files),
             verify.line_counts(known, written),

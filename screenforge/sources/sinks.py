@@ -24,6 +24,17 @@ def read_routed(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schema).option("lineSep", "\n").text(folder)
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def carry(spark: SparkSession, source: str, target: str, names: list[str]) -> None:
+    """Copies the outputs of the named files from an earlier run's folder, as they are, to another's."""
+    rows = read_routed(spark, source).where(F.col("basename").isin(names))
+    rows.write.mode("append").option("lineSep", "\n").partitionBy("basename", "bucket").text(target)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small text file, on any file system that Spark reaches."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

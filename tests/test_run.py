@@ -58,6 +58,23 @@ def test_run_and_resume(spark, corpus):
     assert screen.run(spark, str(corpus / "list.csv"), out, ScreenConfig(confidence=0.8))["files"] == 2
 
 
+def test_resume_needs_and_carries_outputs(spark, corpus):
+    import shutil
+    from pathlib import Path
+
+    def run():
+        return screen.run(spark, str(corpus / "list.csv"), str(corpus / "out"), ScreenConfig(), sample=1.0)
+
+    folder = Path(run()["folder"])
+    shutil.rmtree(folder / "lines" / "basename=in_one_b")
+    second = run()
+    assert (second["skipped"], second["files"], second["findings"]) == (1, 1, [])
+    for name, bucket, n in (("in_one_a", "en", 3), ("in_one_a", "non_selected", 3), ("in_one_a", "unknown", 1), ("in_one_b", "en", 4)):
+        assert len(lines_of(Path(second["folder"]), name, bucket)) == n
+    assert lines_of(Path(second["folder"]), "in_one_a", "en") == lines_of(folder, "in_one_a", "en")
+    assert run()["files"] == 0
+
+
 def test_plan_writes_nothing(spark, corpus):
     plan = screen.plan(spark, str(corpus / "list.csv"), ScreenConfig())
     assert plan["files"] == 2 and plan["units"] == 2 and plan["missing"] and not plan["collisions"]

@@ -67,9 +67,12 @@ def disk_space(folder: str, input_bytes: int, factor: float = 1.1) -> bool:
     return stat.f_bavail * stat.f_frsize >= factor * input_bytes
 
 
-def report(*findings: DataFrame) -> list[tuple[str, str]]:
-    """Findings of checks by file; few, as a run with many has failed."""
-    out = []
+def report(*findings: DataFrame, folder: str) -> tuple[list[tuple[str, str]], int]:
+    """The first findings of checks by file, and the count of all; all are written to folder as JSON lines."""
+    out = None
     for df in findings:
-        out += [(str(r[0]), r["finding"]) for r in df.limit(100).collect()]
-    return out
+        part = df.select(F.col(df.columns[0]).cast("string").alias("subject"), "finding")
+        out = part if out is None else out.unionByName(part)
+    out.write.mode("errorifexists").json(folder)
+    found = out.sparkSession.read.schema("subject string, finding string").json(folder)
+    return [(r["subject"], r["finding"]) for r in found.limit(100).collect()], found.count()

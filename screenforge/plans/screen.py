@@ -129,13 +129,16 @@ def run(spark: SparkSession, csv_path: str, output: str, config: ScreenConfig, d
 
         written = sinks.read_routed(spark, f"{folder}/lines")
         known = spark.createDataFrame([{k: f[k] for k in ("path", "basename", "input_size_bytes", "kept_rows", "rejected_rows", "unknown_rows")} for f in per_file + carried])
-        summary["findings"] += verify.report(
+        first, count = verify.report(
             verify.accounting(files),
             verify.line_counts(known, written),
             verify.coverage(blocks),
             verify.size_ratio(known, written),
             verify.json_sample(written.where("bucket = 'en'").select("value"), sample),
+            folder=f"{folder}/findings",
         )
+        summary["total_findings"] = len(summary["findings"]) + count
+        summary["findings"] += first
     finally:
         everything.unpersist()
     return summary | {"folder": folder, "total": total}

@@ -75,6 +75,14 @@ def test_resume_needs_and_carries_outputs(spark, corpus):
     assert run()["files"] == 0
 
 
+def test_all_findings_are_written_and_counted(spark, tmp_path):
+    from screenforge.operators import verify
+
+    found = spark.range(250).selectExpr("concat('f', id) AS path", "'wrong' AS finding")
+    first, count = verify.report(found, found.limit(0), folder=str(tmp_path / "findings"))
+    assert (len(first), count) == (100, 250) and spark.read.json(str(tmp_path / "findings")).count() == 250
+
+
 def test_plan_writes_nothing(spark, corpus):
     plan = screen.plan(spark, str(corpus / "list.csv"), ScreenConfig())
     assert plan["files"] == 2 and plan["units"] == 2 and plan["missing"] and not plan["collisions"]

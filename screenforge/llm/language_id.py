@@ -11,7 +11,9 @@ The trees learn from a bounded sample: up to SAMPLE_PER_LANGUAGE documents of ea
 hash among those that may be learnt from.
 
 Defined results: null text and text without a letter give `und` and score 0; ties go to the first label in order;
-without anything to learn from, every prediction is `und`; a null doc_id is not held out and never learnt from.
+without anything to learn from, every prediction is `und`; a null doc_id is not held out and never learnt from; every
+row is predicted by itself, repeated rows too (they are learnt from as often as they stand there); an empty table gives
+no rows; very long texts are scored whole, in slices of rows; other columns are kept or ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import record, whole_text
+from .common import record, tidy, whole_text
 from .textscan import column_bytes, slices
 
 ORDER = 3
@@ -84,7 +86,7 @@ class Trees:
 
     def score(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For slices of a column: (code lengths by row and language in bits, bytes by row)."""
-        for a, b in slices(column, 2 << 20):
+        for a, b in slices(column, 1 << 19):
             raw, offsets = column_bytes(column.slice(a, b - a))
             grams = _grams(raw, offsets)
             at = np.minimum(np.searchsorted(self.known, grams), len(self.known) - 1)
@@ -121,9 +123,10 @@ def trained(docs: DataFrame) -> Trees:
             langs = np.array(batch.column(0).to_pylist(), object)
             for lang in dict.fromkeys(langs.tolist()):
                 mine = batch.column(1).filter(pa.array(langs == lang))
-                for a, b in slices(mine):
+                for a, b in slices(mine, 1 << 19):
                     grams, n = np.unique(_grams(*column_bytes(mine.slice(a, b - a))), return_counts=True)
                     yield record({"lang": [lang] * len(n), "gram": grams.astype(np.int64), "n": n}, schema)
+            tidy()
 
     rows = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     langs, grams, n = (rows.column(c).to_numpy() for c in ("lang", "gram", "n"))
@@ -167,6 +170,7 @@ def predicted(docs: DataFrame, trees: Trees, prefix: str = "") -> DataFrame:
                 [*batch.columns, pa.array(labels, pa.string()), pa.array(score), pa.array(rate)],
                 schema=pa.schema([*(batch.schema.field(k) for k in range(len(columns))), *added]),
             )
+            tidy()
 
     schema = docs.schema
     for name, kind in (("lang_pred", "string"), ("score", "double"), ("bits_per_byte", "double")):

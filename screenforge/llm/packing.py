@@ -10,7 +10,8 @@ is padded.
 
 Defined results: null text counts as empty (the document is its end token alone); null source is a queue of its own;
 every source has a queue, however many there are (the schedule, a few numbers a source and phase, is held by the driver
-and each worker); an empty table gives no pieces; repeated rows are packed each.
+and each worker); an empty table gives no pieces; rows with a null doc_id and repeated rows are packed each; very long
+texts are encoded and packed whole, in as many pieces as they need; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, record, whole_text
+from .common import durable, record, tidy, whole_text
 from .tokens import ChunkCache, encoded, huggingface_encoder
 
 #: Tokens that are placed at a time, and cells (windows by queues) that are summed at a time.
@@ -37,12 +38,23 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", p
 _PIECES_SQL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
+_caches: dict[str, ChunkCache] = {}
+
+
+def _cache(path: str) -> ChunkCache:
+    """A cache of encoded chunks over a tokenizer, which a Python worker reads once."""
+    if path not in _caches:
+        _caches.clear()
+        _caches[path] = ChunkCache(huggingface_encoder(path))
+    return _caches[path]
+
+
 def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """Every document's ids, its block (task) and the tokens of its queue before it in that block."""
     queue = F.col("source").cast("string")
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, before, block = ChunkCache(huggingface_encoder(tokenizer_path)), {}, TaskContext.get().partitionId()
+        cache, before, block = _cache(tokenizer_path), {}, TaskContext.get().partitionId()
         for batch in stream:
             ids, names, texts = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
             for a, values, first in encoded(texts, cache):
@@ -59,6 +71,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
                     out["ids"].append((mine if mine.max() > 65535 else mine.astype("<u2")).tobytes())
                     before[name] = before.get(name, 0) + len(mine)
                 yield record(out, _TOKENS)
+                tidy()
 
     rows = whole_text(docs.select("doc_id", queue.alias("queue"), "text"))
     return rows.mapInArrow(run, "doc_id long, queue string, block long, before long, doc_tokens long, ids binary")
@@ -198,6 +211,8 @@ def packed(docs: DataFrame, tokenizer_path: str, size: int = 4096, end_id: int =
                     {"doc_id": doc_ids.take(pa.array(row)), "start": offset, "length": length, "ids_crc32": [zlib.crc32(b) for b in bodies], "doc_tokens": tokens[row], "sequence_id": sequence, "offset": place, "ids": bodies},
                     _PIECES,
                 )
+                del words, bodies
+            tidy()
 
     table = starts.select(F.col("queue").alias("__queue"), F.col("block").alias("__block"), "base")
     few = table.count() <= MOST_BROADCAST_ROWS

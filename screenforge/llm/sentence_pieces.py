@@ -1,24 +1,28 @@
-"""SentencePiece encoding and decoding in numpy.
+"""SentencePiece encoding and decoding by a batched Viterbi pass in numpy.
 
-Words of equal length in code points are encoded together.  Hashes of substrings, from running sums over the bytes,
-probe the sorted keys of all pieces.
+Words of equal length in code points advance together, one code point at a time.  Hashes of the substrings that end
+there probe the sorted keys of all pieces, a vectorised maximum picks one of the pieces found, and its start is stored
+as backpointer.
 
-* Unigram models: Viterbi.  For each end, the best start is a vectorised maximum over all pieces that end there;
-  starts are stored as backpointers.
-* BPE models: Viterbi would maximise a sum of scores, which isn't what BPE does, so it gives other pieces.  Here the
-  vectorised maximum picks each word's best merge of neighbours, leftmost among ties, until no word has one left.
+* Unigram models: the maximum is that of the summed scores.
+* BPE models: a sum of scores isn't what BPE maximises.  But the encoding of a prefix is that of a shorter prefix and one
+  more piece, and there is exactly one piece for which this holds: the one that, after the last piece of the shorter
+  prefix, is what BPE makes of the two pieces' text.  That condition takes the place of the score; it is read off the
+  merges that form the two pieces (see `compatible`), for all words and starts at once.
 
 Texts are cut where no piece can cross: before white space that follows something else, and around line feeds.  Only
-chunks that a bounded cache doesn't hold are encoded.
+chunks that a bounded cache doesn't hold are encoded.  Chunks of more than _LONG code points take the same steps one by
+one, with the probes still in bulk.
 
 Defined results: null text counts as empty, which has no pieces; code points that no piece covers become byte pieces,
-or the unknown piece in models without them.
+or the unknown piece in models without them; every row is encoded, also rows with null or repeated doc_id; an empty
+table gives no rows; very long texts are encoded whole, in time proportional to their length; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -27,15 +31,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import record, whole_text
-from .textscan import prefix_sums, span_hashes
+from .common import record, tidy, whole_text
+from .textscan import span_hashes
 from .tokens import ChunkCache, encoded
 
 _MARK = "▁".encode()
 _UNIGRAM, _BPE = 1, 2
 _NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
-#: Longer chunks are merged one by one, with a heap.
+#: Longer chunks are encoded one by one.
 _LONG = 160
+_NEVER = 1 << 62
 
 
 class Pieces:
@@ -67,12 +72,14 @@ class Pieces:
         scores = np.array([p[1] for p in pieces])
         raw = np.frombuffer(b"".join(texts[k] for k in usable), np.uint8)
         ends = np.cumsum([len(texts[k]) for k in usable])
-        keys = span_hashes(prefix_sums(raw), np.r_[0, ends[:-1]], ends)
+        keys = span_hashes(raw, np.r_[0, ends[:-1]], ends)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(usable)[order]
         self.scores = scores[self.ids]
         self.longest = max((len(texts[k].decode()) for k in usable), default=1)
         self.lowest = float(self.scores.min()) if len(usable) else 0.0
+        if kind == _BPE:
+            self._merges(texts)
         self.unknown = next((k for k, p in enumerate(pieces) if p[2] == _UNKNOWN), 0)
         self.bytes = np.full(256, -1)
         self.output = texts
@@ -87,12 +94,118 @@ class Pieces:
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.flat = np.frombuffer(b"".join(self.output), np.uint8)
 
-    def probe(self, total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def probe(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(whether each span is a piece, its place in keys)."""
-        key = span_hashes(total, starts, ends)
+        key = span_hashes(raw, starts, ends)
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return self.keys[at] == key, at
 
+    def _merges(self, texts: list[bytes]) -> None:
+        """Lays out how BPE forms each piece.
+
+        Symbols are the places of pieces in keys and, after them, single code points that are no pieces.  rank: the order
+        in which merges to a piece are preferred, equal scores alike.  when: the rank by which the piece has been formed (-1 for a code point,
+        _NEVER if BPE never forms it).  left, right: what it was merged from.  pairs: all pairs of symbols that are a piece
+        together, sorted, with its rank.  Models come from merges in order, so that no piece is preferred to its parts; others
+        are refused.
+        """
+        _, rank = np.unique(-self.scores, return_inverse=True)
+        lengths = [len(texts[k].decode()) for k in self.ids.tolist()]
+        letters = sorted({c for k in self.ids.tolist() for c in texts[k].decode()})
+        raw = np.frombuffer(b"".join(texts[k] for k in self.ids.tolist()) + "".join(letters).encode(), np.uint8)
+        ends = np.cumsum([len(texts[k]) for k in self.ids.tolist()] + [len(c.encode()) for c in letters])
+        starts = np.r_[0, ends[:-1]]
+        count = len(self.ids)
+        single, at = self.probe(raw, starts[count:], ends[count:])
+        extra = np.flatnonzero(~single)
+        size = count + len(extra)
+        order = np.argsort(span_hashes(raw, starts[count:][extra], ends[count:][extra]))
+        extra = extra[order]
+        self.extra = span_hashes(raw, starts[count:][extra], ends[count:][extra])
+        self.when = np.full(size, _NEVER)
+        self.left, self.right = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        self.when[count:] = -1
+        self.when[at[single]] = -1
+        self.longest = max(lengths, default=1)
+        keys, ranks = [], []
+        lengths = np.array(lengths, np.int64)
+        first = np.flatnonzero((raw & 0xC0) != 0x80)
+        begin = np.searchsorted(first, starts[:count])
+        first = np.append(first, len(raw))
+        for n in np.unique(lengths[lengths > 1]).tolist():
+            which = np.flatnonzero(lengths == n)
+            places = first[begin[which][:, None] + np.arange(n + 1)]
+            for k in range(1, n):
+                a, b = self.symbols(raw, places[:, 0], places[:, k]), self.symbols(raw, places[:, k], places[:, n])
+                good = (a >= 0) & (b >= 0)
+                keys.append(a[good] * size + b[good])
+                ranks.append(rank[which[good]])
+            whole, cut = self._last_merge(raw, places)
+            a, b = self.symbols(raw, places[:, 0], cut), self.symbols(raw, cut, places[:, n])
+            which, a, b = which[whole], a[whole], b[whole]
+            self.left[which], self.right[which] = a, b
+            if (np.maximum(self.when[a], self.when[b]) > rank[which]).any():
+                raise ValueError("a BPE model's piece is preferred to the pieces that it is merged from")
+            self.when[which] = rank[which]
+        keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+        order = np.argsort(keys)
+        self.pairs, self.pair_rank = np.append(keys[order], np.iinfo(np.int64).max), np.append(np.concatenate(ranks)[order] if ranks else np.zeros(0, np.int64), 0)
+        self.held: dict[int, bool] = {}
+
+    def symbols(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The symbol of each span; -1 if it is none."""
+        key = span_hashes(raw, starts, ends)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        out = np.where(self.keys[at] == key, at, -1)
+        if len(self.extra):
+            at = np.minimum(np.searchsorted(self.extra, key), len(self.extra) - 1)
+            out = np.where((out < 0) & (self.extra[at] == key), at + len(self.keys), out)
+        return out
+
+    def _last_merge(self, raw: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """BPE on each row's text by itself: (whether it ends as one piece, the edge that its last merge takes away)."""
+        edges, cut = places.copy(), places[:, 0].copy()
+        whole = np.zeros(len(places), bool)
+        rows = np.arange(len(places))
+        while len(rows):
+            if edges.shape[1] == 2:
+                whole[rows] = True
+                break
+            known, at = self.probe(raw, edges[:, :-2].ravel(), edges[:, 2:].ravel())
+            score = np.where(known, self.scores[at], -np.inf).reshape(len(edges), -1)
+            pick = score.argmax(1)
+            going = ~np.isneginf(score[np.arange(len(rows)), pick])
+            rows, edges, pick = rows[going], edges[going], pick[going] + 1
+            cut[rows] = edges[np.arange(len(rows)), pick]
+            stay = np.arange(edges.shape[1]) != pick[:, None]
+            edges = edges[stay].reshape(len(rows), edges.shape[1] - 1)
+        return whole, cut
+
+    def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether BPE makes of two symbols' text these two symbols; -1 stands for a code point that no piece holds.
+
+        The boundary stays unless the symbols at it merge at some moment.  Those moments are gone through backwards: of
+        the two symbols at the boundary the one formed later (of equally late ones the right one, as merges go from left
+        to right) is taken back to its part at the boundary, and the pair that was there until then merges first if it
+        is preferred to the merge taken back.
+        """
+        out = np.ones(len(a), bool)
+        at = np.flatnonzero((a >= 0) & (b >= 0))
+        x, y, limit = a[at], b[at], np.full(len(at), 2 * _NEVER)
+        size = len(self.when)
+        while len(at):
+            key = x * size + y
+            place = np.searchsorted(self.pairs, key)
+            bad = (self.pairs[place] == key) & (2 * self.pair_rank[place] < limit)
+            out[at[bad]] = False
+            when_x, when_y = self.when[x], self.when[y]
+            back = when_x > when_y
+            limit = np.where(back, 2 * when_x, 2 * when_y + 1)
+            x, y = np.where(back, self.right[x], x), np.where(back, y, self.left[y])
+            more = ~bad & (limit > 0)
+            at, x, y, limit = at[more], x[more], y[more], limit[more]
+        return out
+
     def encode(self, chunks: list[bytes]) -> list[np.ndarray]:
         """Ids of chunks in which a space stands for the mark."""
         return [np.frombuffer(ids, "<i4").astype(np.int64) for ids in self.packed(chunks)]
@@ -101,7 +214,6 @@ class Pieces:
         """encode, with each chunk's ids as packed 32-bit numbers."""
         out: list = [None] * len(chunks)
         raw = np.frombuffer(b"".join(chunks), np.uint8)
-        total = prefix_sums(raw)
         letters = np.flatnonzero((raw & 0xC0) != 0x80)
         begin = np.cumsum([0, *map(len, chunks)])
         first = np.searchsorted(letters, begin)
@@ -115,17 +227,15 @@ class Pieces:
                 continue
             for part in np.array_split(which, max(1, len(which) * n // 200_000)):
                 places = letters[first[part][:, None] + np.arange(n + 1)]  # byte edges of each word's code points
-                if self.kind == _UNIGRAM:
-                    spans = self._viterbi(total, places)
-                elif n > _LONG:
-                    spans = [self._merge_long(total, row) for row in places]
+                if self.kind == _BPE and n > _LONG:
+                    spans = [self._long(raw, row) for row in places]
                 else:
-                    spans = self._merge(total, places)
+                    spans = self._viterbi(raw, places)
                 for k, edges in zip(part.tolist(), spans, strict=True):
                     out[k] = edges
-        return self._written(total, raw, out)
+        return self._written(raw, out)
 
-    def _written(self, total: np.ndarray, raw: np.ndarray, edges: list[np.ndarray]) -> list[bytes]:
+    def _written(self, raw: np.ndarray, edges: list[np.ndarray]) -> list[bytes]:
         """The ids of chunks cut at the given edges."""
         if not edges:
             return []
@@ -135,7 +245,7 @@ class Pieces:
         inside = np.ones(len(flat), bool)
         inside[np.cumsum(count + 1) - 1] = False  # the last edge of a chunk starts nothing
         starts = np.flatnonzero(inside)
-        known, at = self.probe(total, flat[starts], flat[starts + 1])
+        known, at = self.probe(raw, flat[starts], flat[starts + 1])
         whole = self.ids[at].astype("<i4").tobytes()
         out = [whole[4 * a : 4 * b] for a, b in zip((upto - count).tolist(), upto.tolist(), strict=True)]
         for k in np.unique(np.searchsorted(upto, np.flatnonzero(~known), side="right")).tolist():
@@ -154,20 +264,32 @@ class Pieces:
                 out.append(self.unknown)
         return out
 
-    def _viterbi(self, total: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
+    def _viterbi(self, raw: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
         words, n = places.shape[0], places.shape[1] - 1
+        row = np.arange(words)
+        back = np.zeros((words, n + 1), np.int64)
         best = np.full((words, n + 1), -np.inf)
         best[:, 0] = 0
-        back = np.zeros((words, n + 1), np.int64)
+        last = np.full((words, n + 1), -1)
         for end in range(1, n + 1):
             starts = np.arange(max(0, end - self.longest), end)
-            known, at = self.probe(total, places[:, starts].ravel(), np.repeat(places[:, end], len(starts)))
-            score = np.where(known, self.scores[at], -np.inf).reshape(words, -1)
-            single = score[:, -1]
-            score[:, -1] = np.where(np.isneginf(single), self.lowest - 10.0, single)  # an unknown code point
-            score = score + best[:, starts]
-            pick = score.argmax(1)
-            best[:, end] = score[np.arange(words), pick]
+            begin, finish = places[:, starts].ravel(), np.repeat(places[:, end], len(starts))
+            if self.kind == _UNIGRAM:
+                known, at = self.probe(raw, begin, finish)
+                score = np.where(known, self.scores[at], -np.inf).reshape(words, -1)
+                single = score[:, -1]
+                score[:, -1] = np.where(np.isneginf(single), self.lowest - 10.0, single)  # an unknown code point
+                score = score + best[:, starts]
+                pick = score.argmax(1)
+                best[:, end] = score[row, pick]
+            else:
+                found = self.symbols(raw, begin, finish).reshape(words, -1)
+                fits = (found >= 0) & (self.when[found] < _NEVER)
+                fits[:, -1] = True
+                i, j = np.nonzero(fits & (starts > 0))
+                fits[i, j] = self.compatible(last[i, starts[j]], found[i, j])
+                pick = fits.argmax(1)
+                last[:, end] = found[row, pick]
             back[:, end] = starts[pick]
         out = []
         for k in range(words):
@@ -177,56 +299,36 @@ class Pieces:
             out.append(places[k, path[::-1]])
         return out
 
-    def _merge(self, total: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
-        edges, out = places.copy(), [None] * len(places)
-        rows = np.arange(len(places))
-        n = np.full(len(places), edges.shape[1] - 1)
-        score = np.full((len(edges), edges.shape[1]), -np.inf)
-        if edges.shape[1] > 2:
-            known, at = self.probe(total, edges[:, :-2].ravel(), edges[:, 2:].ravel())
-            score[:, : edges.shape[1] - 2] = np.where(known, self.scores[at], -np.inf).reshape(len(edges), -1)
-        while len(rows):
-            pick = score.argmax(1)
-            going = ~np.isneginf(score[np.arange(len(rows)), pick])
-            for k in np.flatnonzero(~going).tolist():
-                out[rows[k]] = edges[k, : n[k] + 1]
-            rows, edges, score, n, pick = rows[going], edges[going], score[going], n[going] - 1, pick[going]
-            if not len(rows):
-                break
-            column = np.arange(edges.shape[1])
-            shift = np.minimum(column + (column > pick[:, None]), edges.shape[1] - 1)
-            edges = np.take_along_axis(edges, shift, 1)  # the edge between the merged neighbours goes
-            score = np.take_along_axis(score, shift, 1)
-            score[:, -1] = -np.inf
-            score[np.arange(len(rows)), np.minimum(n - 1, edges.shape[1] - 1)] = -np.inf
-            for j in (pick - 1, pick):
-                live = np.flatnonzero((j >= 0) & (j + 2 <= n))
-                known, at = self.probe(total, edges[live, j[live]], edges[live, j[live] + 2])
-                score[live, j[live]] = np.where(known, self.scores[at], -np.inf)
-        return out
-
-    def _merge_long(self, total: np.ndarray, edges: np.ndarray) -> np.ndarray:
-        """The same for one long chunk: a heap of merges over a linked list."""
+    def _long(self, raw: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """The same pass over one long chunk of a BPE model."""
         n = len(edges) - 1
-        known, at = self.probe(total, edges[:-2], edges[2:])
-        end, after, before = edges[1:].copy(), np.arange(1, n + 1), np.arange(-1, n - 1)
-        alive = np.ones(n, bool)
-        heap = [(-self.scores[at[k]], k, int(edges[k]), int(edges[k + 2])) for k in np.flatnonzero(known).tolist()]
-        heapq.heapify(heap)
-        while heap:
-            _, k, s, e = heapq.heappop(heap)
-            j = int(after[k]) if alive[k] else n
-            if j >= n or int(edges[k]) != s or int(end[j]) != e:
-                continue
-            end[k], after[k], alive[j] = end[j], after[j], False
-            if after[k] < n:
-                before[after[k]] = k
-            for a in (int(before[k]), k):
-                if a >= 0 and (b := int(after[a])) < n:
-                    good, place = self.probe(total, edges[a : a + 1], end[b : b + 1])
-                    if good[0]:
-                        heapq.heappush(heap, (-self.scores[place[0]], a, int(edges[a]), int(end[b])))
-        return np.append(edges[:-1][alive], edges[-1])
+        last, back = [-1] * (n + 1), [0] * (n + 1)
+        for low in range(1, n + 1, 20_000):
+            ends = np.arange(low, min(low + 20_000, n + 1))
+            starts = np.maximum(ends[:, None] - np.arange(self.longest, 0, -1), 0)
+            found = self.symbols(raw, edges[starts].ravel(), np.repeat(edges[ends], self.longest)).reshape(starts.shape)
+            fits = (found >= 0) & (self.when[found] < _NEVER) & (ends[:, None] >= np.arange(self.longest, 0, -1))
+            fits[:, -1] = True
+            i, j = np.nonzero(fits)
+            done = low - 1
+            for end, start, symbol in zip(ends[i].tolist(), starts[i, j].tolist(), found[i, j].tolist(), strict=True):
+                if end > done and (start == 0 or self._fits(last[start], symbol)):
+                    last[end], back[end], done = symbol, start, end
+        path = [n]
+        while path[-1]:
+            path.append(back[path[-1]])
+        return edges[path[::-1]]
+
+    def _fits(self, a: int, b: int) -> bool:
+        """compatible, for one pair; what is found is kept, in bounds."""
+        if a < 0 or b < 0:
+            return True
+        key = a * len(self.when) + b
+        if key not in self.held:
+            if len(self.held) > 500_000:
+                self.held.clear()
+            self.held[key] = bool(self.compatible(np.array([a]), np.array([b]))[0])
+        return self.held[key]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of a text, without the space that encoding put before it."""
@@ -261,12 +363,25 @@ def encoded_column(texts: pa.Array, cache: ChunkCache) -> Iterator[tuple[int, np
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("ids_crc32", pa.int64()), ("decoded_sha256", pa.string()), ("same", pa.bool_()), ("ids", pa.list_(pa.int32()))])
 
 
+_models: dict[str, ChunkCache] = {}
+
+
+def _model(path: str) -> ChunkCache:
+    """A cache of encoded chunks over a model, which a Python worker reads once."""
+    if path not in _models:
+        model = Pieces(path)
+        _models.clear()
+        _models[path] = ChunkCache(model.packed)
+        _models[path].model = model
+    return _models[path]
+
+
 def pieces(docs: DataFrame, model_path: str, with_ids: bool = True) -> DataFrame:
     """doc_id, n_pieces, ids_crc32 (little-endian unsigned 32-bit), decoded_sha256, same (decoding gives the text back), ids."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Pieces(model_path)
-        cache = ChunkCache(model.packed)
+        cache = _model(model_path)
+        model = cache.model
         for batch in stream:
             for a, values, first in encoded_column(batch.column(1), cache):
                 out: dict[str, list] = {f.name: [] for f in _OUT}
@@ -280,6 +395,7 @@ def pieces(docs: DataFrame, model_path: str, with_ids: bool = True) -> DataFrame
                     out["same"].append(decoded == batch.column(1)[a + k].as_buffer().to_pybytes())
                     out["ids"].append(ids.astype(np.int32) if with_ids else None)
                 yield record(out, _OUT)
+            tidy()
 
     rows = whole_text(docs.select("doc_id", "text"))
     return rows.mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, decoded_sha256 string, same boolean, ids array<int>")

@@ -6,6 +6,8 @@ single bytes that never occur inside another code point, so words can be found o
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -13,22 +15,10 @@ _SEP = np.zeros(256, dtype=bool)
 _SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-#: One pseudo-random 64-bit weight per byte value; fixed by the seed so that every task agrees.
-_WEIGHT = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _powers[0].size < n:
-        size = max(n, 1 << 20)
-        for k, base in enumerate((_BASE, _BASE_INV)):
-            table = np.full(size, base, np.uint64)
-            table[0] = 1
-            np.multiply.accumulate(table, out=table)
-            _powers[k] = table
-    return _powers[0], _powers[1]
+#: Longer spans are hashed one by one.
+_LONG = 256
+#: The lowest bytes of a lane that belong to a span with so many bytes left.
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -75,25 +65,64 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def prefix_sums(raw: np.ndarray, lower: bool = False) -> np.ndarray:
-    """Running sums from which span_hashes gets the hash of any span of the bytes."""
-    up, _ = _power_tables(raw.size + 1)
-    total = np.empty(raw.size + 1, np.uint64)
-    total[0] = 0
-    np.multiply((_WEIGHT[_LOWER] if lower else _WEIGHT)[raw], up[: raw.size], out=total[1:])
-    return np.cumsum(total, out=total)
+def _lanes(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number; beyond the end there are zeros."""
+    held = np.zeros(raw.size + 8, np.uint8)
+    held[: raw.size] = raw
+    return np.ndarray(raw.size + 1, "<u8", held, strides=(1,))
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span's bytes, the same wherever the span stands.
+
+    Eight bytes at a time enter a mixer with full avalanche, as in block hashes; spans of up to eight bytes and equal
+    length never collide.  Long spans take BLAKE2b.
+    """
+    lanes, size = _lanes(raw), ends - starts
+    value = mix(size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))
+    left = np.arange(len(starts))
+    for k in range(0, _LONG, 8):
+        left = left[size[left] > k]
+        if not len(left):
+            break
+        value[left] = mix(value[left] ^ (lanes[starts[left] + k] & _MASK[np.minimum(size[left] - k, 8)]))
+    for i in left[size[left] > _LONG].tolist():
+        value[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return value
 
 
-def span_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span's bytes, the same wherever the span stands."""
-    _, down = _power_tables(total.size)
-    value = (total[ends] - total[starts]) * down[starts]
-    return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+def same_spans(raw: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the bytes from a on and from b on are the same, byte for byte, for each pair of starts."""
+    lanes, same = _lanes(raw), np.ones(len(a), bool)
+    left = np.flatnonzero(a != b)
+    for k in range(0, _LONG, 8):
+        left = left[size[left] > k]
+        if not len(left):
+            break
+        same[left] &= (lanes[a[left] + k] ^ lanes[b[left] + k]) & _MASK[np.minimum(size[left] - k, 8)] == 0
+    for i in left[size[left] > _LONG].tolist():
+        same[i] = raw[a[i] : a[i] + size[i]].tobytes() == raw[b[i] : b[i] + size[i]].tobytes()
+    return same
+
+
+def distinct_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, number): a span of each content, and for every span the place of its content there; bytes decide, not hashes."""
+    _, first, number = np.unique(span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+    size, lead = ends - starts, first[number]
+    wrong = np.flatnonzero((size != size[lead]) | ~same_spans(raw, starts, starts[lead], np.minimum(size, size[lead])))
+    if len(wrong):
+        held: dict[bytes, int] = {}
+        for i in wrong.tolist():
+            number[i] = held.setdefault(raw[starts[i] : ends[i]].tobytes(), len(first) + len(held))
+        lead = np.full(len(held), len(starts))
+        np.minimum.at(lead, number[wrong] - len(first), wrong)
+        first = np.append(first, lead)
+    return first, number
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
-    """span_hashes of words."""
-    return span_hashes(prefix_sums(raw, lower), starts, ends) if starts.size else np.zeros(0, np.uint64)
+    """span_hashes of words, with A-Z lower-cased if wanted."""
+    return span_hashes(_LOWER[raw] if lower else raw, starts, ends)
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:

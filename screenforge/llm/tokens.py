@@ -1,8 +1,8 @@
 """Word-wise tokenisation of whole Arrow columns.
 
 All tokenizers here cut texts at white space before anything else, so that each chunk between cuts encodes alike
-wherever it stands.  A slice of the column is cut at once, equal chunks are found by hash, and only chunks that a
-bounded cache doesn't hold reach the tokenizer.
+wherever it stands.  A slice of the column is cut at once, equal chunks are found (by hash, and compared byte by byte),
+and only chunks that a bounded cache doesn't hold reach the tokenizer.
 """
 
 from __future__ import annotations
@@ -14,16 +14,16 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-from .textscan import column_bytes, slices, word_hashes, word_spans
+from .textscan import column_bytes, distinct_spans, slices, word_spans
 
-_CACHE_MOST = 400_000
+_CACHE_MOST = 200_000
 
 
 class ChunkCache:
     """Ids of chunks (packed 32-bit numbers), computed in groups by encode; at most _CACHE_MOST are kept."""
 
     def __init__(self, encode: Callable[[list[bytes]], list[bytes]]) -> None:
-        self.encode, self.held = encode, {}
+        self.encode, self.held, self.model = encode, {}, None
 
     def values(self, chunks: list[bytes]) -> list[bytes]:
         if len(self.held) > _CACHE_MOST:
@@ -37,13 +37,13 @@ class ChunkCache:
 
 def encoded(column: pa.Array, cache: ChunkCache, spans=word_spans) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For slices of the column: (row of its start, values of all chunks in order, per row the index of its first value)."""
-    for a, b in slices(column, 4 << 20):
+    for a, b in slices(column, 2 << 20):
         raw, offsets = column_bytes(column.slice(a, b - a))
         starts, ends, first = spans(raw, offsets)
         if not len(starts):
             yield a, np.zeros(0, np.int64), np.zeros(b - a + 1, np.int64)
             continue
-        _, where, inverse = np.unique(word_hashes(raw, starts, ends, False), return_index=True, return_inverse=True)
+        where, inverse = distinct_spans(raw, starts, ends)
         whole = raw.tobytes()
         values = cache.values([whole[x:y] for x, y in zip(starts[where].tolist(), ends[where].tolist(), strict=True)])
         sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4

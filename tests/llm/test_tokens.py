@@ -47,12 +47,60 @@ def test_piece_encoding(texts):
             assert model.decode(mine).decode(errors="replace") == plain.decode(mine.tolist())
 
 
-def test_long_chunks_merge_alike():
+def plain_bpe(text: str, scores: dict[str, float]) -> list[str]:
+    parts = list(text)
+    while True:
+        found = [(-scores[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in scores]
+        if not found:
+            return parts
+        k = min(found)[1]
+        parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_forward_pass_is_bpe(seed, monkeypatch):
+    """Made-up pieces, some of them equally preferred or never formed, and code points without a piece."""
+    r = random.Random(seed)
+    made = {"".join(r.choice("ab日") for _ in range(r.randrange(1, 6))) for _ in range(25)} | {"a", "b"}
+    scores = {p: -float(len(p) if seed % 2 else k) for k, p in enumerate(sorted(made, key=lambda p: (len(p), r.random())))}
+    model = sentence_pieces.Pieces.of([(b"<unk>", 0.0, 2)] + [(p.encode(), s, 1) for p, s in scores.items()], 2)
+    words = ["".join(r.choice("aab日c") for _ in range(r.randrange(1, 14))) for _ in range(300)]
+    names = [None, *scores]
+    want = [[names.index(p) if p in scores else 0 for p in plain_bpe(w, scores)] for w in words]
+    want = [[k for j, k in enumerate(x) if k or j == 0 or x[j - 1]] for x in want]
+    assert [x.tolist() for x in model.encode([w.encode() for w in words])] == want
+    monkeypatch.setattr(sentence_pieces, "_LONG", 0)
+    assert [x.tolist() for x in model.encode([w.encode() for w in words])] == want
+
+
+def test_other_bpe_models_are_refused():
+    with pytest.raises(ValueError):  # a part is preferred less than what it forms
+        sentence_pieces.Pieces.of([(b"<unk>", 0.0, 2), (b"a", -9.0, 1), (b"ab", -3.0, 1), (b"aba", -2.0, 1)], 2)
+
+
+def test_long_chunks_encode_alike():
     model = sentence_pieces.Pieces(tokenizer_path("piece_bpe_32k.model"))
     chunk = (" " + "".join(random.Random(2).choice("theingaorst") for _ in range(150))).encode()
-    total = sentence_pieces.prefix_sums(np.frombuffer(chunk, np.uint8))
-    edges = np.arange(len(chunk) + 1)
-    assert model._merge_long(total, edges).tolist() == model._merge(total, edges[None])[0].tolist()
+    raw, edges = np.frombuffer(chunk, np.uint8), np.arange(len(chunk) + 1)
+    assert model._long(raw, edges).tolist() == model._viterbi(raw, edges[None])[0].tolist()
+
+
+def test_equal_chunks_are_told_by_bytes(monkeypatch):
+    """Chunks whose hashes collide keep their own ids."""
+    from tokenizers import Tokenizer
+
+    from screenforge.llm import textscan
+
+    path, words = tokenizer_path("word_bpe_49k.json"), ["one", "two", "three", "two", "x" * 700, "x" * 699 + "y", "one"]
+    monkeypatch.setattr(textscan, "mix", lambda x: x * 0)
+    for _, ids, first in encoded(pa.array([" ".join(words)]), ChunkCache(huggingface_encoder(path))):
+        assert ids.tolist() == Tokenizer.from_file(path).encode(" ".join(words), add_special_tokens=False).ids
+    monkeypatch.undo()
+    a, b = "ab", "ba"
+    for _ in range(9):
+        a, b = a + b, b + a
+    raw = np.frombuffer((a + b).encode(), np.uint8)
+    assert len(set(textscan.span_hashes(raw, np.array([0, 1024]), np.array([1024, 2048])).tolist())) == 2
 
 
 def test_viterbi_on_unigram_pieces():

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import record, tidy, whole_text
-from .textscan import span_hashes
+from .textscan import mix, span_hashes
 from .tokens import ChunkCache, encoded
 
 _MARK = "▁".encode()
@@ -43,6 +43,46 @@ _LONG = 160
 _NEVER = 1 << 62
 
 
+class Slots:
+    """Where each of some different 64-bit numbers stands; most lookups take one step."""
+
+    BITS = 18
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys, bits = np.append(keys, np.uint64(0)), self.BITS
+        left = np.arange(len(keys))
+        self.tables = []
+        while len(left):
+            place = self._place(keys[left], len(self.tables), bits)
+            table = np.full(1 << bits, -1, np.int32)
+            table[place] = left
+            self.tables.append((bits, table))
+            left = left[table[place] != left]
+
+    @staticmethod
+    def _place(keys: np.ndarray, step: int, bits: int) -> np.ndarray:
+        return (keys * np.uint64(2 * step * 0x9E3779B9 + 1) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 for those that aren't there."""
+        out = np.full(len(keys), -1)
+        left = None  # all
+        for step, (bits, table) in enumerate(self.tables):
+            some = keys if left is None else keys[left]
+            at = table[self._place(some, step, bits)]
+            right = self.keys[at] == some
+            right &= at >= 0
+            if left is None:
+                out = np.where(right, at, -1).astype(np.int64)
+                left = np.flatnonzero(~right & (at >= 0))
+            else:
+                out[left[right]] = at[right]
+                left = left[~right & (at >= 0)]
+            if not len(left):
+                break
+        return out
+
+
 class Pieces:
     """A model's pieces, ready to be probed by hash."""
 
@@ -75,6 +115,7 @@ class Pieces:
         keys = span_hashes(raw, np.r_[0, ends[:-1]], ends)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(usable)[order]
+        self.slots = Slots(self.keys)
         self.scores = scores[self.ids]
         self.longest = max((len(texts[k].decode()) for k in usable), default=1)
         self.lowest = float(self.scores.min()) if len(usable) else 0.0
@@ -96,9 +137,8 @@ class Pieces:
 
     def probe(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(whether each span is a piece, its place in keys)."""
-        key = span_hashes(raw, starts, ends)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return self.keys[at] == key, at
+        at = self.slots(span_hashes(raw, starts, ends))
+        return at >= 0, at
 
     def _merges(self, texts: list[bytes]) -> None:
         """Lays out how BPE forms each piece.
@@ -148,15 +188,13 @@ class Pieces:
                 raise ValueError("a BPE model's piece is preferred to the pieces that it is merged from")
             self.when[which] = rank[which]
         keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-        order = np.argsort(keys)
-        self.pairs, self.pair_rank = np.append(keys[order], np.iinfo(np.int64).max), np.append(np.concatenate(ranks)[order] if ranks else np.zeros(0, np.int64), 0)
+        self.pairs, self.pair_rank = Slots(mix(keys.view(np.uint64))), np.concatenate(ranks) if ranks else np.zeros(0, np.int64)
         self.held: dict[int, bool] = {}
 
     def symbols(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The symbol of each span; -1 if it is none."""
         key = span_hashes(raw, starts, ends)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        out = np.where(self.keys[at] == key, at, -1)
+        out = self.slots(key)
         if len(self.extra):
             at = np.minimum(np.searchsorted(self.extra, key), len(self.extra) - 1)
             out = np.where((out < 0) & (self.extra[at] == key), at + len(self.keys), out)
@@ -194,9 +232,9 @@ class Pieces:
         x, y, limit = a[at], b[at], np.full(len(at), 2 * _NEVER)
         size = len(self.when)
         while len(at):
-            key = x * size + y
-            place = np.searchsorted(self.pairs, key)
-            bad = (self.pairs[place] == key) & (2 * self.pair_rank[place] < limit)
+            place = self.pairs(mix((x * size + y).view(np.uint64)))
+            bad = place >= 0
+            bad[bad] = 2 * self.pair_rank[place[bad]] < limit[bad]
             out[at[bad]] = False
             when_x, when_y = self.when[x], self.when[y]
             back = when_x > when_y
@@ -212,44 +250,50 @@ class Pieces:
 
     def packed(self, chunks: list[bytes]) -> list[bytes]:
         """encode, with each chunk's ids as packed 32-bit numbers."""
-        out: list = [None] * len(chunks)
+        if not chunks:
+            return []
         raw = np.frombuffer(b"".join(chunks), np.uint8)
         letters = np.flatnonzero((raw & 0xC0) != 0x80)
         begin = np.cumsum([0, *map(len, chunks)])
         first = np.searchsorted(letters, begin)
         letters = np.append(letters, len(raw))
         size = np.diff(first)
+        found = []  # (chunks, pieces of each, edges of these chunks' pieces one after the other)
         for n in np.unique(size).tolist():
             which = np.flatnonzero(size == n)
             if n == 0:
-                for k in which.tolist():
-                    out[k] = np.zeros(1, np.int64)
+                found.append((which, np.zeros(len(which), np.int64), np.zeros(len(which), np.int64)))
                 continue
             for part in np.array_split(which, max(1, len(which) * n // 200_000)):
                 places = letters[first[part][:, None] + np.arange(n + 1)]  # byte edges of each word's code points
                 if self.kind == _BPE and n > _LONG:
-                    spans = [self._long(raw, row) for row in places]
+                    edges = [self._long(raw, row) for row in places]
+                    found.append((part, np.array([len(x) - 1 for x in edges]), np.concatenate(edges)))
                 else:
-                    spans = self._viterbi(raw, places)
-                for k, edges in zip(part.tolist(), spans, strict=True):
-                    out[k] = edges
-        return self._written(raw, out)
-
-    def _written(self, raw: np.ndarray, edges: list[np.ndarray]) -> list[bytes]:
-        """The ids of chunks cut at the given edges."""
-        if not edges:
-            return []
-        count = np.fromiter(map(len, edges), np.int64, len(edges)) - 1
+                    back = self._viterbi(raw, places)
+                    edge, at, row = np.zeros(places.shape, bool), np.full(len(part), n), np.arange(len(part))
+                    edge[:, 0] = True
+                    while at.any():
+                        edge[row, at] = True
+                        at = back[row, at]
+                    found.append((part, edge.sum(1) - 1, places[edge]))
+        return self._written(raw, *(np.concatenate(x) for x in zip(*found, strict=True)))
+
+    def _written(self, raw: np.ndarray, which: np.ndarray, count: np.ndarray, flat: np.ndarray) -> list[bytes]:
+        """The ids of chunks, which have so many pieces each, with the given edges."""
+        out = [b""] * len(which)
         upto = np.cumsum(count)
-        flat = np.concatenate(edges)
         inside = np.ones(len(flat), bool)
         inside[np.cumsum(count + 1) - 1] = False  # the last edge of a chunk starts nothing
         starts = np.flatnonzero(inside)
-        known, at = self.probe(raw, flat[starts], flat[starts + 1])
+        known, at = self.probe(raw, flat[starts], flat[starts + 1] if len(starts) else flat[starts])
         whole = self.ids[at].astype("<i4").tobytes()
-        out = [whole[4 * a : 4 * b] for a, b in zip((upto - count).tolist(), upto.tolist(), strict=True)]
+        for k, a, b in zip(which.tolist(), (upto - count).tolist(), upto.tolist(), strict=True):
+            out[k] = whole[4 * a : 4 * b]
         for k in np.unique(np.searchsorted(upto, np.flatnonzero(~known), side="right")).tolist():
-            out[k] = np.array(self._with_unknown(raw, edges[k], known[upto[k] - count[k] : upto[k]], at[upto[k] - count[k] : upto[k]]), "<i4").tobytes()
+            low = upto[k] - count[k]
+            edges = flat[low + k : upto[k] + k + 1]
+            out[which[k]] = np.array(self._with_unknown(raw, edges, known[low : upto[k]], at[low : upto[k]]), "<i4").tobytes()
         return out
 
     def _with_unknown(self, raw: np.ndarray, edges: np.ndarray, known: np.ndarray, at: np.ndarray) -> list[int]:
@@ -264,7 +308,8 @@ class Pieces:
                 out.append(self.unknown)
         return out
 
-    def _viterbi(self, raw: np.ndarray, places: np.ndarray) -> list[np.ndarray]:
+    def _viterbi(self, raw: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Of each word, where the last piece of every prefix starts."""
         words, n = places.shape[0], places.shape[1] - 1
         row = np.arange(words)
         back = np.zeros((words, n + 1), np.int64)
@@ -291,13 +336,7 @@ class Pieces:
                 pick = fits.argmax(1)
                 last[:, end] = found[row, pick]
             back[:, end] = starts[pick]
-        out = []
-        for k in range(words):
-            path = [n]
-            while path[-1]:
-                path.append(int(back[k, path[-1]]))
-            out.append(places[k, path[::-1]])
-        return out
+        return back
 
     def _long(self, raw: np.ndarray, edges: np.ndarray) -> np.ndarray:
         """The same pass over one long chunk of a BPE model."""

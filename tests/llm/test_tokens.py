@@ -78,11 +78,12 @@ def test_other_bpe_models_are_refused():
         sentence_pieces.Pieces.of([(b"<unk>", 0.0, 2), (b"a", -9.0, 1), (b"ab", -3.0, 1), (b"aba", -2.0, 1)], 2)
 
 
-def test_long_chunks_encode_alike():
+def test_long_chunks_encode_alike(monkeypatch):
     model = sentence_pieces.Pieces(tokenizer_path("piece_bpe_32k.model"))
     chunk = (" " + "".join(random.Random(2).choice("theingaorst") for _ in range(150))).encode()
-    raw, edges = np.frombuffer(chunk, np.uint8), np.arange(len(chunk) + 1)
-    assert model._long(raw, edges).tolist() == model._viterbi(raw, edges[None])[0].tolist()
+    short = model.packed([chunk])
+    monkeypatch.setattr(sentence_pieces, "_LONG", 10)
+    assert model.packed([chunk]) == short
 
 
 def test_equal_chunks_are_told_by_bytes(monkeypatch):

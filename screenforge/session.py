@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -20,6 +21,40 @@ def importable(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder of this application's in spark.checkpoint.dir, which driver and executors share; it goes when the driver ends.
+
+    Without that setting, it is in the warehouse if Spark runs in this process alone; on a cluster that is an error.
+    """
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_shared")
+    folder = f"{folder.rstrip('/')}/tables-{context.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return folder
+
+
+def isolated(spark: SparkSession, **settings: str) -> SparkSession:
+    """A session of the same application with settings of its own; names with `__` for `.`."""
+    own = prepare(spark.newSession())
+    for name, value in settings.items():
+        own.conf.set(name.replace("__", "."), value)
+    return own
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt to all cores if it is read in fewer pieces than there are; rows are few then."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Of keys that repeat within a JSON object the last counts."""
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import durable, record, tidy, whole_text
-from .tokens import ChunkCache, encoded, huggingface_encoder
+from .tokens import ChunkCache, encoded, huggingface_encoder, plain_parts
 
 #: Tokens that are placed at a time, and cells (windows by queues) that are summed at a time.
 MOST_TOKENS, MOST_CELLS = 500_000, 1 << 20
@@ -57,7 +57,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         cache, before, block = _cache(tokenizer_path), {}, TaskContext.get().partitionId()
         for batch in stream:
             ids, names, texts = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
-            for a, values, first in encoded(texts, cache):
+            for a, values, first in encoded(texts, cache, plain_parts):
                 out: dict[str, list] = {f.name: [] for f in _TOKENS}
                 values = values.astype("<u4")
                 for k in range(len(first) - 1):

@@ -6,6 +6,7 @@ import ctypes
 import ctypes.util
 import os
 import sys
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,18 +14,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 _LIBC = ctypes.CDLL("libc.so.6") if sys.platform == "linux" and ctypes.util.find_library("c") else None
 
 
+def _path(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Writes df to the cluster's shared checkpoint folder and cuts its lineage; Spark removes the files when unused."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = context.getConf().get("spark.checkpoint.dir") or os.path.join(
-            df.sparkSession.conf.get("spark.sql.warehouse.dir"), "_checkpoints"
-        )
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """df, written as a table to the shared folder and read from there: its lineage is cut, and lost executors lose nothing.
+
+    What isn't discarded before goes when the driver ends.
+    """
+    spark = df.sparkSession
+    name = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(name)
+    out = spark.read.schema(df.schema).parquet(name)
+    out._durable_at = name
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes durable tables that nothing will read any more."""
+    for df in tables:
+        path, fs = _path(df.sparkSession, df._durable_at)
+        fs.delete(path, True)
+
+
+def small(table: DataFrame, row_bytes: int, most: int = 8 << 20) -> DataFrame:
+    """A durable table, to be broadcast if its rows, of at most so many bytes each, are few enough; joined by a shuffle otherwise."""
+    return F.broadcast(table) if table.count() * row_bytes <= most else table
 
 
 def input_bytes(df: DataFrame, text: str = "text") -> int:
@@ -35,12 +57,20 @@ def input_bytes(df: DataFrame, text: str = "text") -> int:
     return int(df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]) // 2
 
 
-def bucket_bits(df: DataFrame, bytes_each: int, least: int = 3, most: int = 16) -> int:
+def bucket_bits(df: DataFrame, bytes_each: int, least: int = 3, most: int = 24) -> int:
     """Number of hash bits so that a share of df of about bytes_each falls to each bucket."""
     want = max(1, input_bytes(df) // bytes_each)
     return int(min(max(least, int(want).bit_length()), most))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like the given one that df doesn't have."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 def whole_text(df: DataFrame, column: str = "text") -> DataFrame:
     """df with its text made valid UTF-8 and never null."""
     return df.withColumn(column, F.coalesce(F.make_valid_utf8(F.col(column)), F.lit("")))
@@ -85,11 +115,11 @@ def bloom(keys: DataFrame, column: str, most_keys: int = 20_000_000) -> np.ndarr
     cut = 1 << max(0, bits - 3 - 20)
 
     def partial(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field = np.zeros(1 << bits, bool)
+        field = np.zeros((1 << bits) // 8, np.uint8)
         for batch in stream:
             for at in _bloom_places(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), bits):
-                field[at] = True
-        for k, part in enumerate(np.split(np.packbits(field), cut)):
+                np.bitwise_or.at(field, at >> 3, (128 >> (at & 7)).astype(np.uint8))
+        for k, part in enumerate(np.split(field, cut)):
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["part", "bits"])
 
@@ -149,37 +179,39 @@ def _filtered(df: DataFrame, column: str, field: np.ndarray, wanted: bool) -> Da
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component): the smallest node reachable, for every node of the edges.
+    """(node, component): the smallest node reachable, for every node of the edges; a durable table.
 
     Alternates large-star and small-star rounds, so that paths shrink fast and no group is held in one place;
     each round is written to the shared folder.
     """
-    spark: SparkSession = edges.sparkSession
     now = durable(
         edges.where(F.col(a) != F.col(b))
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
         .distinct()
     )
-    while True:
+    state = lambda x: x.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    before = state(now)
+    while before[0]:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (
             both.where("v > u").join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         )
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
+        step = (
             large.join(low, "u")
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v")
             .where("u != v")
             .distinct()
         )
-        after = durable(small)
-        sums = [
-            x.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for x in (now, after)
-        ]
-        now = after
-        if sums[0] == sums[1]:
+        last, now = now, durable(step)
+        discard(last)
+        after = state(now)
+        if after == before:
             break
-    roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots).distinct()
+        before = after
+    roots = now.select(F.col("v").alias("node"), F.col("v").alias("component"))
+    out = durable(now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots).distinct())
+    discard(now)
+    return out

@@ -5,18 +5,22 @@ starts earlier: in a document with a smaller doc_id, or earlier in the same one.
 
 1. Anchors.  Every window has one anchor: its smallest-hashed 8-word phrase, leftmost among ties.  Equal windows have
    equal anchors.  Each task merges its own anchors, so an anchor goes once per task to the owner of its hash range;
-   anchors seen twice within a task are known to recur and need no owner.
+   anchors seen twice within a task are known to recur.  The most frequent anchors (at most MOST_HOT) are broadcast.
 2. Contexts.  Documents with recurring anchors (found through a bounded filter and a join) send, for each of them,
-   the words of the windows that it anchors.  Equal contexts of a batch merge into their first occurrence.
-3. Automata.  Each shard of anchors confirms which windows recur word by word, compiles them into an Aho-Corasick
-   automaton over word numbers, and streams its contexts through it, which locates every occurrence of every
+   the words of the windows that it anchors, to the anchor's shard.  Of the most frequent anchors each window goes by
+   itself, to the shard of its own words, so that no shard gathers all contexts of a common passage.  Equal contexts of a
+   batch merge into their first occurrence.
+3. Automata.  Each shard confirms which windows recur, compiles them into an Aho-Corasick automaton over word numbers
+   (words are told apart by their bytes), and streams its contexts through it, which locates every occurrence of every
    confirmed window; all but the first are removed.
-4. Documents without removals pass straight through; the others meet their removals in a join on doc_id.
+4. Documents without removals pass straight through; the others meet their removals in a join.
 
 Exact copies of a whole text are settled first: in all but the first, every window started earlier.
 
-Defined results: null text has no words; rows with a null doc_id are neither changed nor compared; rows that repeat
-a doc_id are one document (none of them is earlier than another).
+Defined results: null text has no words; rows with a null doc_id are neither changed nor compared; rows with equal doc_id
+and text are one document, rows with equal doc_id and other texts are documents of their own, in order of their texts'
+hashes; an empty table gives no rows; very long texts take part whole, in slices; other columns are ignored or kept,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -30,29 +34,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom, bucket_bits, durable, only_keys, record, split_by_keys, tidy, whole_text
-from .textscan import column_bytes, gram_hashes, slices, word_hashes, word_spans
+from .common import bloom, bucket_bits, durable, fresh, only_keys, record, split_by_keys, tidy, whole_text
+from .textscan import column_bytes, distinct_spans, gram_hashes, slices, word_hashes, word_spans
 
 WINDOW = 20
 PHRASE = 8
 _REACH = WINDOW - PHRASE + 1  # phrases in a window
 _FLUSH = 500_000
+#: An anchor with so many occurrences may be among the most frequent; so many are held by the driver and each worker.
+HOT_FROM, MOST_HOT = 1000, 1 << 16
+#: Tables of copies are broadcast up to so many rows of 32 bytes, and joined beyond.
+MOST_BROADCAST_ROWS = 200_000
 
-_ANCHORS = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("h", pa.binary()), ("row", pa.binary()), ("pos", pa.binary()), ("many", pa.binary()), ("ids", pa.list_(pa.int64()))])
-_ANCHORS_SQL = "bucket int, kind byte, h binary, row binary, pos binary, many binary, ids array<long>"
-_AT = pa.schema([("doc_id", pa.int64()), ("at", pa.binary())])
-_CONTEXTS = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("words", pa.binary()), ("at", pa.binary())])
+_ANCHORS = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("h", pa.binary()), ("row", pa.binary()), ("pos", pa.binary()), ("many", pa.binary()), ("times", pa.binary()), ("ids", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64()))])
+_ANCHORS_SQL = "bucket int, kind byte, h binary, row binary, pos binary, many binary, times binary, ids array<long>, marks array<long>"
+_AT = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("at", pa.binary()), ("hot", pa.int64()), ("times", pa.int64())])
+_AT_SQL = "doc_id long, mark long, at binary, hot long, times long"
+_CONTEXTS = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("mark", pa.int64()), ("start", pa.int64()), ("words", pa.binary()), ("at", pa.binary())])
+_CONTEXTS_SQL = "shard int, doc_id long, mark long, start long, words binary, at binary"
+_GONE = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("at", pa.binary())])
 
 
 def _anchor_of_windows(column: pa.Array) -> Iterator[tuple]:
-    """For slices of the column: (row of its start, bytes, word starts, word ends, first words, phrase hashes, window starts, anchors)."""
+    """For slices of the column: (row of its start, bytes, word starts, word ends, word hashes, first words, rows of words,
+    phrase hashes, window starts, anchors)."""
     for a, b in slices(column, 1 << 20):
         raw, offsets = column_bytes(column.slice(a, b - a))
         starts, ends, first = word_spans(raw, offsets)
         size = len(starts) - WINDOW + 1
         if size <= 0:
             continue
-        grams = gram_hashes(word_hashes(raw, starts, ends, False), PHRASE)
+        words = word_hashes(raw, starts, ends, False)
+        grams = gram_hashes(words, PHRASE)
         best, width = np.arange(len(grams)), 1
         while 2 * width <= _REACH:  # best[i]: leftmost smallest of grams[i : i + width]
             left, right = best[:-width], best[width:]
@@ -61,63 +74,66 @@ def _anchor_of_windows(column: pa.Array) -> Iterator[tuple]:
         best = np.where(grams[right] < grams[left], right, left)
         row = np.repeat(np.arange(b - a), np.diff(first))
         windows = np.flatnonzero(row[:size] == row[WINDOW - 1 : WINDOW - 1 + size])
-        yield a, raw, starts, ends, first, row, grams, windows, best[windows]
+        yield a, raw, starts, ends, words, first, row, grams, windows, best[windows]
 
 
-def _group(keys: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(keys, kind="stable")
-    keys, values = keys[order], values[order]
-    edges = np.append(np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]), len(keys)) if len(keys) else np.zeros(1, int)
-    for s, e in zip(edges[:-1], edges[1:], strict=True):
-        yield int(keys[s]), values[s:e]
+def _by_document(doc: np.ndarray, mark: np.ndarray, at: np.ndarray) -> tuple[list, list, list]:
+    """(doc_ids, marks, packed positions), a row a document."""
+    order = np.lexsort((mark, doc))
+    doc, mark, at = doc[order], mark[order], at[order].astype("<u4")
+    edges = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1]), True]) if len(doc) else np.zeros(1, np.int64)
+    parts = [at[s:e].tobytes() for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+    return doc[edges[:-1]].tolist(), mark[edges[:-1]].tolist(), parts
 
 
 def recurring_anchors(docs: DataFrame, bits: int) -> DataFrame:
-    """(doc_id, at): word positions, as packed 32-bit numbers, of anchors that occur twice or more; several rows a document."""
+    """Rows of _AT: word positions, as packed 32-bit numbers, of anchors that occur twice or more, several rows a document;
+    and the hashes of anchors with HOT_FROM occurrences or more.  docs: doc_id, text, mark."""
 
     def emit(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hs, rows, places, ids = [], [], [], []
+        hs, rows, places, ids, marks = [], [], [], [], []
 
         def flush() -> pa.RecordBatch:
             h, row, place = (np.concatenate(x) for x in (hs, rows, places))
-            doc = np.concatenate(ids)
+            doc, mark = np.concatenate(ids), np.concatenate(marks)
             order = np.argsort(h, kind="stable")
             h, row, place = h[order], row[order], place[order]
-            same = h[1:] == h[:-1]
-            many = np.r_[False, same] | np.r_[same, False]
+            lead = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            times = np.diff(np.append(lead, len(h)))
             out: dict[str, list] = {f.name: [] for f in _ANCHORS}
 
-            def add(*values) -> None:
+            def add(bucket: int, kind: int, h, part, many, times) -> None:
+                used, index = np.unique(row[part], return_inverse=True)
+                values = bucket, kind, h.tobytes(), index.astype("<u4").tobytes(), place[part].astype("<u4").tobytes(), many.tobytes(), times.astype("<u4").tobytes(), doc[used], mark[used]
                 for name, value in zip(out, values, strict=True):
                     out[name].append(value)
 
-            single, twice = ~many, many & ~np.r_[False, same]
-            bucket = (h >> np.uint64(64 - bits)).astype(np.int64)
-            for k in range(1 << bits):
-                s, e = np.searchsorted(bucket, [k, k + 1])
-                one, two = single[s:e], twice[s:e]
-                if one.any() or two.any():
-                    used, index = np.unique(row[s:e][one], return_inverse=True)
-                    add(k, 0, h[s:e][one].tobytes(), index.astype("<u4").tobytes(), place[s:e][one].astype("<u4").tobytes(), h[s:e][two].tobytes(), doc[used])
-            for k, part in enumerate(np.array_split(np.flatnonzero(many), 1 << min(bits, 3))):
+            bucket = (h[lead] >> np.uint64(64 - bits)).astype(np.int64)
+            edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+            for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                once = times[s:e] == 1
+                single = lead[s:e][once]
+                add(int(bucket[s]), 0, h[single], single, h[lead[s:e][~once]], times[s:e][~once])
+            many = np.flatnonzero(np.repeat(times > 1, times))
+            none = np.zeros(0, np.uint64)
+            for k, part in enumerate(np.array_split(many, 1 << min(bits, 3))):
                 if len(part):
-                    used, index = np.unique(row[part], return_inverse=True)
-                    add(k, 1, b"", index.astype("<u4").tobytes(), place[part].astype("<u4").tobytes(), b"", doc[used])
-            for held in (hs, rows, places, ids):
+                    add(k, 1, none, part, none, none)
+            for held in (hs, rows, places, ids, marks):
                 held.clear()
             return record(out, _ANCHORS)
 
         count, seen = 0, 0
         for batch in stream:
-            doc = batch.column(0).to_numpy()
-            for a, _, _, _, first, row, grams, _, best in _anchor_of_windows(batch.column(1)):
+            for a, _, _, _, _, first, row, grams, _, best in _anchor_of_windows(batch.column(1)):
                 chosen = np.flatnonzero(np.bincount(best, minlength=1))
                 hs.append(grams[chosen])
                 rows.append(row[chosen] + (a + seen))
                 places.append(chosen - first[row[chosen]])
                 count += len(chosen)
-            ids.append(doc)
-            seen += len(doc)
+            ids.append(batch.column(0).to_numpy())
+            marks.append(batch.column(2).to_numpy())
+            seen += batch.num_rows
             if count >= _FLUSH:
                 yield flush()
                 count = seen = 0
@@ -128,41 +144,48 @@ def recurring_anchors(docs: DataFrame, bits: int) -> DataFrame:
 
     def owner(table: pa.Table) -> pa.Table:
         blob = lambda row, name, kind: np.frombuffer(table.column(name)[row].as_buffer(), kind)
-        hs, docs_, places, many, known, known_at = [], [], [], [], [], []
+        hs, found, many, times, known = [], [], [], [], []
         for k, kind in enumerate(table.column("kind").to_pylist()):
-            ids = table.column("ids")[k].values.to_numpy()[blob(k, "row", "<u4")]
+            row = blob(k, "row", "<u4")
+            here = tuple(table.column(c)[k].values.to_numpy()[row] for c in ("ids", "marks")) + (blob(k, "pos", "<u4"),)
             if kind:
-                known.append(ids)
-                known_at.append(blob(k, "pos", "<u4"))
+                known.append(here)
             else:
                 hs.append(blob(k, "h", "<u8"))
-                docs_.append(ids)
-                places.append(blob(k, "pos", "<u4"))
+                found.append(here)
                 many.append(blob(k, "many", "<u8"))
+                times.append(blob(k, "times", "<u4"))
+        hot, often = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if hs:
-            h, seen = np.concatenate(hs), np.concatenate([*hs, *[np.repeat(x, 2) for x in many]])
-            values, counts = np.unique(seen, return_counts=True)
-            again = counts[np.searchsorted(values, h)] > 1
-            known.append(np.concatenate(docs_)[again])
-            known_at.append(np.concatenate(places)[again])
-        found = list(_group(np.concatenate(known), np.concatenate(known_at)))
-        hs.clear(), docs_.clear(), places.clear(), many.clear(), known.clear(), known_at.clear()
+            h = np.concatenate(hs)
+            values, place = np.unique(np.concatenate([h, *many]), return_inverse=True)
+            total = np.bincount(place, np.concatenate([np.ones(len(h)), *times]), len(values)).astype(np.int64)
+            again = total[place[: len(h)]] > 1
+            known.append(tuple(np.concatenate(x)[again] for x in zip(*found, strict=True)))
+            hot, often = values[total >= HOT_FROM].view(np.int64), total[total >= HOT_FROM]
+            del h, values, place, total, again
+        hs.clear(), found.clear(), many.clear(), times.clear()
+        docs_, marks, ats = _by_document(*(np.concatenate(x) for x in zip(*known, strict=True)))
+        del known
         tidy()
-        return pa.table({"doc_id": pa.array([x[0] for x in found], pa.int64()), "at": pa.array([x[1].astype("<u4").tobytes() for x in found], pa.binary())}, _AT)
+        none, nothing = [None] * len(docs_), [None] * len(hot)
+        return pa.table({"doc_id": docs_ + nothing, "mark": marks + nothing, "at": ats + nothing, "hot": none + hot.tolist(), "times": none + often.tolist()}, _AT)
 
-    return docs.mapInArrow(emit, _ANCHORS_SQL).groupBy("bucket").applyInArrow(owner, "doc_id long, at binary")
+    return docs.mapInArrow(emit, _ANCHORS_SQL).groupBy("bucket").applyInArrow(owner, _AT_SQL)
 
 
-def _contexts(shards: int):
-    """The contexts of recurring anchors; equal ones of a batch leave their first occurrence and, as removals, the others."""
+def _contexts(shards: int, frequent):
+    """The contexts of recurring anchors; equal ones of a batch leave their first occurrence and, as removals, the others.
+    Columns: doc_id, text, mark, at.  frequent: broadcast hashes of the most frequent anchors, sorted."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = frequent.value
         for batch in stream:
-            doc = batch.column(0).to_numpy()
-            blobs = batch.column(2)
+            doc, mark = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            blobs = batch.column(3)
             first_of: dict[bytes, tuple] = {}
-            late_doc, late_at = [], []
-            for a, raw, starts, ends, first, row, grams, windows, best in _anchor_of_windows(batch.column(1)):
+            late: list[tuple] = []
+            for a, raw, starts, ends, words, first, row, grams, windows, best in _anchor_of_windows(batch.column(1)):
                 hit = np.zeros(len(grams), bool)
                 for k in range(len(first) - 1):
                     if first[k + 1] > first[k]:
@@ -172,33 +195,39 @@ def _contexts(shards: int):
                 windows, best = windows[mine], best[mine]
                 if not len(windows):
                     continue
-                edges = np.append(np.flatnonzero(np.r_[True, best[1:] != best[:-1]]), len(best))
+                anchor = grams[best]
+                alone = np.zeros(len(anchor), bool)
+                if len(hot):
+                    alone = hot[np.minimum(np.searchsorted(hot, anchor), len(hot) - 1)] == anchor
+                # A run of windows with one anchor goes together, unless the anchor is among the most frequent.
+                lead = np.flatnonzero(np.r_[True, (best[1:] != best[:-1]) | alone[1:]])
+                to = anchor[lead]
+                if alone.any():
+                    to[alone[lead]] = gram_hashes(words, WINDOW)[windows[lead][alone[lead]]]
                 whole = raw.tobytes()
-                low, high = windows[edges[:-1]], windows[edges[1:] - 1]
-                for s, e, x, y, r, h in zip(low.tolist(), high.tolist(), starts[low].tolist(), ends[high + WINDOW - 1].tolist(), row[low].tolist(), grams[best[edges[:-1]]].tolist(), strict=True):
-                    words = whole[x:y]
-                    here = (int(doc[a + r]), int(s - first[r]), e - s + 1, h)
-                    there = first_of.get(words)
+                low, high = windows[lead], windows[np.append(lead[1:], len(windows)) - 1]
+                for s, e, x, y, r, h in zip(low.tolist(), high.tolist(), starts[low].tolist(), ends[high + WINDOW - 1].tolist(), row[low].tolist(), to.tolist(), strict=True):
+                    text = whole[x:y]
+                    here = (int(doc[a + r]), int(mark[a + r]), int(s - first[r]), e - s + 1, h)
+                    there = first_of.get(text)
                     if there is None or here < there:
-                        first_of[words] = here
+                        first_of[text] = here
                         here = there
-                    if here is not None and here[:2] != first_of[words][:2]:
-                        late_doc.append(here[0])
-                        late_at.append(np.arange(here[1], here[1] + here[2]))
+                    if here is not None and here[:3] != first_of[text][:3]:
+                        late.append(here)
             if first_of:
-                n = len(first_of)
+                columns = list(zip(*first_of.values(), strict=True))
                 yield record(
-                    {"shard": [v[3] % shards for v in first_of.values()], "doc_id": [v[0] for v in first_of.values()], "start": [v[1] for v in first_of.values()], "words": list(first_of), "at": pa.nulls(n, pa.binary())},
+                    {"shard": [h % shards for h in columns[4]], "doc_id": columns[0], "mark": columns[1], "start": columns[2], "words": list(first_of), "at": pa.nulls(len(first_of), pa.binary())},
                     _CONTEXTS,
                 )
-            if late_doc:
-                found = list(_group(np.repeat(late_doc, [len(x) for x in late_at]), np.concatenate(late_at)))
-                yield record(
-                    {"shard": [x[0] % shards for x in found], "doc_id": [x[0] for x in found], "start": pa.nulls(len(found), pa.int64()), "words": pa.nulls(len(found), pa.binary()), "at": [x[1].astype("<u4").tobytes() for x in found]},
-                    _CONTEXTS,
-                )
-                del found
-            del first_of, late_doc, late_at
+            if late:
+                doc, mark, start, size, _ = (np.array(x, np.int64) for x in zip(*((*x[:4], 0) for x in late), strict=True))
+                at = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+                docs_, marks, ats = _by_document(np.repeat(doc, size), np.repeat(mark, size), at)
+                none = pa.nulls(len(docs_), pa.int64())
+                yield record({"shard": [x % shards for x in docs_], "doc_id": docs_, "mark": marks, "start": none, "words": pa.nulls(len(docs_), pa.binary()), "at": ats}, _CONTEXTS)
+            del first_of, late
             tidy()
 
     return run
@@ -211,21 +240,20 @@ def _locate(table: pa.Table) -> pa.Table:
     index: dict[bytes, int] = {}
     which = np.array([index.setdefault(words, len(index)) for words in table.column("words").to_pylist()], np.int64)
     times = np.bincount(which, minlength=len(index))
-    # Windows of distinct contexts, by hash; those that come twice or more are to be confirmed word by word.
+    # Windows of distinct contexts; those that come twice or more are compiled.
     raw, offsets = column_bytes(pa.array(list(index), pa.binary()))
     starts, ends, first = word_spans(raw, offsets)
-    hashes = word_hashes(raw, starts, ends, False)
-    numbers = np.unique(hashes, return_inverse=True)[1]
+    numbers = distinct_spans(raw, starts, ends)[1] if len(starts) else np.zeros(0, np.int64)
     size = max(0, len(starts) - WINDOW + 1)
     row = np.repeat(np.arange(len(index)), np.diff(first))
     windows = np.flatnonzero(row[:size] == row[WINDOW - 1 : WINDOW - 1 + size])
-    _, lead, kind = np.unique(gram_hashes(hashes, WINDOW)[windows], return_index=True, return_inverse=True)
+    _, lead, kind = np.unique(gram_hashes(numbers.astype(np.uint64), WINDOW)[windows], return_index=True, return_inverse=True)
     again = np.bincount(kind, times[row[windows]], minlength=len(lead)) > 1
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
     for k, at in zip(np.flatnonzero(again).tolist(), windows[lead[again]].tolist(), strict=True):
         automaton.add_word(tuple(numbers[at : at + WINDOW].tolist()), k)
     streamed = np.unique(row[windows[again[kind]]]).tolist()
-    doc_ids, ats = passed.column("doc_id").to_pylist(), passed.column("at").to_pylist()
+    docs_, marks, ats = (passed.column(c).to_pylist() for c in ("doc_id", "mark", "at"))
     if len(automaton):
         automaton.make_automaton()
         pattern, context_of, offset = [], [], []
@@ -239,21 +267,20 @@ def _locate(table: pa.Table) -> pa.Table:
         begin = np.searchsorted(which[order], np.arange(len(index)))
         count = times[context_of]
         row = order[np.repeat(begin[context_of] - np.cumsum(count) + count, count) + np.arange(count.sum())]
-        doc = table.column("doc_id").to_numpy()[row]
+        doc, mark = (table.column(c).to_numpy()[row] for c in ("doc_id", "mark"))
         start = table.column("start").to_numpy()[row] + np.repeat(offset, count)
         pattern = np.repeat(pattern, count)
-        order = np.lexsort((start, doc, pattern))
-        pattern, doc, start = pattern[order], doc[order], start[order]
+        order = np.lexsort((start, mark, doc, pattern))
+        pattern, doc, mark, start = pattern[order], doc[order], mark[order], start[order]
         lead = np.flatnonzero(np.r_[True, pattern[1:] != pattern[:-1]])
         lead = np.repeat(lead, np.diff(np.append(lead, len(pattern))))
-        late = (doc != doc[lead]) | (start != start[lead])
-        for key, values in _group(doc[late], start[late]):
-            doc_ids.append(key)
-            ats.append(values.astype("<u4").tobytes())
-        del pattern, doc, start, order, row, count, late, lead
-    del automaton, index, raw, hashes, numbers, kind
+        late = (doc != doc[lead]) | (mark != mark[lead]) | (start != start[lead])
+        found = _by_document(doc[late], mark[late], start[late])
+        docs_, marks, ats = docs_ + found[0], marks + found[1], ats + found[2]
+        del pattern, doc, mark, start, order, row, count, late, lead, found
+    del automaton, index, raw, numbers, kind
     tidy()
-    return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "at": pa.array(ats, pa.binary())}, _AT)
+    return pa.table({"doc_id": docs_, "mark": marks, "at": ats}, _GONE)
 
 
 def _covered(size: int, blobs: list[bytes] | None, whole: bool | None) -> np.ndarray:
@@ -270,32 +297,37 @@ def _covered(size: int, blobs: list[bytes] | None, whole: bool | None) -> np.nda
 
 
 def removals(docs: DataFrame) -> DataFrame:
-    """doc_id, at (lists of packed window starts), whole (all windows): documents of which something is removed."""
+    """doc_id, mark (of the text), at (lists of packed window starts), whole (all windows): documents of which something is removed."""
     bits = bucket_bits(docs, 16 << 20)
     shards = 1 << bucket_bits(docs, 2 << 20, most=26)
-    text = whole_text(docs.select("doc_id", "text")).where("doc_id is not null")
-    digest = text.select("doc_id", F.md5("text").alias("digest"), F.length("text").alias("size"))
-    leads = digest.groupBy("digest", "size").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n")).where("n > 1")
-    copies = durable(digest.join(leads, ["digest", "size"]).where("doc_id > lead").select("doc_id").distinct())
-
-    anchors = recurring_anchors(text, bits).join(copies, "doc_id", "left_anti")
-    anchors = durable(anchors.groupBy("doc_id").agg(F.collect_list("at").alias("at")))
-    some = only_keys(text, "doc_id", bloom(anchors, "doc_id")).join(anchors, "doc_id").select("doc_id", "text", "at")
-    contexts = some.mapInArrow(_contexts(shards), "shard int, doc_id long, start long, words binary, at binary")
-    found = contexts.groupBy("shard").applyInArrow(_locate, "doc_id long, at binary")
-    found = found.groupBy("doc_id").agg(F.collect_list("at").alias("at")).withColumn("whole", F.lit(False))
-    return durable(found.unionByName(copies.select("doc_id", F.expr("cast(null as array<binary>)").alias("at"), F.lit(True).alias("whole"))))
+    text = whole_text(docs.select("doc_id", "text")).where("doc_id is not null").withColumn("mark", F.xxhash64("text"))
+    digest = text.select("doc_id", "mark", F.md5("text").alias("digest"), F.length("text").alias("size"))
+    leads = durable(digest.groupBy("digest", "size").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    leads = F.broadcast(leads) if leads.count() <= MOST_BROADCAST_ROWS else leads
+    copies = durable(digest.join(leads, ["digest", "size"]).where("doc_id > lead").select("doc_id", "mark").distinct())
+
+    found = durable(recurring_anchors(text, bits))
+    hot = found.where("hot is not null").orderBy(F.desc("times"), "hot").limit(MOST_HOT).select("hot").toArrow().column(0).to_numpy()
+    hot = docs.sparkSession.sparkContext.broadcast(np.sort(hot.astype(np.int64).view(np.uint64)))
+    anchors = found.where("doc_id is not null").join(copies, ["doc_id", "mark"], "left_anti")
+    anchors = durable(anchors.groupBy("doc_id", "mark").agg(F.collect_list("at").alias("at")))
+    some = only_keys(text, "doc_id", bloom(anchors, "doc_id")).join(anchors, ["doc_id", "mark"]).select("doc_id", "text", "mark", "at")
+    contexts = some.mapInArrow(_contexts(shards, hot), _CONTEXTS_SQL)
+    gone = contexts.groupBy("shard").applyInArrow(_locate, "doc_id long, mark long, at binary")
+    gone = gone.groupBy("doc_id", "mark").agg(F.collect_list("at").alias("at")).withColumn("whole", F.lit(False))
+    return durable(gone.unionByName(copies.select("doc_id", "mark", F.expr("cast(null as array<binary>)").alias("at"), F.lit(True).alias("whole"))))
 
 
 def _joined(docs: DataFrame, function, schema: str) -> DataFrame:
     """function over docs with the removals of each document as its last two columns."""
-    gone = removals(docs)
+    mark, at, whole = (fresh(docs, x) for x in ("mark", "at", "whole"))
+    gone = removals(docs).select("doc_id", F.col("mark").alias(mark), F.col("at").alias(at), F.col("whole").alias(whole))
     maybe, sure = split_by_keys(docs, "doc_id", bloom(gone, "doc_id"))
-    gone = gone.select(F.col("doc_id").alias("__id"), F.col("at").alias("__at"), F.col("whole").alias("__whole"))
-    out = maybe.join(gone, maybe["doc_id"] == gone["__id"], "left").drop("__id").mapInArrow(function, schema)
+    maybe = maybe.withColumn(mark, F.xxhash64("text")).join(gone, ["doc_id", mark], "left")
+    out = maybe.select(*docs.columns, at, whole).mapInArrow(function, schema)
     if sure is None:
         return out
-    return out.union(sure.withColumns({"__at": F.expr("cast(null as array<binary>)"), "__whole": F.lit(False)}).mapInArrow(function, schema))
+    return out.union(sure.withColumns({at: F.expr("cast(null as array<binary>)"), whole: F.lit(False)}).mapInArrow(function, schema))
 
 
 def repeated_words(docs: DataFrame) -> DataFrame:

@@ -1,12 +1,16 @@
 """Edit-aware token counts.
 
 A text is kept as segments: white space and the word after it, the longest stretches that a byte-level tokenizer
-encodes alike wherever they stand.  Blocks of segments are the leaves of a binary tree in which every node holds the
-code points and tokens below it.  An edit finds its place by descending the tree, re-encodes the segments it touches
-and one more on either side (new white space may join or part neighbours), and updates the sums on the paths upward.
+encodes alike wherever they stand.  Blocks of segments, with the tokens of each segment, are the leaves of a binary tree
+in which every node holds the code points and tokens below it.  An edit finds its place by descending the tree, re-encodes
+the segments it touches and one more on either side (new white space may join or part neighbours), and updates the sums on
+the paths upward.  A leaf that grows too large is split; the nodes above are then summed up from the leaves' sums, without
+a look at any segment.
 
 Defined results: null text counts as empty (no tokens); edits apply in order, each to the text the ones before it
-left; places and lengths beyond the end count up to the end; null edits change nothing.
+left; places and lengths beyond the end count up to the end; null edits change nothing; every row is counted by itself,
+with a null or repeated doc_id too; an empty table gives no rows; very long texts are kept and counted whole; other columns
+are ignored, whatever their names (an edit expression may use them).
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import record, whole_text
+from .common import record, tidy, whole_text
 
 #: The white space of the tokenizer's own pattern.
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -54,16 +58,23 @@ class SegmentTree:
 
     def __init__(self, text: str, count: Callable[[str], int]) -> None:
         self.count, self.encoded = count, 0
-        self._build(_SEGMENT.findall(text))
-        self.encoded = 0
-
-    def _build(self, segments: list[str]) -> None:
-        self.blocks = [segments[k : k + _BLOCK] for k in range(0, len(segments), _BLOCK)] or [[]]
-        self.size = 1 << (len(self.blocks) - 1).bit_length()
+        segments = _SEGMENT.findall(text)
+        self._lay(*self._cut(segments, list(map(count, segments))))
+
+    @staticmethod
+    def _cut(segments: list[str], counts: list[int]) -> tuple[list[list[str]], list[list[int]]]:
+        """Blocks of segments and of their tokens; one at least."""
+        places = range(0, max(len(segments), 1), _BLOCK)
+        return [segments[k : k + _BLOCK] for k in places], [counts[k : k + _BLOCK] for k in places]
+
+    def _lay(self, blocks: list[list[str]], counts: list[list[int]], sums: list[tuple[int, int]] | None = None) -> None:
+        """The tree over blocks; sums: code points and tokens of each, if they are known."""
+        self.blocks, self.counts = blocks, counts
+        sums = sums or [(len("".join(x)), sum(y)) for x, y in zip(blocks, counts, strict=True)]
+        self.size = 1 << (len(blocks) - 1).bit_length()
         self.chars, self.sums = [0] * (2 * self.size), [0] * (2 * self.size)
-        count = self.count
-        for k, block in enumerate(self.blocks, self.size):
-            self.chars[k], self.sums[k] = len("".join(block)), sum(map(count, block))
+        self.chars[self.size : self.size + len(sums)] = [x for x, _ in sums]
+        self.sums[self.size : self.size + len(sums)] = [y for _, y in sums]
         for k in range(self.size - 1, 0, -1):
             self.chars[k] = self.chars[2 * k] + self.chars[2 * k + 1]
             self.sums[k] = self.sums[2 * k] + self.sums[2 * k + 1]
@@ -114,8 +125,9 @@ class SegmentTree:
         at = max(0, min(at, self.length))
         cut = max(0, min(cut, self.length - at))
         if not self.length:
-            self._build(found := _SEGMENT.findall(put))
-            self.encoded += len(found)
+            new = _SEGMENT.findall(put)
+            self.encoded += len(new)
+            self._lay(*self._cut(new, list(map(self.count, new))))
             return
         b1, j1, _ = self._find(max(at - 1, 0))
         b2, j2, _ = self._find(min(at + cut, self.length - 1))
@@ -128,20 +140,30 @@ class SegmentTree:
         region = "".join(old)
         new = _SEGMENT.findall(region[: at - before] + put + region[at - before + cut :])
         self.encoded += len(new)
-        tail = self.blocks[b2][j2 + 1 :]
-        if b1 == b2:
-            self.blocks[b1] = self.blocks[b1][:j1] + new + tail
-        else:
-            self.blocks[b1] = self.blocks[b1][:j1] + new
-            for k in range(b1 + 1, b2):
-                self.blocks[k] = []
-            self.blocks[b2] = tail
+        for held, fresh in ((self.blocks, new), (self.counts, list(map(self.count, new)))):
+            tail = held[b2][j2 + 1 :]
+            if b1 == b2:
+                held[b1] = held[b1][:j1] + fresh + tail
+            else:
+                held[b1] = held[b1][:j1] + fresh
+                for k in range(b1 + 1, b2):
+                    held[k] = []
+                held[b2] = tail
         if len(self.blocks[b1]) > 8 * _BLOCK:
-            self._build([x for block in self.blocks for x in block])
+            self._split(b1, b2)
             return
         for k in range(b1, b2 + 1):
             self._sum(k)
 
+    def _split(self, first: int, last: int) -> None:
+        """Cuts block `first` into several and takes up the changes of the blocks up to `last`."""
+        sums = list(zip(self.chars[self.size :], self.sums[self.size :]))[: len(self.blocks)]
+        for k in range(first, last + 1):
+            sums[k] = (len("".join(self.blocks[k])), sum(self.counts[k]))
+        blocks, counts = self._cut(self.blocks[first], self.counts[first])
+        parts = [(len("".join(x)), sum(y)) for x, y in zip(blocks, counts, strict=True)]
+        self._lay(self.blocks[:first] + blocks + self.blocks[first + 1 :], self.counts[:first] + counts + self.counts[first + 1 :], sums[:first] + parts + sums[first + 1 :])
+
     def _before(self, block: int) -> int:
         k, total = block + self.size, 0
         while k > 1:
@@ -152,7 +174,7 @@ class SegmentTree:
 
     def _sum(self, block: int) -> None:
         k = block + self.size
-        self.chars[k], self.sums[k] = len("".join(self.blocks[block])), sum(map(self.count, self.blocks[block]))
+        self.chars[k], self.sums[k] = len("".join(self.blocks[block])), sum(self.counts[block])
         k >>= 1
         while k:
             self.chars[k] = self.chars[2 * k] + self.chars[2 * k + 1]
@@ -188,6 +210,7 @@ def edited_counts(docs: DataFrame, edits: Column, path: str, pattern: str) -> Da
                 out["n_reencoded"].append(tree.encoded)
                 out["edited_sha256"].append(hashlib.sha256(tree.text().encode()).hexdigest())
             yield record(out, _OUT)
+            tidy()
 
     rows = whole_text(docs).select("doc_id", "text", edits.alias("edits"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, n_segments long, edited_tokens long, edited_chars long, n_reencoded long, edited_sha256 string")

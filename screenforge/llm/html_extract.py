@@ -20,7 +20,9 @@ half the host's pages is still part of the template.
 
 Defined results: null or blank html gives an empty text; text outside any element is a block; pages cut short end
 there; null url is a host of its own; a page with no block left by step 3 keeps what the other steps leave, of its
-article or main element if that holds any.
+article or main element if that holds any; elements count at any depth; every row gives one row, with a null or repeated
+page_id too (true copies count once for the template); an empty table gives no rows; very long pages are read whole; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, record
+from .common import durable, record, tidy
 
 #: Trees of a host that are merged in one go, on average.
 MOST_TREES = 48
@@ -47,8 +49,6 @@ LEAST_TEXTS = 6
 CONSTANT = 0.5
 #: Stands for all slots of a host.
 ANYWHERE = -1
-#: Elements nested deeper belong to their ancestor of this depth.
-MOST_DEPTH = 200
 #: The table of templates is broadcast up to so many bytes, and joined beyond.
 MOST_BROADCAST = 32 << 20
 
@@ -143,44 +143,57 @@ def read(text: str) -> Node:
 
 def matched(a: Node, b: Node) -> dict[int, int]:
     """Simple tree matching: the largest order- and ancestry-keeping map of numbered nodes of a to those of b."""
-    memo: dict[tuple[int, int], tuple[int, list]] = {}
-
-    def score(x: Node, y: Node) -> tuple[int, list]:
-        """(matched nodes, matched pairs of children) of two nodes with the same label."""
-        key = (x.id, y.id)
-        if key not in memo:
-            m, n = len(x.children), len(y.children)
-            best = np.zeros((m + 1, n + 1), np.int32)
-            places: dict[str, list[int]] = {}
-            for j, child in enumerate(y.children):
-                places.setdefault(child.label, []).append(j)
-            for i, child in enumerate(x.children):
-                best[i + 1] = best[i]
-                for j in places.get(child.label, ()):
-                    best[i + 1, j + 1] = max(best[i, j + 1], best[i, j] + score(child, y.children[j])[0])
-                np.maximum.accumulate(best[i + 1], out=best[i + 1])
-            pairs, i, j = [], m, n
-            while i and j:
-                if best[i, j] == best[i - 1, j]:
-                    i -= 1
-                elif best[i, j] == best[i, j - 1]:
-                    j -= 1
-                else:
-                    i, j = i - 1, j - 1
-                    pairs.append((x.children[i], y.children[j]))
-            memo[key] = (1 + int(best[m, n]), pairs)
-        return memo[key]
+    memo: dict[tuple[int, int], tuple[int, list]] = {}  # matched nodes, and matched pairs of children
+    if a.label != b.label:
+        return {}
+    # Pairs of nodes with the same label, each after all pairs of their children.
+    order, stack, known = [], [(a, b)], {(a.id, b.id)}
+    while stack:
+        x, y = stack.pop()
+        order.append((x, y))
+        places = _by_label(y.children)
+        for child in x.children:
+            for j in places.get(child.label, ()):
+                pair = (child, y.children[j])
+                if (child.id, pair[1].id) not in known:
+                    known.add((child.id, pair[1].id))
+                    stack.append(pair)
+    for x, y in reversed(order):
+        m, n = len(x.children), len(y.children)
+        best = np.zeros((m + 1, n + 1), np.int32)
+        places = _by_label(y.children)
+        for i, child in enumerate(x.children):
+            best[i + 1] = best[i]
+            for j in places.get(child.label, ()):
+                best[i + 1, j + 1] = max(best[i, j + 1], best[i, j] + memo[child.id, y.children[j].id][0])
+            np.maximum.accumulate(best[i + 1], out=best[i + 1])
+        pairs, i, j = [], m, n
+        while i and j:
+            if best[i, j] == best[i - 1, j]:
+                i -= 1
+            elif best[i, j] == best[i, j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((x.children[i], y.children[j]))
+        memo[x.id, y.id] = (1 + int(best[m, n]), pairs)
 
     out: dict[int, int] = {}
-    if a.label == b.label:
-        stack = [(a, b)]
-        while stack:
-            x, y = stack.pop()
-            out[x.id] = y.id
-            stack.extend(score(x, y)[1])
+    stack = [(a, b)]
+    while stack:
+        x, y = stack.pop()
+        out[x.id] = y.id
+        stack.extend(memo[x.id, y.id][1])
     return out
 
 
+def _by_label(nodes: list[Node]) -> dict[str, list[int]]:
+    places: dict[str, list[int]] = {}
+    for k, node in enumerate(nodes):
+        places.setdefault(node.label, []).append(k)
+    return places
+
+
 def merged(trees: list[str]) -> str:
     """One template tree from several, each aligned with what the ones before have built."""
     template = read(trees[0])
@@ -190,10 +203,13 @@ def merged(trees: list[str]) -> str:
         at = matched(tree, template)
 
         def graft(node: Node, parent: Node, place: int) -> None:
-            new = Node(node.label, parent)
-            parent.children.insert(place, new)
-            for k, kid in enumerate(node.children):
-                graft(kid, new, k)
+            top = Node(node.label, parent)
+            parent.children.insert(place, top)
+            stack = [(node, top)]
+            while stack:
+                node, new = stack.pop()
+                new.children = [Node(kid.label, new) for kid in node.children]
+                stack.extend(zip(node.children, new.children, strict=True))
 
         for node in mine:
             if node.id in at:
@@ -250,6 +266,7 @@ class Page:
         self.blocks: list[tuple[Node, str]] = []
         self.articles: list[int] = []
         open_: list[tuple[str, Node, int]] = [("", self.root, 0)]  # block elements only
+        held: Counter = Counter()  # open elements by tag
         seen = 0
         pieces: list[str] = []
 
@@ -264,6 +281,8 @@ class Page:
 
         def close(k: int) -> None:
             flush()
+            for tag, _, _ in open_[k:]:
+                held[tag] -= 1
             del open_[k:]
 
         at, end = 0, len(html)
@@ -281,10 +300,11 @@ class Page:
             if m[1]:
                 if tag in _INLINE:
                     continue
-                for k in range(len(open_) - 1, 0, -1):
-                    if open_[k][0] == tag:
-                        close(k)
-                        break
+                k = len(open_) - 1 if held[tag] else 0
+                while k and open_[k][0] != tag:
+                    k -= 1
+                if k:
+                    close(k)
                 continue
             if tag in _RAW:
                 finish = re.compile(f"</{tag}(?=[\\s/>]|\\Z)[^>]*>?", re.I).search(html, at)
@@ -301,7 +321,7 @@ class Page:
             if tag not in _KEEPS_P and open_[-1][0] == "p":
                 close(len(open_) - 1)
             closes, scope = _CLOSES.get(tag, ()), _SCOPES.get(tag, ())
-            for k in range(len(open_) - 1, 0, -1):
+            for k in range(len(open_) - 1, 0, -1) if any(held[x] for x in closes) else ():
                 if open_[k][0] in scope:
                     break
                 if open_[k][0] in closes:
@@ -310,12 +330,13 @@ class Page:
                         break
             if tag == "hr":
                 continue
-            node = open_[-1][1].child(_label(tag, m[3])) if len(open_) < MOST_DEPTH else open_[-1][1]
+            node = open_[-1][1].child(_label(tag, m[3]))
             if tag not in _VOID and not m[3].endswith("/"):
                 article = open_[-1][2]
-                if _is_article(node.label) and len(open_) < MOST_DEPTH and not _COMMENT_WORDS.intersection(node.label.split(".")):
+                if _is_article(node.label) and not _COMMENT_WORDS.intersection(node.label.split(".")):
                     article = seen = seen + 1
                 open_.append((tag, node, article))
+                held[tag] += 1
         flush()
 
 
@@ -358,14 +379,15 @@ def _content(page: Page, slot_of: dict[int, int], wrapper: Wrapper) -> list[str]
     """The texts of a numbered page's content blocks."""
     state: dict[int, tuple[bool, bool, tuple]] = {}  # (something else, inside an article or main element, elements that words call something else)
 
+    for node in _walk(page.root):  # parents come first
+        if node.parent is None:
+            state[node.id] = (False, False, ())
+        else:
+            other, inside, named = state[node.parent.id]
+            mine, words = _says_other(node.label, inside)
+            state[node.id] = (other or mine, inside or _is_article(node.label), (*named, node.id) if words else named)
+
     def of(node: Node) -> tuple[bool, bool, tuple]:
-        if node.id not in state:
-            if node.parent is None:
-                state[node.id] = (False, False, ())
-            else:
-                other, inside, named = of(node.parent)
-                mine, words = _says_other(node.label, inside)
-                state[node.id] = (other or mine, inside or _is_article(node.label), (*named, node.id) if words else named)
         return state[node.id]
 
     blocks = [(node, slot_of.get(node.id), text, of(node)[1], article) for (node, text), article in zip(page.blocks, page.articles, strict=True) if not of(node)[0]]
@@ -403,6 +425,7 @@ def _parse(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out["texts"].append([_mark(t) for _, t in page.blocks])
             out["copy"].append(_mark(repr([out[x][-1] for x in ("tree", "nodes", "texts")])))
         yield record(out, _PARSED)
+        tidy()
 
 
 class Aligner:
@@ -508,6 +531,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
                 out["text"].append(text)
                 out["n_chars"].append(len(text))
             yield record(out, schema)
+            tidy()
 
     joined = _with_host(pages).join(_small(wrappers(pages), "template"), "host", "left")
     return joined.select("page_id", "url", "html", "template", "wrapper").mapInArrow(extract, "page_id long, url string, text string, n_chars long")

@@ -4,17 +4,22 @@
    their hash range, which adds them up over all documents.  The most frequent ones (at most HOT_MOST, a bounded
    table) are broadcast with their rank; all others count as rare.
 2. Prefixes.  A document's n-grams are ordered rare first: rare ones by hash, then frequent ones by frequency.
-   Any two documents that link share one of their first n - ceil(t n) + 1.  Only those are sent out; lists with one
-   document end there.  Equal sets share one key, so copies collapse into one entry.
-3. Candidates.  Within a list, the length filter, the positional filter and a suffix filter (a lower bound of the
-   Hamming distance from 128 partition counts) discard pairs.  The first round compares each list with its leaders
-   only; the second compares what is still in different components, so that a large group of near copies never
-   becomes all its pairs, and no possible link is skipped.
+   Any two documents that link share one of their first n - ceil(t n) + 1.  Only those are sent out; lists of rare
+   n-grams with one set end at their owner, lists of frequent ones are never gathered in one place.  Equal sets share one
+   key, so copies collapse into one entry.
+3. Candidates.  Length and positional filter discard pairs within a list.  In the first rounds a list is compared with a
+   few of its members only: the one with the fewest rarer n-grams (in a cloud of near copies, the one they come from),
+   and those of best priority, where a set's priority is the same in all lists, so that the same pairs come from all of
+   them.  What links is contracted.  The last round compares all that is still in different components of a list, leaving
+   out pairs within the list's largest one, and asks the suffix filter (a lower bound of the Hamming distance from counts
+   modulo four in SUFFIX_PARTS partitions) before it writes a pair; so no possible link is skipped.
 4. Verification.  Each remaining pair is verified once on the full sets.
 
-Defined results: null or wordless texts have no n-grams and link with nothing; equal sets always link; a null
-doc_id never names a component; rows with the same doc_id count as one node.  Hashes have 64 bits: two different
-n-grams, or two different sets of the same size, are taken for equal with a probability of 2**-64 a pair.
+Defined results: null or wordless texts have no n-grams and link with nothing; equal sets always link; rows with a null
+doc_id link with nothing and have no component; rows that share a doc_id are texts of their own, each with its links (of
+equal smallest ids in a component, the text with the smallest hash is the one that stays); an empty table gives no rows;
+very long texts take part whole; other columns are ignored or kept, whatever their names.  Hashes have 64 bits: two
+different n-grams, or two different sets of the same size, are taken for equal with a probability of 2**-64 a pair.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom, bucket_bits, components, durable, only_keys, record, split_by_keys, tidy, whole_text
+from .common import bloom, bucket_bits, components, discard, durable, fresh, only_keys, record, small, split_by_keys, tidy, whole_text
 from .textscan import shingle_sets
 
 #: An n-gram in at least so many documents may enter the table of frequent ones.
@@ -35,26 +40,37 @@ HOT_FROM = 8
 #: Size of that table (12 bytes an entry).
 HOT_MOST = 1 << 20
 #: Partitions of the hash space that the suffix filter counts.
-SUFFIX_PARTS = 128
+SUFFIX_PARTS = 512
+_WORDS = SUFFIX_PARTS // 32  # 64-bit words of two bits a partition
+#: Members of each list that all others are compared with, by round.
+LEADERS = (2, 3)
 _FLUSH = 500_000
 
 _FREQ = pa.schema([("bucket", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary())])
 _PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("d", pa.binary()), ("ids", pa.list_(pa.int64()))])
-_ROWS = pa.schema([("kind", pa.int8()), ("h", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("pos", pa.int32()), ("doc_id", pa.int64()), ("parts", pa.binary())])
-_ROWS_SQL = "kind byte, h long, key long, n long, pos int, doc_id long, parts binary"
+_ROWS = pa.schema([("kind", pa.int8()), ("h", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("pos", pa.int32()), ("doc_id", pa.int64()), ("mark", pa.int64()), ("sig", pa.list_(pa.int64()))])
+_ROWS_SQL = "kind byte, h long, key long, n long, pos int, doc_id long, mark long, sig array<long>"
+_ENTRY, _DOCUMENT, _HOT_ENTRY = 0, 1, 2
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _text_only(docs: DataFrame) -> DataFrame:
-    return whole_text(docs.select("doc_id", "text"))
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the text's mark, by which rows that share a doc_id are told apart."""
+    return whole_text(docs.select("doc_id", "text")).withColumn("mark", F.xxhash64("text"))
 
 
 def _by_bucket(values: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
     """Ranges of the sorted values that fall to each bucket."""
-    edges = np.searchsorted(values, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
-    edges = np.append(edges, len(values))
-    for k in np.flatnonzero(np.diff(edges)):
-        yield int(k), slice(int(edges[k]), int(edges[k + 1]))
+    bucket = (values >> np.uint64(64 - bits)).astype(np.int64)
+    edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(bucket) else np.zeros(1, np.int64)
+    for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        yield int(bucket[s]), slice(s, e)
+
+
+def _signature(one: np.ndarray) -> np.ndarray:
+    """Counts by partition modulo four, in Gray code: the bits in which two differ are at most the elements in which the sets do."""
+    count = np.bincount((one & np.uint64(SUFFIX_PARTS - 1)).astype(np.int64), minlength=SUFFIX_PARTS)
+    return np.packbits(np.concatenate([(count >> 1) & 1, ((count + 1) >> 1) & 1]).astype(bool)).view("<i8")
 
 
 def _identity(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -108,7 +124,7 @@ def frequent(docs: DataFrame, n: int, bits: int) -> tuple[np.ndarray, np.ndarray
         tidy()
         return pa.table({"id": ids[starts][hot].astype(np.int64) | (bucket << 32), "df": sums[hot]})
 
-    counts = _text_only(docs).mapInArrow(count, "bucket int, ids binary, counts binary").groupBy("bucket").applyInArrow(total, "id long, df long")
+    counts = _texts(docs).select("doc_id", "text").mapInArrow(count, "bucket int, ids binary, counts binary").groupBy("bucket").applyInArrow(total, "id long, df long")
     top = counts.orderBy(F.desc("df"), "id").limit(HOT_MOST).toArrow()
     ids, df = top.column("id").to_numpy(), top.column("df").to_numpy()
     order = np.lexsort((ids, df))
@@ -124,60 +140,74 @@ def _least(percent: int, n):
 
 
 def prefix_rows(docs: DataFrame, n: int, percent: int, bits: int) -> DataFrame:
-    """kind 0: the entries of lists with two sets or more; kind 1: every document with its key, size and partition counts."""
+    """Entries of lists of rare n-grams with two sets or more, all entries of lists of frequent ones (with repeats), and every
+    document with its key, size and signature; by kind."""
     ids, rank = frequent(docs, n, bits)
     hot = docs.sparkSession.sparkContext.broadcast((ids, rank))
 
     def emit(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_ids, hot_rank = hot.value
-        hs, owners, places, keys, sizes, parts, docs_ = [], [], [], [], [], [], []
+        hs, owners, places, often, keys, sizes, marks, sigs, docs_ = [], [], [], [], [], [], [], [], []
+        flushes = 0
 
         def flush() -> pa.RecordBatch:
+            nonlocal flushes
             key, size = np.array(keys, np.int64), np.array(sizes, np.int64)
-            h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
-            owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
-            place = np.concatenate(places) if places else np.zeros(0, np.int32)
-            order = np.argsort(h, kind="stable")
-            h, owner, place = h[order], owner[order], place[order]
+            h, owner, place, known = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((hs, np.uint64), (owners, np.int64), (places, np.int32), (often, bool)))
+            order = np.lexsort((key[owner], h))
+            h, owner, place, known = h[order], owner[order], place[order], known[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (key[owner[1:]] != key[owner[:-1]])
             out: dict[str, list] = {f.name: [] for f in _PACKED}
 
             def add(*values) -> None:
                 for name, value in zip(out, values, strict=True):
                     out[name].append(value)
 
-            for k, s in _by_bucket(h, bits):
-                used, index = np.unique(owner[s], return_inverse=True)
-                table = np.stack([key[used], size[used]])
-                add(k, 0, h[s].tobytes(), index.astype("<u4").tobytes(), place[s].astype("<u4").tobytes(), table.tobytes(), None)
-            step = max(1, len(keys) >> min(bits, 4))
+            def entries(bucket: int, kind: int, h: np.ndarray, owner: np.ndarray, place: np.ndarray) -> None:
+                used, index = np.unique(owner, return_inverse=True)
+                add(bucket, kind, h.tobytes(), index.astype("<u4").tobytes(), place.astype("<u4").tobytes(), np.stack([key[used], size[used]]).tobytes(), None)
+
+            rare = np.flatnonzero(new & ~known)
+            for k, s in _by_bucket(h[rare], bits):
+                entries(k, _ENTRY, h[rare[s]], owner[rare[s]], place[rare[s]])
+            frequent_ones = np.flatnonzero(new & known)
+            parts, mask = 1 << min(bits, 4), (1 << bits) - 1
+            for k, part in enumerate(np.array_split(frequent_ones, parts)):
+                if len(part):
+                    entries((k + flushes * parts) & mask, _HOT_ENTRY, h[part], owner[part], place[part])
+            step = max(1, len(keys) // parts)
             for k, s in enumerate(range(0, len(keys), step)):
                 t = slice(s, s + step)
-                add((k + keys[0]) & (1 << bits) - 1, 1, key[t].tobytes(), size[t].tobytes(), b"".join(parts[t]), b"", docs_[t])
-            for held in (hs, owners, places, keys, sizes, parts, docs_):
+                add((k + flushes * parts) & mask, _DOCUMENT, key[t].tobytes(), size[t].tobytes(), b"".join(sigs[t]), np.array(marks[t], np.int64).tobytes(), docs_[t])
+            flushes += 1
+            for held in (hs, owners, places, often, keys, sizes, marks, sigs, docs_):
                 held.clear()
             return record(out, _PACKED)
 
-        entries = 0
+        entries_held = 0
         for batch in stream:
-            for doc_id, one in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), n), strict=True):
+            for doc_id, mark, one in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), shingle_sets(batch.column(1), n), strict=True):
                 size = one.size
-                if size:
+                if size and doc_id is not None:
                     upto = size - _least(percent, size) + 1
                     at = np.searchsorted(hot_ids, identity := _identity(one, bits))
                     at[at == len(hot_ids)] = 0
                     known = hot_ids[at] == identity if len(hot_ids) else np.zeros(size, bool)
-                    chosen = one[np.argsort(np.where(known, hot_rank[at], 0), kind="stable")[:upto]] if known.any() else one[:upto]
-                    hs.append(chosen)
+                    chosen = np.argsort(np.where(known, hot_rank[at], 0), kind="stable")[:upto] if known.any() else np.arange(upto)
+                    hs.append(one[chosen])
+                    often.append(known[chosen])
                     owners.append(np.full(upto, len(keys)))
                     places.append(np.arange(upto, dtype=np.int32))
-                    entries += upto
+                    entries_held += upto
                 keys.append(int.from_bytes(hashlib.blake2b(one.tobytes(), digest_size=8).digest(), "little", signed=True))
                 sizes.append(size)
+                marks.append(mark)
                 docs_.append(doc_id)
-                parts.append(np.minimum(np.bincount((one & np.uint64(SUFFIX_PARTS - 1)).astype(np.int64), minlength=SUFFIX_PARTS), 255).astype(np.uint8).tobytes())
-                if entries >= _FLUSH or len(keys) >= 50_000:
+                sigs.append(_signature(one).tobytes())
+                if entries_held >= _FLUSH or len(keys) >= 50_000:
                     yield flush()
-                    entries = 0
+                    entries_held = 0
             tidy()
         if keys:
             yield flush()
@@ -187,122 +217,149 @@ def prefix_rows(docs: DataFrame, n: int, percent: int, bits: int) -> DataFrame:
         out = []
         kinds = table.column("kind").to_numpy()
         blob = lambda row, name, kind: np.frombuffer(table.column(name)[row].as_buffer(), kind)
-        hs, keys, sizes, places = [], [], [], []
-        for row in np.flatnonzero(kinds == 0):
-            owner = blob(row, "b", "<u4")
-            pair = blob(row, "d", "<i8").reshape(2, -1)
-            hs.append(blob(row, "a", "<u8"))
-            keys.append(pair[0][owner])
-            sizes.append(pair[1][owner])
-            places.append(blob(row, "c", "<u4"))
-        if hs:
-            h, key, size, place = (np.concatenate(x) for x in (hs, keys, sizes, places))
+
+        def entries(kind: int, h: np.ndarray, key: np.ndarray, size: np.ndarray, place: np.ndarray) -> None:
+            none = pa.nulls(len(h), pa.int64())
+            out.append(record({"kind": np.full(len(h), kind, np.int8), "h": h.view(np.int64), "key": key, "n": size, "pos": place.astype(np.int32), "doc_id": none, "mark": none, "sig": pa.nulls(len(h), pa.list_(pa.int64()))}, _ROWS))
+
+        def unpacked(row: int) -> tuple:
+            owner, pair = blob(row, "b", "<u4"), blob(row, "d", "<i8").reshape(2, -1)
+            return blob(row, "a", "<u8"), pair[0][owner], pair[1][owner], blob(row, "c", "<u4")
+
+        rare = [unpacked(row) for row in np.flatnonzero(kinds == _ENTRY)]
+        if rare:
+            h, key, size, place = (np.concatenate(x) for x in zip(*rare, strict=True))
             order = np.lexsort((key, h))
             h, key, size, place = h[order], key[order], size[order], place[order]
             new = np.r_[True, (h[1:] != h[:-1]) | (key[1:] != key[:-1])]
             h, key, size, place = h[new], key[new], size[new], place[new]
             same = h[1:] == h[:-1]
             shared = np.r_[False, same] | np.r_[same, False]
-            count = int(shared.sum())
-            out.append(
-                record(
-                    {"kind": np.zeros(count, np.int8), "h": h[shared].view(np.int64), "key": key[shared], "n": size[shared], "pos": place[shared].astype(np.int32), "doc_id": pa.nulls(count, pa.int64()), "parts": pa.nulls(count, pa.binary())},
-                    _ROWS,
-                )
-            )
-        for row in np.flatnonzero(kinds == 1):
+            entries(_ENTRY, h[shared], key[shared], size[shared], place[shared])
+            del rare, h, key, size, place, order, new, same, shared
+        for row in np.flatnonzero(kinds == _HOT_ENTRY):
+            entries(_HOT_ENTRY, *unpacked(row))
+        for row in np.flatnonzero(kinds == _DOCUMENT):
             key = blob(row, "a", "<i8")
-            raw = table.column("c")[row].as_py()
-            out.append(
-                record(
-                    {"kind": np.ones(len(key), np.int8), "h": pa.nulls(len(key), pa.int64()), "key": key, "n": blob(row, "b", "<i8"), "pos": pa.nulls(len(key), pa.int32()), "doc_id": table.column("ids")[row].as_py(), "parts": [raw[i : i + SUFFIX_PARTS] for i in range(0, len(raw), SUFFIX_PARTS)]},
-                    _ROWS,
-                )
-            )
+            none = pa.nulls(len(key), pa.int64())
+            sig = pa.ListArray.from_arrays(np.arange(0, _WORDS * len(key) + 1, _WORDS, dtype=np.int32), blob(row, "c", "<i8"))
+            out.append(record({"kind": np.full(len(key), _DOCUMENT, np.int8), "h": none, "key": key, "n": blob(row, "b", "<i8"), "pos": pa.nulls(len(key), pa.int32()), "doc_id": table.column("ids")[row].as_py(), "mark": blob(row, "d", "<i8"), "sig": sig}, _ROWS))
         tidy()
         return pa.Table.from_batches(out, _ROWS)
 
-    packed = _text_only(docs).mapInArrow(emit, "bucket int, kind byte, a binary, b binary, c binary, d binary, ids array<long>")
+    packed = _texts(docs).select("doc_id", "text", "mark").mapInArrow(emit, "bucket int, kind byte, a binary, b binary, c binary, d binary, ids array<long>")
     return packed.groupBy("bucket").applyInArrow(lists, _ROWS_SQL)
 
 
-def _candidates(percent: int, stars: bool):
-    """Pairs of one bucket's lists that pass the filters; rows: h, n, pos, node, parts and, for the second round, comp."""
-
-    def passing(i: np.ndarray, j: np.ndarray, n, pos, parts) -> np.ndarray:
-        least = -(-percent * (n[i] + n[j]) // (100 + percent))
-        ok = 1 + np.minimum(n[i] - pos[i] - 1, n[j] - pos[j] - 1) >= least
-        i, j, least = i[ok], j[ok], least[ok]
-        far = np.zeros(len(i), np.int64)
-        for s in range(0, len(i), 65536):
-            t = slice(s, s + 65536)
-            far[t] = np.abs(parts[i[t]] - parts[j[t]]).sum(1)
-        ok[ok] = far <= n[i] + n[j] - 2 * least
-        return ok
-
-    def run(table: pa.Table) -> pa.Table:
-        h, n, pos, node = (table.column(c).to_numpy() for c in ("h", "n", "pos", "node"))
-        parts = np.frombuffer(b"".join(table.column("parts").to_pylist()), np.uint8).reshape(-1, SUFFIX_PARTS).astype(np.int16)
-        comp = node if stars else table.column("comp").to_numpy()
-        order = np.lexsort((node, n, h))
-        h, n, pos, node, comp, parts = h[order], n[order], pos[order].astype(np.int64), node[order], comp[order], parts[order]
-        edges = np.append(np.flatnonzero(np.r_[True, h[1:] != h[:-1]]), len(h))
-        found: list[np.ndarray] = []
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        waiting = gathered = 0
-
-        def settle() -> None:
-            nonlocal waiting, gathered
-            i, j = (np.concatenate(x) for x in zip(*held, strict=True))
-            held.clear()
-            waiting = 0
-            ok = passing(i, j, n, pos, parts)
-            a, b = node[i[ok]], node[j[ok]]
-            found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0))
-            gathered += len(found[-1])
-            if gathered > 1_000_000:
-                found[:] = [np.unique(np.concatenate(found), axis=0)]
-                gathered = len(found[0])
-
-        several = np.minimum.reduceat(comp, edges[:-1]) != np.maximum.reduceat(comp, edges[:-1]) if len(h) else np.zeros(0, bool)
-        for s, e in zip(edges[:-1][several].tolist(), edges[1:][several].tolist(), strict=True):
-            upto = (np.searchsorted(n[s:e], 100 * n[s:e] // percent, side="right") + s).tolist()
-            if stars:
-                lead = s
-                while lead < e:
-                    stop = upto[lead - s]
-                    if stop > lead + 1:
-                        held.append((np.full(stop - lead - 1, lead), np.arange(lead + 1, stop)))
-                        waiting += stop - lead - 1
-                    lead = max(stop, lead + 1)
-            else:
-                for i in range(s, e - 1):
-                    j = np.arange(i + 1, upto[i - s])
-                    j = j[comp[j] != comp[i]]
-                    if len(j):
-                        held.append((np.full(len(j), i), j))
-                        waiting += len(j)
-            if waiting > 200_000:
-                settle()
-        if held:
-            settle()
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]}, _PAIRS)
+def _apart(x: str, y: str) -> str:
+    """SQL for the bits in which two signatures differ."""
+    return " + ".join(f"bit_count(get({x}, {k}) ^ get({y}, {k}))" for k in range(_WORDS))
+
 
-    return run
+def _least_sql(n: str, m: str, percent: int) -> str:
+    """SQL for the least overlap that sets of n and m need."""
+    return f"(({percent} * ({n} + {m}) + {99 + percent}) div {100 + percent})"
 
 
-def verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets link."""
-    wanted = durable(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+def _stars(entries: DataFrame, percent: int, around: int, leaders: int) -> DataFrame:
+    """(a, b): sets of each list (h, key, n, pos, comp) with its leaders of other components; around: the round.
+
+    A list comes in one piece, its leaders first, and passes by row after row: nothing of it is held but the leaders.
+    """
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 5
+        last = (None, None)
+        for batch in stream:
+            rows = [batch.column(k).to_numpy().astype(np.int64) for k in range(5)]
+            h, key = rows[:2]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (key[1:] != key[:-1])
+            new[0] = (int(h[0]), int(key[0])) != last
+            last = (int(h[-1]), int(key[-1]))
+            done = len(held[0])
+            h, key, n, pos, comp = (np.concatenate([x, y[new]]) for x, y in zip(held, rows, strict=True))
+            if not len(h):
+                continue
+            start = np.maximum.accumulate(np.where(np.r_[True, h[1:] != h[:-1]], np.arange(len(h)), 0))
+            found = []
+            for k in range(leaders):
+                i = np.flatnonzero((np.arange(len(h)) - start > k) & (np.arange(len(h)) >= done))
+                j = start[i] + k
+                least = -(-percent * (n[i] + n[j]) // (100 + percent))
+                ok = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= least)
+                found.append(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])], 1)[ok])
+            pairs = np.unique(np.concatenate(found), axis=0)
+            s = int(start[-1])
+            held = [x[s : s + leaders] for x in (h, key, n, pos, comp)]
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIRS)
+            tidy()
+
+    first = ["pos"] if around == 0 else []
+    dealt = entries.select("h", "key", "n", "pos", "comp").repartition("h").sortWithinPartitions("h", *first, F.xxhash64("key", F.lit(around)), "key")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _mixed(entries: DataFrame, groups: DataFrame) -> DataFrame:
+    """Entries (h, key, n, pos) of lists with sets of several components, with these; a durable table."""
+    held = entries.join(small(groups, 16), "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
+    lists = held.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("h")
+    lists = durable(lists)
+    out = durable(held.join(small(lists, 8), "h").distinct())
+    discard(lists)
+    return out
+
+
+def _rest(entries: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all sets of each list that are in different components and pass the filters; a durable table."""
+    sizes = entries.groupBy("h", "comp").count().groupBy("h").agg(F.max(F.struct("count", "comp")).alias("top"))
+    sizes = durable(sizes.select("h", F.col("top.comp").alias("main")))
+    signed = durable(entries.join(sizes, "h").join(nodes.select("key", "sig"), "key").select("h", "main", F.struct("key", "n", "pos", "comp", "sig").alias("x")))
+    fewer = signed.where("x.comp <> main").select("h", "main", F.col("x").alias("y"))
+    # Of two sets outside the largest component, the one with the larger key looks for the other.
+    least = _least_sql("x.n", "y.n", percent)
+    fits = f"""100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and least(x.n - x.pos, y.n - y.pos) >= {least}
+        and {_apart('x.sig', 'y.sig')} <= x.n + y.n - 2 * {least}"""
+    met = signed.drop("main").join(fewer, "h").where(F.expr(f"x.comp <> y.comp and (x.comp = main or x.key < y.key) and {fits}"))
+    out = durable(met.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct())
+    discard(sizes, signed)
+    return out
+
+
+def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that pass the suffix filter; a durable table."""
+    sides = [nodes.select(F.col("key").alias(k), F.struct("n", "sig").alias(v)) for k, v in (("a", "x"), ("b", "y"))]
+    held = durable(small(pairs, 16).join(sides[0], "a"))
+    out = durable(small(held, 200).join(sides[1], "b").where(f"{_apart('x.sig', 'y.sig')} <= x.n + y.n - 2 * {_least_sql('x.n', 'y.n', percent)}").select("a", "b"))
+    discard(held)
+    return out
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """key, hashes: the sets of wanted nodes (key, doc_id, mark), packed and sorted; a durable table."""
 
     def sets(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            found = [s.tobytes() for s in shingle_sets(batch.column(1), n)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "hashes"])
+            for a in range(0, batch.num_rows, 500):
+                part = batch.slice(a, 500)
+                found = [s.tobytes() for s in shingle_sets(part.column(1), n)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["key", "hashes"])
             del found
             tidy()
 
+    texts = _texts(docs)
+    if wanted.count() * 100 <= 8 << 20:
+        # The marks aren't compared as keys, so that the table is hashed by a single number.
+        other = wanted.select(F.col("doc_id").alias("other_id"), F.col("mark").alias("other_mark"), "key")
+        some = texts.join(F.broadcast(other), F.expr("doc_id = other_id and (mark ^ other_mark) = 0"))
+    else:
+        some = only_keys(texts, "doc_id", bloom(wanted, "doc_id")).join(wanted, ["doc_id", "mark"])
+    return durable(some.select("key", "text").mapInArrow(sets, "key long, hashes binary").dropDuplicates(["key"]))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of keys whose full sets (key, hashes) link; a durable table."""
+
     def check(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             mask = []
@@ -311,43 +368,62 @@ def verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFra
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 mask.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(mask, pa.bool_()))
+            tidy()
 
-    some = only_keys(_text_only(docs), "doc_id", bloom(wanted, "id"))
-    some = some.join(wanted, some["doc_id"] == wanted["id"], "left_semi")
-    hashes = some.mapInArrow(sets, "id long, hashes binary")
-    left, right = (hashes.select(F.col("id").alias(k), F.col("hashes").alias(v)) for k, v in (("a", "x"), ("b", "y")))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(check, "a long, b long").distinct()
+    left, right = (sets.select(F.col("key").alias(k), F.col("hashes").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+    return durable(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long"))
 
 
-def similar(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per document; a component's id is its smallest doc_id."""
+def linked(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, mark, n and first: the (doc_id, mark) that comes first in the row's component; one row per document."""
     bits = bucket_bits(docs, 16 << 20)
     rows = durable(prefix_rows(docs, n, percent, bits))
-    every = rows.where("kind = 1").select("doc_id", "key", "n", "parts")
-    nodes = every.where("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("node"), F.first("parts").alias("parts"))
-    lists = rows.where("kind = 0").select("h", "key", "n", "pos").join(nodes, ["key", "n"]).where("node is not null")
-    lists = durable(lists.select("h", "n", "pos", "node", "parts", F.shiftrightunsigned("h", 64 - bits).cast("int").alias("bucket")))
-
-    first = durable(lists.groupBy("bucket").applyInArrow(_candidates(percent, True), "a long, b long").distinct())
-    near = durable(verified(docs, first, n, percent))
-    groups = components(near)
-    again = lists.join(groups, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-    second = again.groupBy("bucket").applyInArrow(_candidates(percent, False), "a long, b long").distinct()
-    second = durable(second.join(first, ["a", "b"], "left_anti"))
-    edges = near.union(verified(docs, second, n, percent))
-
-    final = components(edges)
-    named = nodes.select("key", "n", "node").join(final, "node", "left").select("key", "n", F.coalesce("component", "node").alias("component_id"))
-    return every.join(named, ["key", "n"], "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"),
-    )
+    every = rows.where(F.col("kind") == _DOCUMENT).select("doc_id", "mark", "key", "n")
+    able = F.expr("n > 0 and doc_id is not null")
+    nodes = rows.where((F.col("kind") == _DOCUMENT) & able).groupBy("key").agg(F.min(F.struct("doc_id", "mark")).alias("own"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    nodes = durable(nodes.select("key", "own.doc_id", "own.mark", "n", "sig"))
+
+    entries = rows.where(F.col("kind") != _DOCUMENT).select("h", "key", "n", "pos", F.col("key").alias("comp"))
+    sets = near = groups = None
+    for around, leaders in enumerate((*LEADERS, 0)):
+        pairs = durable(_stars(entries, percent, around, leaders)) if leaders else _rest(entries, nodes, percent)
+        some = _close(pairs, nodes, percent)
+        wanted = some.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        wanted = durable((wanted if sets is None else wanted.join(sets.select("key"), "key", "left_anti")).join(nodes.select("key", "doc_id", "mark"), "key"))
+        if sets is None or not wanted.isEmpty():
+            new = sets_of(docs, wanted, n)
+            sets = new if sets is None else sets.union(new)
+        links = verified(some, sets, percent)
+        near = links if near is None else near.union(links)
+        groups = components(near).select(F.col("node").alias("key"), "component")
+        discard(pairs, some, wanted)
+        if leaders:
+            mixed = _mixed(entries.drop("comp"), groups)
+            entries = mixed
+            if mixed.isEmpty():
+                break
+
+    firsts = nodes.select("key", F.struct("doc_id", "mark").alias("own"))
+    named = durable(groups.join(firsts, "key"))
+    names = named.groupBy("component").agg(F.min("own").alias("first"))
+    names = durable(named.join(names, "component").select("key", "first"))
+    names = firsts.join(small(names, 32), "key", "left").select("key", F.coalesce("first", "own").alias("first"))
+    alone = every.where(~able).select("doc_id", "mark", "n", F.struct("doc_id", "mark").alias("first"))
+    return every.where(able).join(names, "key").select("doc_id", "mark", "n", "first").union(alone)
+
+
+def similar(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id: one row per document; a component's id is its smallest doc_id."""
+    return linked(docs, n, percent).select("doc_id", F.col("n").alias("n_shingles"), F.col("first.doc_id").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document, the one with the smallest doc_id, of each component; rows without doc_id stay."""
-    gone = durable(similar(docs, n, percent).where("doc_id <> component_id").select("doc_id").distinct())
+    """docs with one document, the one with the smallest doc_id, of each component; rows without doc_id stay, rows that
+    repeat the doc_id and text of the one that stays do too."""
+    gone = linked(docs, n, percent).where("doc_id is not null and not first <=> struct(doc_id, mark)").select("doc_id", "mark").distinct()
+    name = fresh(docs, "mark")
+    gone = durable(gone.withColumnRenamed("mark", name))
     maybe, sure = split_by_keys(docs, "doc_id", bloom(gone, "doc_id"))
-    out = maybe.join(gone, "doc_id", "left_anti")
+    mark = F.xxhash64(F.coalesce(F.make_valid_utf8("text"), F.lit("")))
+    out = maybe.withColumn(name, mark).join(gone, ["doc_id", name], "left_anti").select(*docs.columns)
     return out if sure is None else out.unionByName(sure)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,7 @@ from .functions import text as T
 from .functions.detect import StopwordDetector
 from .operators import chunking, decide, extract, resume, stats, verify
 from .plans import screen
-from .session import prepare
+from .session import prepare, shared_folder, spread
 from .sources import jsonl
 
 DEFAULT = ScreenConfig()
@@ -27,7 +27,7 @@ ORACLE_SQL: dict[str, str] = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _register(sql: str | None = None):
@@ -247,27 +247,91 @@ def retention(spark, sf_dir):
     return stats.total(_facts(spark, sf_dir)).select(*stats.retention())
 
 
-@_register(_with("SELECT path, 'rows do not add up' AS finding FROM f WHERE false"))
+_PLANTED = "substring(path, 4)::INT % 3 = 0 OR substring(path, 4)::INT % 5 = 0"
+
+
+@_register(_with(f"SELECT DISTINCT path, 'rows do not add up' AS finding FROM f WHERE {_PLANTED}"))
 def row_accounting(spark, sf_dir):
-    return verify.accounting(stats.by_file(_facts(spark, sf_dir)))
+    """Files of every third source lost a kept row, those of every fifth counted an unknown row too many."""
+    number = F.substring("path", 4, 10).cast("int")
+    files = stats.by_file(_facts(spark, sf_dir)).withColumns({"kept_rows": F.col("kept_rows") - F.when(number % 3 == 0, 1).otherwise(0), "unknown_rows": F.col("unknown_rows") + F.when(number % 5 == 0, 1).otherwise(0)})
+    return verify.accounting(files)
 
 
-@_register("SELECT url AS path, count(*) AS times FROM pages GROUP BY url HAVING count(*) > 1")
-def dup_paths(spark, sf_dir):
-    return verify.duplicate_paths(_table(spark, sf_dir, "pages").select(F.col("url").alias("path")))
+@_register("SELECT source AS path, 'output lines differ from counted rows' AS finding FROM documents GROUP BY source HAVING substring(source, 4)::INT % 4 = 0")
+def output_line_counts(spark, sf_dir):
+    """Of the outputs of every fourth source a line is missing."""
+    files = _table(spark, sf_dir, "documents").groupBy(F.col("source").alias("path")).agg(F.count("*").alias("kept_rows"))
+    files = files.select("path", F.col("path").alias("basename"), "kept_rows", F.lit(0).alias("rejected_rows"), F.lit(0).alias("unknown_rows"))
+    first = _table(spark, sf_dir, "documents").groupBy("source").agg(F.min("doc_id").alias("doc_id"))
+    lost = first.where(F.substring("source", 4, 10).cast("int") % 4 == 0)
+    written = _table(spark, sf_dir, "documents").join(lost, ["source", "doc_id"], "left_anti").select(F.col("source").alias("basename"), F.lit("en").alias("bucket"))
+    return verify.line_counts(files, written)
+
+
+_BLOCKS = """l AS (SELECT source, doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS b, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents),
+    s AS (SELECT source, sum(b) AS size, count(*) AS n FROM l GROUP BY source)"""
+
+
+def _blocks(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Lines of documents, a file a source, as if read in two blocks; and the files' numbers."""
+    from pyspark.sql import Window
+
+    docs = _table(spark, sf_dir, "documents").select(F.col("source").alias("path"), "doc_id", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("bytes"))
+    order = Window.partitionBy("path").orderBy("doc_id")
+    lines = docs.withColumns({"i": F.row_number().over(order), "upto": F.sum("bytes").over(order), "size": F.sum("bytes").over(Window.partitionBy("path"))})
+    # The second block starts at the last byte of the first line; the first line belongs to the first block.
+    edge = F.min(F.when(F.col("i") == 1, F.col("bytes") - 1)).over(Window.partitionBy("path"))
+    lines = lines.withColumns({"start": F.when(F.col("i") == 1, 0).otherwise(edge).cast("long"), "length": F.when(F.col("i") == 1, edge).otherwise(F.col("size") - edge)})
+    return lines, F.substring("path", 4, 10).cast("int")
+
+
+@_register(f"WITH {_BLOCKS} SELECT source AS path, 'bytes read differ from file size' AS finding FROM s WHERE substring(source, 4)::INT % 3 = 0 AND n > 2")
+def byte_coverage(spark, sf_dir):
+    """Of every third source's file the third line is lost."""
+    lines, number = _blocks(spark, sf_dir)
+    return verify.coverage(verify.by_block(lines.where(~((number % 3 == 0) & (F.col("i") == 3)))))
 
 
-_PARTS = r"string_split_regex(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*:/+', '/'), '/+')"
-_NAME = r"CASE WHEN length(p[-1]) > 1 THEN p[-1][1] || regexp_replace(p[-1][2:], '\.[^.]+$', '') ELSE p[-1] END"
+@_register(f"WITH {_BLOCKS} SELECT source AS path, 'a block''s first line starts outside of it' AS finding FROM s WHERE substring(source, 4)::INT % 4 = 0 AND n > 1")
+def block_boundaries(spark, sf_dir):
+    """The first line of every fourth source's file is read as part of the second block: nothing comes before it."""
+    lines, number = _blocks(spark, sf_dir)
+    moved = (number % 4 == 0) & (F.col("i") == 1)
+    edge = F.col("bytes") - 1
+    lines = lines.withColumns({"start": F.when(moved, edge).otherwise(F.col("start")), "length": F.when(moved, F.col("size") - edge).otherwise(F.col("length"))})
+    return verify.boundaries(verify.by_block(lines))
+
+
+@_register("""SELECT source AS path, CASE WHEN substring(source, 4)::INT % 3 = 1 THEN 'key ''body'' is in none of the sampled lines; keys there: text'
+    ELSE 'no valid JSON object in the sampled lines' END AS finding FROM documents GROUP BY source HAVING substring(source, 4)::INT % 3 > 0""")
+def key_validation(spark, sf_dir):
+    """Every third source's file has its key, the next ones are listed under another key, the others hold no objects."""
+    docs = _table(spark, sf_dir, "documents")
+    number = F.substring("source", 4, 10).cast("int") % 3
+    key = F.when(number == 1, "body").otherwise("text")
+    value = F.when(number == 2, F.lit("[1]")).otherwise(F.to_json(F.struct("text"), {"ignoreNullFields": "false"}))
+    lines = docs.select(F.col("source").alias("path"), key.alias("key"), value.alias("value"))
+    return verify.keys_found(lines.select("path", "key").distinct(), jsonl.key_presence(lines))
+
+
+@_register("WITH p AS (SELECT url FROM pages UNION ALL SELECT url FROM pages WHERE page_id % 10 = 0) SELECT url AS path, count(*) AS times FROM p GROUP BY url HAVING count(*) > 1")
+def dup_paths(spark, sf_dir):
+    """Every tenth page is listed twice."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("path"))
+    return verify.duplicate_paths(pages.union(pages.where("page_id % 10 = 0")).select("path"))
 
 
 @_register(
-    f"WITH p AS (SELECT DISTINCT url, {_PARTS} AS p FROM pages), b AS (SELECT url, CASE WHEN len(p) >= 4 THEN concat_ws('_', p[-3], p[-2], {_NAME}) WHEN len(p) = 3 THEN concat_ws('_', p[-2], {_NAME}) ELSE {_NAME} END AS basename FROM p) "
-    "SELECT basename, count(*) AS paths, min(url) AS first_path FROM b GROUP BY basename HAVING count(*) > 1"
+    "WITH p AS (SELECT DISTINCT '/p' || (doc_id % 3) || '/' || coalesce(lang, 'x') || '/a/' || source || '.v1.jsonl' AS path, coalesce(lang, 'x') || '_a_' || source || '.v1' AS basename FROM documents) "
+    "SELECT basename, count(*) AS paths, min(path) AS first_path FROM p GROUP BY basename HAVING count(*) > 1"
 )
 def basename_collision(spark, sf_dir):
-    named = _table(spark, sf_dir, "pages").select(F.col("url").alias("path"), T.output_basename(F.col("url")).alias("basename"))
-    return verify.basename_collisions(named).select("basename", F.size("paths").cast("long").alias("paths"), F.element_at("paths", 1).alias("first_path"))
+    """Files of like names in three folders of like names."""
+    parts = ("/p", (F.col("doc_id") % 3).cast("string"), "/", F.coalesce("lang", F.lit("x")), "/a/", F.col("source"), ".v1.jsonl")
+    named = _table(spark, sf_dir, "documents").select(F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts]).alias("path"))
+    found = verify.basename_collisions(named.withColumn("basename", T.output_basename(F.col("path"))))
+    return found.select("basename", F.size("paths").cast("long").alias("paths"), F.element_at("paths", 1).alias("first_path"))
 
 
 @_register("SELECT source AS path, count(*) AS size FROM documents GROUP BY source HAVING NOT (substring(source, 4)::INT % 3 = 0 AND count(*) % 2 = 0)")
@@ -340,8 +404,7 @@ def detector_confusion(spark, sf_dir):
 def jsonl_round_trip(spark, sf_dir):
     """Documents written as JSON lines and read back: lines and bytes by part."""
     prepare(spark)
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp()
-    folder = f"{shared.rstrip('/')}/round_trip_{spark.sparkContext.applicationId}_{abs(hash(sf_dir))}"
+    folder = f"{shared_folder(spark)}/round_trip_{uuid.uuid4().hex}"
     docs = _table(spark, sf_dir, "documents")
     rows = docs.select((F.col("doc_id") % 7).alias("part"), F.to_json(F.struct("text"), {"ignoreNullFields": "false"}).alias("value"))
     rows.write.mode("overwrite").option("lineSep", "\n").partitionBy("part").text(folder)
@@ -349,8 +412,25 @@ def jsonl_round_trip(spark, sf_dir):
     return back.groupBy("part").agg(F.count("*").alias("lines"), F.sum(T.raw_bytes(F.col("value"))).alias("bytes"))
 
 
-@_register("SELECT doc_id, text AS value FROM documents WHERE false")
+@_register("SELECT doc_id, 'not valid JSON' AS finding FROM documents WHERE doc_id % 7 < 2 AND doc_id % 3 = 0")
 def json_sample(spark, sf_dir):
-    """A sample of kept lines that doesn't parse: none."""
-    lines = _table(spark, sf_dir, "documents").select("doc_id", F.to_json(F.struct("text")).alias("value"))
-    return extract.parsed(lines.sample(0.1, 17)).where("json_error").select("doc_id", "value")
+    """Kept lines, of which some were cut or have something behind the object; the sample is every third line."""
+    lines = _table(spark, sf_dir, "documents").select("doc_id", F.to_json(F.struct("text"), {"ignoreNullFields": "false"}).alias("value")).where("doc_id % 3 = 0")
+    wrong = F.when(F.col("doc_id") % 7 == 0, F.expr("left(value, length(value) - 1)")).when(F.col("doc_id") % 7 == 1, F.concat("value", F.lit("]"))).otherwise(F.col("value"))
+    return verify.json_sample(lines.withColumn("value", wrong), 1.0).select("doc_id", "finding")
+
+
+_EDGES = ["", "\r", " ", "{", "[{}]", "null", '{"text":"x"} y', '{"text":"x"},{}', '{"other":"x"}', '{"text":null}', '{"text":5}', '{"text":" "}', '{"text":[]}', '{"text":["a", 1, " "]}', '{"text":"a","text":"b"}', ' {"text":"x"} ', '{"text":"x"]', '{"a":NaN}']
+_EDGE_FACTS = "0empty 0empty 3error 3error 3error 3error 3error 3error 2missing 2blank 2blank 2blank 2blank 1text 1text 1text 3error 3error".split()
+
+
+@_register(
+    f"""WITH e AS (SELECT doc_id, [{', '.join(f"'{x}'" for x in _EDGE_FACTS)}][(doc_id % {len(_EDGES)} + 1)::BIGINT] AS e FROM documents)
+    SELECT doc_id, e = '0empty' AS empty_line, e = '3error' AS json_error, e[1] = '2' AS key_missing, e = '2blank' AS content_empty,
+        CASE e[1] WHEN '2' THEN 'unknown' WHEN '0' THEN NULL ELSE 'non_selected' END AS bucket FROM e"""
+)
+def json_edge_rows(spark, sf_dir):
+    """Blank, broken, repeated and empty values: what comes of each."""
+    listed = F.array(*[F.lit(x) for x in _EDGES])
+    lines = _table(spark, sf_dir, "documents").select("doc_id", F.element_at(listed, (F.col("doc_id") % len(_EDGES)).cast("int") + 1).alias("value"))
+    return screen.facts(lines, "text", DEFAULT).select("doc_id", "empty_line", "json_error", "key_missing", "content_empty", "bucket")

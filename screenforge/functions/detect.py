@@ -6,6 +6,8 @@ functions alone, so that it stays in the plan; models come in as Arrow-batched f
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -27,10 +29,10 @@ RESULT = "struct<lang:string,conf:double>"
 class StopwordDetector:
     """Most hits in the language's word list wins; the confidence is its share of all hits."""
 
-    name = "stopwords"
-
     def __init__(self, words: dict[str, str] | None = None, min_chars: int = 10) -> None:
         self.words, self.min_chars = {k: v.split() for k, v in (words or STOPWORDS).items()}, min_chars
+        #: Tells word lists apart in a run's fingerprint.
+        self.name = "stopwords" if words is None else "stopwords " + hashlib.sha256(repr(self.words).encode()).hexdigest()[:16]
 
     def sql(self, text: str) -> str:
         """SQL for struct(lang, conf) of a text; unknown with confidence 0 if short or without hits."""
@@ -60,47 +62,62 @@ class StopwordDetector:
         return spark.sql("select 'This is the end of the line, and that is to be with us for good' as t").select(self.one("t")["lang"]).first()[0] == "en"
 
 
+_loaded: dict[str, Callable] = {}
+
+
+def _predictor(name: str, load: Callable) -> Callable:
+    """The model of that name, loaded once per Python worker."""
+    if name not in _loaded:
+        _loaded.clear()
+        _loaded[name] = load()
+    return _loaded[name]
+
+
+def clean_label(label: str) -> str:
+    """A model's label without the prefix that marks it as one."""
+    return label.removeprefix("__label__")
+
+
 class ModelDetector:
-    """Wraps a model: load() is called once per Python worker and returns a function from a list of texts to (lang, conf)."""
+    """Wraps a model: load() is called once per Python worker and returns a function from a list of texts to (label, conf).
 
-    name = "model"
+    name: tells models apart, in a worker and in a run's fingerprint.
+    """
 
-    def __init__(self, load: Callable[[], Callable[[list[str]], list[tuple[str, float]]]], min_chars: int = 10) -> None:
-        self.load, self.min_chars = load, min_chars
+    def __init__(self, load: Callable[[], Callable[[list[str]], list[tuple[str, float]]]], min_chars: int = 10, name: str = "model") -> None:
+        self.load, self.min_chars, self.name = load, min_chars, name
 
-    def _scorer(self):
-        load, least = self.load, self.min_chars
+    def _scorer(self) -> Callable[[list], list[tuple[str, float]]]:
+        name, load, least = self.name, self.load, self.min_chars
 
-        def score(predict, texts: list) -> list[tuple[str, float]]:
+        def score(texts: list) -> list[tuple[str, float]]:
             fit = [i for i, t in enumerate(texts) if t is not None and len(t.strip()) >= least]
             out = [("unknown", 0.0)] * len(texts)
             if fit:
-                for i, r in zip(fit, predict([texts[i].replace("\n", " ").replace("\r", " ") for i in fit]), strict=True):
-                    out[i] = r if r and r[0] else ("unknown", 0.0)
+                found = _predictor(name, load)([texts[i].replace("\n", " ").replace("\r", " ") for i in fit])
+                for i, r in zip(fit, found, strict=True):
+                    out[i] = (clean_label(r[0]), float(r[1])) if r and r[0] else ("unknown", 0.0)
             return out
 
-        return load, score
+        return score
 
     def one(self, text: str) -> Column:
-        load, score = self._scorer()
+        score = self._scorer()
 
         @F.pandas_udf(RESULT)
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            predict = load()
             for texts in batches:
-                yield pd.DataFrame(score(predict, texts.tolist()), columns=["lang", "conf"])
+                yield pd.DataFrame(score(texts.tolist()), columns=["lang", "conf"])
 
         return run(F.make_valid_utf8(F.col(text)))
 
     def many(self, texts: str) -> Column:
-        load, score = self._scorer()
+        score = self._scorer()
 
         @F.pandas_udf(f"array<{RESULT}>")
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            predict = load()
             for rows in batches:
-                flat = [t for row in rows if row is not None for t in row]
-                found = iter(score(predict, flat))
+                found = iter(score([t for row in rows if row is not None for t in row]))
                 yield pd.Series([None if row is None else [dict(zip(("lang", "conf"), next(found), strict=True)) for _ in row] for row in rows])
 
         return run(F.transform(F.col(texts), F.make_valid_utf8))
@@ -109,5 +126,28 @@ class ModelDetector:
         return spark.sql("select 'This is the end of the line, and that is to be with us for good' as t").select(self.one("t")["lang"]).first()[0] == "en"
 
 
+def fasttext_detector(path: str, min_chars: int = 10) -> ModelDetector:
+    """A fastText model from a file that every worker can read."""
+    import importlib.util
+
+    if importlib.util.find_spec("fasttext") is None:
+        raise ValueError("a model is given, but the library fasttext isn't installed")
+    if not os.path.isfile(path):
+        raise ValueError(f"no model at {path}")
+
+    def load():
+        import fasttext
+
+        model = fasttext.load_model(path)
+
+        def predict(texts: list[str]) -> list[tuple[str, float]]:
+            labels, scores = model.predict(texts, k=1)
+            return [(a[0], b[0]) if a else ("", 0.0) for a, b in zip(labels, scores, strict=True)]
+
+        return predict
+
+    return ModelDetector(load, min_chars, f"fasttext {path} {os.path.getsize(path)}")
+
+
 def _escaped(text: str) -> str:
     return "".join(f"\\u{ord(c):04X}" for c in text)

@@ -30,14 +30,15 @@ def _field(name: str, of: str = "v") -> str:
 def parsed(rows: DataFrame, value: str = "value") -> DataFrame:
     """rows with line (without its line end), empty_line, v (the object, or null) and json_error.
 
-    Spark's parser ignores what follows a value, so a line counts only if it also parses as the one element of an
-    array and as the one member of an object: nothing but a single value does both.
+    Spark's parser ignores what follows a value.  So a line is parsed as the first element of an array of two, whose second
+    one is the line's own hash: only a single value leaves the array with just these two.
     """
-    line = F.regexp_replace(F.make_valid_utf8(F.col(value)), r"[\r\n]+$", "")
-    out = rows.withColumn("line", line).withColumn("empty_line", F.col("line") == "")
-    whole = "try_parse_json(concat('{\"v\":', line, '}'))"
-    out = out.withColumn("v", F.expr(f"if(empty_line or try_parse_json(concat('[', line, ']')) is null, null, try_variant_get({whole}, '$.v', 'variant'))"))
-    return out.withColumn("v", F.expr("if(schema_of_variant(v) like 'OBJECT%', v, null)")).withColumn("json_error", ~F.col("empty_line") & F.col("v").isNull())
+    line = F.rtrim(F.make_valid_utf8(F.col(value)), F.lit("\r\n"))
+    out = rows.withColumn("line", line).withColumn("empty_line", F.col("line") == "").withColumn("__mark", F.xxhash64("line"))
+    out = out.withColumn("__pair", F.expr("if(empty_line or not ltrim(' \t\r', line) like '{%', null, try_parse_json(concat('[', line, ',', __mark, ']')))"))
+    single = "try_variant_get(__pair, '$[1]', 'bigint') <=> __mark and try_variant_get(__pair, '$[2]', 'variant') is null"
+    out = out.withColumn("v", F.expr(f"if({single}, try_variant_get(__pair, '$[0]', 'variant'), null)")).drop("__pair", "__mark")
+    return out.withColumn("json_error", ~F.col("empty_line") & F.col("v").isNull())
 
 
 def is_array(x: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .extract import parsed
@@ -31,20 +31,46 @@ def line_counts(files: DataFrame, written: DataFrame) -> DataFrame:
 
 def json_sample(lines: DataFrame, share: float = 0.001, seed: int = 17) -> DataFrame:
     """Sampled kept lines that don't parse."""
-    return parsed(lines.sample(share, seed)).where("json_error").select("value", F.lit("not valid JSON").alias("finding"))
+    sampled = lines if share >= 1 else lines.sample(share, seed)
+    return parsed(sampled).where("json_error").select(*lines.columns, F.lit("not valid JSON").alias("finding"))
+
+
+def by_block(lines: DataFrame) -> DataFrame:
+    """path, start, length, size, lines, bytes: what was read of each block of a file; a line counts with its line feed."""
+    return lines.groupBy("path", "start", "length", "size").agg(F.count("*").alias("lines"), F.sum("bytes").cast("long").alias("bytes"))
 
 
 def coverage(blocks: DataFrame) -> DataFrame:
-    """Files whose read blocks (path, start, length, size) don't cover their size once."""
-    sums = blocks.distinct().groupBy("path").agg(F.sum("length").alias("read"), F.max("size").alias("size"))
-    return sums.where("read <> size").select("path", F.lit("bytes read differ from file size").alias("finding"))
+    """Files whose lines, over all blocks (by_block), don't have the file's bytes; the last line feed may be missing."""
+    sums = blocks.groupBy("path").agg(F.sum("bytes").alias("read"), F.max("size").alias("size"))
+    return sums.where("read <> size and read <> size + 1").select("path", F.lit("bytes read differ from file size").alias("finding"))
+
+
+def boundaries(blocks: DataFrame) -> DataFrame:
+    """Files with a block (by_block) whose first line doesn't start in it: lines were read twice or lost at its edge.
+
+    A block has the lines that start after its first byte (the first block: at it) and up to the first byte of the next.
+    """
+    earlier = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    placed = blocks.withColumn("first", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)))
+    wrong = placed.where("start > 0 and (first <= start or first > start + length)")
+    return wrong.select("path", F.lit("a block's first line starts outside of it").alias("finding")).distinct()
+
+
+def keys_found(files: DataFrame, presence: DataFrame) -> DataFrame:
+    """Files (path, key) whose key is in none of the objects that were sampled of them (jsonl.key_presence), and why."""
+    joined = files.join(presence, "path", "left").where("coalesce(with_key, 0) = 0")
+    why = F.when(F.coalesce("objects", F.lit(0)) == 0, F.lit("no valid JSON object in the sampled lines")).otherwise(
+        F.concat(F.lit("key '"), "key", F.lit("' is in none of the sampled lines; keys there: "), F.array_join("keys", ", "))
+    )
+    return joined.select("path", why.alias("finding"))
 
 
 def size_ratio(files: DataFrame, written: DataFrame, low: float = 0.90, high: float = 1.05) -> DataFrame:
-    """Files whose outputs' bytes are out of proportion to the input's."""
+    """Files whose outputs' bytes are out of proportion to the input's; files of blank lines alone have no outputs."""
     sums = written.groupBy("basename").agg(F.sum(F.octet_length("value") + 1).alias("out"))
     ratio = F.coalesce("out", F.lit(0)) / F.col("input_size_bytes")
-    joined = files.where("input_size_bytes > 0").join(sums, "basename", "left")
+    joined = files.where("input_size_bytes > 0 and kept_rows + rejected_rows + unknown_rows > 0").join(sums, "basename", "left")
     return joined.where((ratio < low) | (ratio > high)).select("path", F.lit("output size out of proportion").alias("finding"))
 
 

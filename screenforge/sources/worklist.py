@@ -23,6 +23,34 @@ def hadoop_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted((plain(s), s.getLen(), s.getModificationTime()) for s in found)
 
 
+def ends_of_file(spark: SparkSession, path: str, lines: int = 10, tail_bytes: int = 1 << 20) -> list[str]:
+    """The first lines of a file, and the last ones that aren't blank; of either end at most tail_bytes are read."""
+    jvm, place = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = fs.getFileStatus(place).getLen()
+    stream = fs.open(place)
+    try:
+        count = int(min(size, tail_bytes))
+        head = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, count)) if count else b""
+        stream.seek(size - count)
+        tail = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, count)) if count else b""
+    finally:
+        stream.close()
+    first = head.split(b"\n")[:lines]
+    last = [x for x in tail.split(b"\n") if x.strip()][-lines:]
+    return [x.decode(errors="replace") for x in first + last]
+
+
+def sampled(spark: SparkSession, files: list[tuple[str, str]]) -> DataFrame:
+    """path, key, value: lines from either end of each file (path, key), read by the driver, a few files at a time."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(8) as pool:
+        found = list(pool.map(lambda f: ends_of_file(spark, f[0]), files))
+    rows = [(path, key, line) for (path, key), lines in zip(files, found, strict=True) for line in lines]
+    return spark.createDataFrame(rows, f"{SCHEMA}, value string")
+
+
 def read_worklist(spark: SparkSession, csv_path: str, default_key: str | None = None) -> list[tuple[str, str]]:
     """(path, key) of a CSV worklist.
 

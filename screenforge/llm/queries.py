@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
 from . import exact_dedup, html_extract, language_id, line_dedup, ngram_join, order_minhash, packing, sentence_pieces, substring_dedup, token_counts
 
 
@@ -15,12 +16,12 @@ BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def tokenizer_path(name: str) -> str:
-    """Where a public tokenizer's file is; its folder is a setting, as tasks read it too."""
-    return os.path.join(os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers"), name)
+    """Where a public tokenizer's file is, for driver and workers."""
+    return public_tokenizers.path(name)
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +61,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_extract.main_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return html_extract.main_texts(spread(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
 
 #: A-Z lower-cased and nothing else.

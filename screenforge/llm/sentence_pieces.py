@@ -379,17 +379,17 @@ class Pieces:
         return out[1:] if out.startswith(b" ") else out
 
 
-def chunk_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte spans of the chunks of all rows: cut before a space that follows something else, and around line feeds."""
+def chunk_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes, and byte spans of the chunks of all rows: cut before a space that follows something else, and around line feeds."""
     if raw.size == 0:
         none = np.zeros(0, np.int64)
-        return none, none, np.zeros(len(offsets), np.int64)
+        return raw, none, none, np.zeros(len(offsets), np.int64)
     space, feed = raw == 0x20, raw == 0x0A
     cut = feed.copy()
     cut[1:] |= (space[1:] & ~space[:-1]) | feed[:-1]
     cut[offsets[:-1][offsets[:-1] < raw.size]] = True
     starts = np.flatnonzero(cut)
-    return starts, np.append(starts[1:], raw.size), np.searchsorted(starts, offsets)
+    return raw, starts, np.append(starts[1:], raw.size), np.searchsorted(starts, offsets)
 
 
 def encoded_column(texts: pa.Array, cache: ChunkCache) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -410,8 +410,7 @@ def _model(path: str) -> ChunkCache:
     if path not in _models:
         model = Pieces(path)
         _models.clear()
-        _models[path] = ChunkCache(model.packed)
-        _models[path].model = model
+        _models[path] = ChunkCache(model.packed, model)
     return _models[path]
 
 

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from screenforge.llm import packing, sentence_pieces, token_counts
 from screenforge.llm.queries import BYTE_PATTERN, tokenizer_path
-from screenforge.llm.tokens import ChunkCache, encoded, huggingface_encoder
+from screenforge.llm.tokens import ChunkCache, encoded, huggingface_encoder, plain_parts
 
 from . import brute
 
-ODD = ["", " ", "  a", " x  y ", "é" * 300, "日本語テキスト", "a\n\nb \n c", "▁▁x ▁", "\t tab", "<s> </s>", "x" * 500, "👍🏽 ok", "ab" * 200 + " " + "ion" * 90, "é", "\x00a", "It's WE'RE 12,5 <|endoftext|>b İstanbul ΑΣ ª º ×"]
+ODD = ["", " ", "  a", " x  y ", "é" * 300, "日本語テキスト", "a\n\nb \n c", "▁▁x ▁", "\t tab", "<s> </s>", "x" * 500, "👍🏽 ok", "ab" * 200 + " " + "ion" * 90, "é", "\x00a", "ÀÉÎ, Été. ×a a÷ ß?! ÿÞ. a.b ...x ,a Ãx\xc3 Ö,Ö;", "L" * 90 + ".", "It's WE'RE 12,5 <|endoftext|>b İstanbul ΑΣ ª º ×"]
 LETTERS = ["a", "bc", " ", "  ", "\n", "'s", "é", " ", "1", " x", "\t", "日", "!", "\x1c", " "]
 
 
@@ -30,7 +30,7 @@ def test_word_encoding(texts):
 
     path = tokenizer_path("word_bpe_49k.json")
     plain = Tokenizer.from_file(path)
-    for a, ids, first in encoded(pa.array(texts), ChunkCache(huggingface_encoder(path))):
+    for a, ids, first in encoded(pa.array(texts), ChunkCache(huggingface_encoder(path)), plain_parts):
         for k in range(len(first) - 1):
             assert ids[first[k] : first[k + 1]].tolist() == plain.encode(texts[a + k], add_special_tokens=False).ids
 
@@ -94,7 +94,7 @@ def test_equal_chunks_are_told_by_bytes(monkeypatch):
 
     path, words = tokenizer_path("word_bpe_49k.json"), ["one", "two", "three", "two", "x" * 700, "x" * 699 + "y", "one"]
     monkeypatch.setattr(textscan, "mix", lambda x: x * 0)
-    for _, ids, first in encoded(pa.array([" ".join(words)]), ChunkCache(huggingface_encoder(path))):
+    for _, ids, first in encoded(pa.array([" ".join(words)]), ChunkCache(huggingface_encoder(path)), plain_parts):
         assert ids.tolist() == Tokenizer.from_file(path).encode(" ".join(words), add_special_tokens=False).ids
     monkeypatch.undo()
     a, b = "ab", "ba"
@@ -143,23 +143,43 @@ def test_edited_counts_equal_full_encoding(texts):
 
 
 def test_edits_touch_little():
-    count = token_counts.tiktoken_counter(tokenizer_path("byte_bpe_50k.tiktoken"), BYTE_PATTERN)
-    tree = token_counts.SegmentTree("some words of text " * 5000, count)
-    tree.edit(40_000, 5, "new")
-    assert tree.encoded <= 6 < tree.segments()
+    count, calls = token_counts.tiktoken_counter(tokenizer_path("byte_bpe_50k.tiktoken"), BYTE_PATTERN), []
+
+    def counted(segment):
+        calls.append(segment)
+        return count(segment)
+
+    tree = token_counts.SegmentTree("some words of text " * 5000, counted)
+    for at, cut, put in ((40_000, 5, "new"), (50_000, 0, " word" * 200), (50_100, 0, " more" * 3000), (10, 60_000, "")):
+        calls.clear()
+        before, tree.encoded = tree.segments(), 0
+        tree.edit(at, cut, put)
+        assert tree.encoded == len(calls) <= put.count(" ") + 6  # what is reported is what was encoded
+        assert tree.segments() >= before - 16_000 and tree.tokens == sum(count(x) for block in tree.blocks for x in block)
 
 
 def test_token_count_query(spark):
-    rows = brute.documents()
-    df = spark.createDataFrame(rows, brute.SCHEMA)
-    got = {r.doc_id: r for r in token_counts.edited_counts(df, token_counts.sample_edits(), tokenizer_path("byte_bpe_50k.tiktoken"), BYTE_PATTERN).collect()}
+    import tiktoken
+
+    path = tokenizer_path("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    encode = tiktoken.Encoding("plain", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    rows = brute.documents() + [(None, "no id here", None, None, 0), (20_000, "twice", None, None, 0), (20_000, "twice", None, None, 0)]
+    df = spark.createDataFrame(rows, brute.SCHEMA).withColumns({"edits": F.lit("clash"), "n_tokens": F.lit("clash")})
+    query = lambda docs: token_counts.edited_counts(docs, token_counts.sample_edits(), path, BYTE_PATTERN)
+    want = []
     for i, text, *_ in rows:
         t = text or ""
-        third, half, last, start = len(t) // 3, len(t) // 2, max(len(t) - 8, 0), t[:8]
+        tree = token_counts.SegmentTree(t, lambda x: 0)
+        whole, third, half, last, start = t, len(t) // 3, len(t) // 2, max(len(t) - 8, 0), t[:8]
         for at, cut, put in ((third, 0, " edited"), (half, 16, ""), (last, 8, start)):
+            tree.edit(at, cut, put)
             at = min(at, len(t))
             t = t[:at] + put + t[at + cut :]
-        assert (got[i].edited_sha256, got[i].edited_chars) == (brute.sha(t), len(t))
+        want.append((i, len(encode(whole)), len(encode(t)), len(t), tree.encoded, brute.sha(t)))
+    got = [(r.doc_id, r.n_tokens, r.edited_tokens, r.edited_chars, r.n_reencoded, r.edited_sha256) for r in query(df).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert query(df.limit(0)).collect() == []
 
 
 @pytest.mark.parametrize("weights", [None, {"s0": 3, "s1": 1, "s2": 1}, {"s1": 1}])

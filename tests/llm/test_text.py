@@ -181,6 +181,58 @@ def test_html_labels_keep_real_content(spark):
     assert _texts(spark, [page]) == ["A long real article"]
 
 
+def test_html_labels_count_at_any_depth(spark):
+    pages = ["<body>" + "<div>" * 250 + f"<nav>Menu</nav><p>Own {k}</p>" + "</div>" * 250 + "</body>" for k in range(3)]
+    pages.append("<body><p>a</p>" + "</x>" * 2000 + "<div>" * 2000 + "<p>deep</p><aside>gone</aside>" + "</section>" * 2000)
+    assert _texts(spark, pages) == ["Own 0", "Own 1", "Own 2", "a\ndeep"]
+
+
+def test_html_wrapper_decides_on_the_pages_table(spark, monkeypatch):
+    """Without the template other texts come out, so the texts come through it."""
+    pages = spark.read.parquet(f"{DATA}/pages.parquet")
+    schema = html_extract.wrappers(pages).schema
+    with_ = {r.page_id: r.text for r in html_extract.main_texts(pages).collect()}
+    monkeypatch.setattr(html_extract, "wrappers", lambda pages: spark.createDataFrame([], schema))
+    without = {r.page_id: r.text for r in html_extract.main_texts(pages).collect()}
+    assert set(with_) == set(without) and with_ != without
+
+
+def test_html_repeated_rows_null_ids_and_clashing_names(spark):
+    rows = [(None, "http://a.example/1", "<p>One</p>"), (7, None, "<p>Two</p>"), (7, None, "<p>Two</p>"), (8, "http://a.example/2", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    clash = df.withColumns({c: F.lit("clash") for c in ("text", "template", "wrapper", "tree", "slot", "copy", "n_chars")})
+    got = sorted(((r.page_id, r.text, r.n_chars) for r in html_extract.main_texts(clash).collect()), key=str)
+    assert got == sorted([(None, "One", 3), (7, "Two", 3), (7, "Two", 3), (8, "", 0)], key=str)
+
+
+def test_tree_matching_is_best():
+    """Simple tree matching against all order- and ancestry-keeping maps of small trees."""
+    r = random.Random(9)
+
+    def tree(depth):
+        node = html_extract.Node(r.choice("ab"), None)
+        node.children = [tree(depth - 1) for _ in range(r.randrange(4))] if depth else []
+        return node
+
+    def best(x, y):
+        if x.label != y.label:
+            return 0
+
+        def rows(i, j):
+            if i == len(x.children) or j == len(y.children):
+                return 0
+            return max(rows(i + 1, j), rows(i, j + 1), best(x.children[i], y.children[j]) + rows(i + 1, j + 1))
+
+        return 1 + rows(0, 0)
+
+    for _ in range(60):
+        a, b = tree(2), tree(2)
+        x, y = html_extract.number(a), html_extract.number(b)
+        at = html_extract.matched(a, b)
+        assert len(at) == best(a, b) and all(x[i].label == y[j].label for i, j in at.items())
+        assert sorted(at.values()) == [at[k] for k in sorted(at)] and len(set(at.values())) == len(at)
+
+
 def test_tree_matching():
     a, b = html_extract.read("0 r\n1 a\n2 x\n1 b\n1 c"), html_extract.read("0 r\n1 b\n1 a\n2 x\n2 y\n1 c")
     x, y = html_extract.number(a), html_extract.number(b)

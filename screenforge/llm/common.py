@@ -45,7 +45,8 @@ def discard(*tables: DataFrame) -> None:
 
 
 def small(table: DataFrame, row_bytes: int, most: int = 8 << 20) -> DataFrame:
-    """A durable table, to be broadcast if its rows, of at most so many bytes each, are few enough; joined by a shuffle otherwise."""
+    """A durable table, to be broadcast if its rows, of at most so many bytes each when hashed, are few enough; joined by a
+    shuffle otherwise."""
     return F.broadcast(table) if table.count() * row_bytes <= most else table
 
 

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -147,11 +148,10 @@ def prefix_rows(docs: DataFrame, n: int, percent: int, bits: int) -> DataFrame:
 
     def emit(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_ids, hot_rank = hot.value
+        turn = TaskContext.get().partitionId() << 4  # what needs no owner is dealt to all buckets in turn
         hs, owners, places, often, keys, sizes, marks, sigs, docs_ = [], [], [], [], [], [], [], [], []
-        flushes = 0
-
         def flush() -> pa.RecordBatch:
-            nonlocal flushes
+            nonlocal turn
             key, size = np.array(keys, np.int64), np.array(sizes, np.int64)
             h, owner, place, known = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((hs, np.uint64), (owners, np.int64), (places, np.int32), (often, bool)))
             order = np.lexsort((key[owner], h))
@@ -175,12 +175,12 @@ def prefix_rows(docs: DataFrame, n: int, percent: int, bits: int) -> DataFrame:
             parts, mask = 1 << min(bits, 4), (1 << bits) - 1
             for k, part in enumerate(np.array_split(frequent_ones, parts)):
                 if len(part):
-                    entries((k + flushes * parts) & mask, _HOT_ENTRY, h[part], owner[part], place[part])
+                    entries((k + turn) & mask, _HOT_ENTRY, h[part], owner[part], place[part])
             step = max(1, len(keys) // parts)
             for k, s in enumerate(range(0, len(keys), step)):
                 t = slice(s, s + step)
-                add((k + flushes * parts) & mask, _DOCUMENT, key[t].tobytes(), size[t].tobytes(), b"".join(sigs[t]), np.array(marks[t], np.int64).tobytes(), docs_[t])
-            flushes += 1
+                add((k + turn) & mask, _DOCUMENT, key[t].tobytes(), size[t].tobytes(), b"".join(sigs[t]), np.array(marks[t], np.int64).tobytes(), docs_[t])
+            turn += parts
             for held in (hs, owners, places, often, keys, sizes, marks, sigs, docs_):
                 held.clear()
             return record(out, _PACKED)
@@ -302,10 +302,10 @@ def _stars(entries: DataFrame, percent: int, around: int, leaders: int) -> DataF
 
 def _mixed(entries: DataFrame, groups: DataFrame) -> DataFrame:
     """Entries (h, key, n, pos) of lists with sets of several components, with these; a durable table."""
-    held = entries.join(small(groups, 16), "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
+    held = entries.join(small(groups, 64), "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
     lists = held.groupBy("h").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("h")
     lists = durable(lists)
-    out = durable(held.join(small(lists, 8), "h").distinct())
+    out = durable(held.join(small(lists, 64), "h").distinct())
     discard(lists)
     return out
 
@@ -329,8 +329,8 @@ def _rest(entries: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that pass the suffix filter; a durable table."""
     sides = [nodes.select(F.col("key").alias(k), F.struct("n", "sig").alias(v)) for k, v in (("a", "x"), ("b", "y"))]
-    held = durable(small(pairs, 16).join(sides[0], "a"))
-    out = durable(small(held, 200).join(sides[1], "b").where(f"{_apart('x.sig', 'y.sig')} <= x.n + y.n - 2 * {_least_sql('x.n', 'y.n', percent)}").select("a", "b"))
+    held = durable(small(pairs, 64).join(sides[0], "a"))
+    out = durable(small(held, 400).join(sides[1], "b").where(f"{_apart('x.sig', 'y.sig')} <= x.n + y.n - 2 * {_least_sql('x.n', 'y.n', percent)}").select("a", "b"))
     discard(held)
     return out
 
@@ -407,7 +407,7 @@ def linked(docs: DataFrame, n: int, percent: int) -> DataFrame:
     named = durable(groups.join(firsts, "key"))
     names = named.groupBy("component").agg(F.min("own").alias("first"))
     names = durable(named.join(names, "component").select("key", "first"))
-    names = firsts.join(small(names, 32), "key", "left").select("key", F.coalesce("first", "own").alias("first"))
+    names = firsts.join(small(names, 100), "key", "left").select("key", F.coalesce("first", "own").alias("first"))
     alone = every.where(~able).select("doc_id", "mark", "n", F.struct("doc_id", "mark").alias("first"))
     return every.where(able).join(names, "key").select("doc_id", "mark", "n", "first").union(alone)
 

@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,8 +93,10 @@ def recurring_anchors(docs: DataFrame, bits: int) -> DataFrame:
 
     def emit(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hs, rows, places, ids, marks = [], [], [], [], []
+        turn = TaskContext.get().partitionId() << 3  # what needs no owner is dealt to all buckets in turn
 
         def flush() -> pa.RecordBatch:
+            nonlocal turn
             h, row, place = (np.concatenate(x) for x in (hs, rows, places))
             doc, mark = np.concatenate(ids), np.concatenate(marks)
             order = np.argsort(h, kind="stable")
@@ -115,10 +118,11 @@ def recurring_anchors(docs: DataFrame, bits: int) -> DataFrame:
                 single = lead[s:e][once]
                 add(int(bucket[s]), 0, h[single], single, h[lead[s:e][~once]], times[s:e][~once])
             many = np.flatnonzero(np.repeat(times > 1, times))
-            none = np.zeros(0, np.uint64)
-            for k, part in enumerate(np.array_split(many, 1 << min(bits, 3))):
+            none, parts = np.zeros(0, np.uint64), 1 << min(bits, 3)
+            for k, part in enumerate(np.array_split(many, parts)):
                 if len(part):
-                    add(k, 1, none, part, none, none)
+                    add(k + turn & (1 << bits) - 1, 1, none, part, none, none)
+            turn += parts
             for held in (hs, rows, places, ids, marks):
                 held.clear()
             return record(out, _ANCHORS)

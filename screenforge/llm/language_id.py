@@ -8,7 +8,7 @@ training saw are laid out in one table, and the others are worked out from the t
 codes it shortest; nothing else is an input.
 
 The trees learn from a bounded sample: up to SAMPLE_PER_LANGUAGE documents of each language, whole texts, chosen by
-hash among those that may be learnt from.
+hash among those that may be learnt from, and of at most MOST_LANGUAGES labels.
 
 Defined results: null text and text without a letter give `und` and score 0; ties go to the first label in order;
 without anything to learn from, every prediction is `und`; a null doc_id is not held out and never learnt from; every
@@ -30,6 +30,8 @@ from .textscan import column_bytes, slices
 
 ORDER = 3
 SAMPLE_PER_LANGUAGE = 2000
+#: So many labels, the most frequent ones, are learnt at most.
+MOST_LANGUAGES = 1000
 #: Neighbouring bytes aren't independent evidence; so many bits count as one for the score.
 BITS_PER_EVIDENCE = 8.0
 _LOWER = np.arange(256, dtype=np.uint32)
@@ -109,7 +111,7 @@ def held_out(doc_id: str = "doc_id"):
 def trained(docs: DataFrame) -> Trees:
     """Trees of every language of docs, from a bounded sample of the rows that may be learnt from."""
     may = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    sizes = {r["lang"]: r["count"] for r in may.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in may.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
     labels = sorted(sizes)
     if not labels:
         return Trees([], [], [])

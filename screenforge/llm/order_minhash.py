@@ -1,6 +1,7 @@
 """Document fingerprints by Order MinHash, in SQL functions only.
 
-A text becomes tokens: words, cut after 24 code points, and single characters of scripts that don't separate words.
+A text becomes tokens: words of up to 24 code points; single characters of longer runs, of scripts that don't separate
+words, and of texts of up to SHORT code points, so that an insertion shifts nothing.
 Its k-mers are the runs of K tokens; equal ones are told apart by occurrence number.  The hash of a numbered k-mer
 names one of BUCKETS buckets (one-permutation hashing, so that each is hashed once).  In every bucket the PER_BUCKET
 smallest are selected and, in their text order, hashed to one tuple.  Moving, inserting or replacing text changes
@@ -11,7 +12,9 @@ bring neighbours together; a block also gets the document before it.
 
 Defined results: null text counts as empty; a text without tokens has an empty fingerprint, like 1 to another empty
 one and 0 to others; a text shorter than K tokens has one k-mer; rows with equal doc_id follow each other by content
-hash; null doc_ids come last in descending order; with a single row, the next document is the row itself.
+hash; null doc_ids come last in descending order; with a single row, the next document is the row itself; repeated rows
+have a row each; an empty table gives no rows; other columns are ignored, whatever their names; very long texts are taken
+whole (of more than 2**26 tokens, the order within each 2**26 counts).
 """
 
 from __future__ import annotations
@@ -27,7 +30,9 @@ PER_BUCKET = 2
 _POSITION_BITS = 26
 _HASH_BITS = 37
 _UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-_TOKEN = rf"[{_UNSPACED}]|[^\x20\x09-\x0D{_UNSPACED}]{{1,24}}"
+_TOKEN = rf"[{_UNSPACED}]|[^\x20\x09-\x0D{_UNSPACED}]{{1,24}}+(?=[\x20\x09-\x0D{_UNSPACED}]|\z)|[^\x20\x09-\x0D{_UNSPACED}]"
+_CHARACTER = r"[^\x20\x09-\x0D]"
+SHORT = 64
 _LONGS = "array<bigint>"
 
 
@@ -49,7 +54,8 @@ def _new(array: str, shift: int) -> str:
 def fingerprint_sql(text: str) -> str:
     """SQL for the fingerprint of a text: one number per bucket in use, the bucket above 32 bits of the tuple's hash."""
     last = (1 << _POSITION_BITS) - 1
-    hashes = f"transform(regexp_extract_all({text}, r'{_TOKEN}', 0), w -> xxhash64(w))"
+    tokens = f"if(length({text}) <= {SHORT}, regexp_extract_all({text}, r'{_CHARACTER}', 0), regexp_extract_all({text}, r'{_TOKEN}', 0))"
+    hashes = f"transform({tokens}, w -> xxhash64(w))"
     run = ", ".join(f"get(h, i + {k})" for k in range(K))
     kmers = _let(
         "h",

@@ -253,7 +253,27 @@ def test_packing_edge_tables(spark):
 
 
 def test_pieces_query(spark):
-    df = spark.createDataFrame(brute.documents(), brute.SCHEMA)
-    got = sentence_pieces.pieces(df, tokenizer_path("piece_bpe_32k.model")).collect()
-    assert len(got) == df.count() and all(r.same for r in got)
-    assert {r.doc_id: r.decoded_sha256 for r in got} == {i: brute.sha(t or "") for i, t, *_ in brute.documents()}
+    import sentencepiece
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    plain = sentencepiece.SentencePieceProcessor(model_file=path)
+    rows = brute.documents() + [(None, "no id here", None, None, 0), (20_000, "twice", None, None, 0), (20_000, "twice", None, None, 0)]
+    df = spark.createDataFrame(rows, brute.SCHEMA).withColumns({"ids": F.lit("clash"), "same": F.lit("clash")})
+    got = sentence_pieces.pieces(df, path).collect()
+    want = [(i, len(ids), brute.crc(ids), brute.sha(t or ""), True, ids) for i, t, *_ in rows for ids in [plain.encode(t or "")]]
+    assert sorted(((r.doc_id, r.n_pieces, r.ids_crc32, r.decoded_sha256, r.same, r.ids) for r in got), key=str) == sorted(want, key=str)
+    assert sentence_pieces.pieces(df.limit(0), path).collect() == []
+
+
+def test_packing_repeats_null_ids_and_long_texts(spark):
+    from tokenizers import Tokenizer
+
+    path, long = tokenizer_path("word_bpe_49k.json"), "a long text " * 30_000
+    rows = [(None, "no id", None, "s", 0), (5, "twice", None, "s", 0), (5, "twice", None, "s", 0), (7, long, None, None, 0)]
+    df = spark.createDataFrame(rows, brute.SCHEMA).withColumns({c: F.lit("clash") for c in ("queue", "before", "base", "__queue", "start")})
+    got = packing.packed(df, path).collect()
+    n = {t: len(Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids) + 1 for t in ("no id", "twice", long)}
+    held = {}
+    for r in got:
+        held[r.doc_id] = held.get(r.doc_id, 0) + r.length
+    assert held == {None: n["no id"], 5: 2 * n["twice"], 7: n[long]}

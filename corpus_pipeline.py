@@ -1,18 +1,21 @@
 """Corpus pipeline: documents go through language ID, exact dedup, n-gram Jaccard join, substring dedup and packing.
 
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame that is written as Parquet and read again as the next
-one's docs.  All but the last keep the columns of documents.
+one's docs.  All but the last keep the columns of documents, whatever others there are.
+
+Repeated ids and null columns: each stage does with them what its operator's docstring says; rows that share a doc_id are
+told apart by their texts in every stage.  An empty table passes all stages and gives no pieces.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from screenforge.llm import exact_dedup, language_id, ngram_join, packing, substring_dedup
 from screenforge.llm.queries import tokenizer_path
+from screenforge.session import shared_folder, spread
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,9 +51,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; what lies between them is written to the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
-    folder = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")

@@ -37,8 +37,8 @@ class StopwordDetector:
     def sql(self, text: str) -> str:
         """SQL for struct(lang, conf) of a text; unknown with confidence 0 if short or without hits."""
         listed = sorted({w for v in self.words.values() for w in v})
-        quoted = lambda ws: "array(" + ", ".join(f"'{w}'" for w in ws) + ")"
-        counts = ", ".join(f"size(filter(h, w -> array_contains({quoted(v)}, w)))" for v in self.words.values())
+        quoted = lambda ws: ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in ws)
+        counts = ", ".join(f"size(filter(h, w -> w in ({quoted(v)})))" for v in self.words.values())
         names = list(self.words)
         best = "".join(f"when c[{k}] = array_max(c) then '{n}' " for k, n in enumerate(names))
         chosen = let(
@@ -46,7 +46,7 @@ class StopwordDetector:
             f"array({counts})",
             f"if(array_max(c) = 0, named_struct('lang', 'unknown', 'conf', 0D), named_struct('lang', case {best}end, 'conf', array_max(c) / cast(aggregate(c, 0, (a, x) -> a + x) as double)))",
         )
-        hits = f"filter(split(regexp_replace(lower({text}), r'[^\\p{{L}}]+', ' '), ' '), w -> w in ({', '.join(repr(w) for w in listed)}))"
+        hits = f"filter(split(regexp_replace(lower({text}), r'[^\\p{{L}}]+', ' '), ' '), w -> w in ({quoted(listed)}))"
         short = f"length(btrim({text}, '{_escaped(WHITE_SPACE)}')) < {self.min_chars}"
         return f"if({text} is null or {short}, named_struct('lang', 'unknown', 'conf', 0D), {let('h', hits, chosen)})"
 

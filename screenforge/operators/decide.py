@@ -80,8 +80,3 @@ def outcomes(rows: DataFrame, config: ScreenConfig, detector) -> DataFrame:
             "ratio_bucket": F.when(found["chunked"], T.ratio_bucket(found["en"], found["total"])),
         }
     )
-
-
-def routed(bucket: Column, suffixes: bool = False) -> Column:
-    """Output name of a bucket."""
-    return F.concat(F.lit("_" if suffixes else ""), bucket)

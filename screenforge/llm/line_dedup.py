@@ -4,53 +4,65 @@ Two lines are alike if their edit distance is at most `edits` and both have at l
 lines are alike only if equal.  Of each class (lines connected by likeness) the first occurrence, by doc_id and line
 number, stays; blank lines always stay.
 
-A line within `edits` of another keeps at least one of the other's edits + 1 segments intact, shifted by no more
-than the edits before it allow.  Every line sends the hashes of its own segments to an index and, for each shorter
-length within reach, the hashes of its substrings that could be such a segment; the hash covers length, segment
-number and content.  Lines that meet are verified by a banded bit-parallel edit distance.  Copies of a frequent line
-send nothing but their first occurrence.
+A line within `edits` of another keeps at least one of the other's edits + 1 segments intact, shifted by no more than the
+edits before it allow.  Every line sends the hashes of its substrings that could be a segment of a line no longer; its own
+segments are among them and make up the index.  Lines that meet at a key are told apart by length and letter counts, and
+verified by a banded bit-parallel edit distance.  Of a line with more than FREQUENT copies only one document's sends keys.
+
+In the first rounds the lines of a key are compared with a few of them only: the most frequent one and those of best
+priority, where a line's priority is the same at all keys.  What is alike is contracted.  The last round compares what is
+still in different components, leaving out pairs within the largest one of a key: a large group of lines that are alike
+never becomes all its pairs, and none that may be alike are skipped.
 
 Defined results: null text counts as empty and has no lines; rows with a null doc_id are neither changed nor compared;
-rows that repeat a doc_id are one document.  Lines are known by 64-bit hashes: two different lines are taken for equal
-with a probability of 2**-64 a pair.
+rows with equal doc_id and text are one document, rows with equal doc_id and other texts are documents of their own, in
+order of their texts' hashes; an empty table gives no rows; lines of any length and documents of any number of lines take
+part whole; columns named like those added are replaced, others kept.  Lines are known by 63-bit hashes: two different
+lines are taken for equal with a probability of 2**-63 a pair.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, durable
+from .common import components, discard, durable, fresh, small
 from .order_minhash import _let
 
 EDITS = 2
 LEAST = 20
 _ALPHABET = "abcdefghijklmnopqrstuvwxyz"
-#: A line with more occurrences takes part in the join by its first one alone.
+#: A line with more occurrences sends its keys from the first document alone.
 FREQUENT = 100
-#: Tables of ids are broadcast up to so many rows, and joined beyond.
-MOST_BROADCAST_ROWS = 300_000
+#: Lines of a key that all others are compared with, by round.
+LEADERS = (2, 2)
+_BLANK = " \t\n\x0b\f\r"
 
 
-def _segments(size: str, edits: int) -> list[tuple[str, str]]:
-    """(start from 0, length) of the segments of a line of that size: even parts, the longer ones last."""
-    parts = edits + 1
-    short, longer = f"({size} div {parts})", f"({size} % {parts})"
-    return [(f"({k} * {short} + greatest({k} - {parts} + {longer}, 0))", f"({short} + if({k} >= {parts} - {longer}, 1, 0))") for k in range(parts)]
+def probes(edits: int) -> list[tuple[int, int, int]]:
+    """(how much shorter the other line is, segment of it, shift) of every substring that may be a segment of a line no longer."""
+    return [
+        (short, k, shift)
+        for short in range(edits + 1)
+        for k in range(edits + 1)
+        for shift in range(max(-k, short - (edits - k)), min(k, short + (edits - k)) + 1)
+    ]
+
 
+def with_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """key, tagged: a row for each probe of lines (line, text); tagged: the line, and 1 more if the substring is a segment of
+    the line itself.
 
-def keys_sql(line: str, edits: int, probing: bool) -> str:
-    """SQL for the hashes of a line's segments, or of its substrings that may be a segment of a line no longer."""
-    out = []
-    for short in range(edits + 1) if probing else (0,):
-        size = f"(n - {short})"
-        for k, (start, length) in enumerate(_segments(size, edits)):
-            left, right = (max(-k, short - (edits - k)), min(k, short + (edits - k))) if probing else (0, 0)
-            out += [
-                f"if({start} + {shift} >= 0 and {start} + {shift} + {length} <= n and {size} >= {edits + 1}, xxhash64({size}, {k}, substring({line}, {start} + {shift} + 1, {length})), null)"
-                for shift in range(left, right + 1)
-            ]
-    return _let("n", f"length({line})", f"filter(array({', '.join(out)}), x -> x is not null)")
+    A segment of a line of m code points is one of edits + 1 even parts, the longer ones last.  A key covers m, the
+    segment's number and its content.
+    """
+    parts = edits + 1
+    listed = ", ".join(f"named_struct('short', {a}, 'k', {k}, 'shift', {x})" for a, k, x in probes(edits))
+    rows = lines.select("line", "text", F.length("text").alias("size"), F.explode(F.expr(f"array({listed})")).alias("p"))
+    rows = rows.withColumn("m", F.expr("size - p.short")).withColumn("each", F.expr(f"cast(m div {parts} as int)")).withColumn("longer", F.expr(f"m % {parts}"))
+    rows = rows.withColumn("start", F.expr(f"p.k * each + greatest(p.k - {parts} + longer, 0) + p.shift")).withColumn("many", F.expr(f"each + if(p.k >= {parts} - longer, 1, 0)"))
+    rows = rows.where("start >= 0 and start + many <= size and each > 0")
+    return rows.select(F.expr("xxhash64(m, p.k, substring(text, start + 1, many))").alias("key"), F.expr("line | if(p.short = 0 and p.shift = 0, 1L, 0L)").alias("tagged"))
 
 
 def distance_sql(a: str, b: str, edits: int) -> str:
@@ -83,98 +95,139 @@ def distance_sql(a: str, b: str, edits: int) -> str:
     return _let("x", letters(a), _let("y", letters(b), f"if(size(x) - size(y) > {edits}, {edits + 1}, {walked})"))
 
 
-def _lines(docs: DataFrame, text: bool) -> DataFrame:
-    """doc_id, no, line (hash) and, if wanted, text: the lines of all documents that aren't blank."""
+def _lines(docs: DataFrame) -> DataFrame:
+    """doc_id, mark (of the document's text), no, line (hash, an even number) and text: the lines of all documents that aren't
+    blank."""
     texts = docs.where("doc_id is not null").select("doc_id", F.coalesce(F.make_valid_utf8("text"), F.lit("")).alias("t"))
-    rows = texts.select("doc_id", F.posexplode(F.split("t", "\n")).alias("no", "text")).where(F.col("text").rlike(r"\S"))
-    rows = rows.withColumn("line", F.xxhash64("text"))
-    return rows if text else rows.drop("text")
+    rows = texts.select("doc_id", F.xxhash64("t").alias("mark"), F.posexplode(F.split("t", "\n")).alias("no", "text"))
+    return rows.where(F.btrim("text", F.lit(_BLANK)) != "").withColumn("line", F.expr("xxhash64(text) & -2L"))
 
 
-def _small(table: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(table) if rows <= MOST_BROADCAST_ROWS else table
+def _letters_sql(line: str) -> str:
+    """SQL for how often each of the letters a to z stands in a line, modulo four, in Gray code: an edit changes two bits at most."""
+    count = lambda c: f"((length({line}) - length(replace({line}, '{c}', ''))) & 3)"
+    return " | ".join(f"shiftleft(cast({count(c)} ^ shiftright({count(c)}, 1) as bigint), {2 * k})" for k, c in enumerate(_ALPHABET))
 
 
-def _letters_sql(line: str) -> str:
-    """SQL for how often each of the letters a to z stands in a line."""
-    return "array(" + ", ".join(f"length({line}) - length(replace({line}, '{c}', ''))" for c in _ALPHABET) + ")"
+def _differ(x: str, y: str, edits: int) -> str:
+    """SQL for whether two entries of a key may be alike and are in different components."""
+    return f"{x}.comp <> {y}.comp and abs({x}.size - {y}.size) <= {edits} and bit_count({x}.letters ^ {y}.letters) <= {2 * edits} and ({x}.own or {y}.own)"
 
 
-def verified(docs: DataFrame, pairs: DataFrame, edits: int) -> DataFrame:
-    """The pairs (a, b) of lines within the edit distance.
+_ENTRY = ["line", "size", "letters", "comp", "own"]
 
-    An edit changes at most two letter counts by one, which spares most unlike pairs the distance.
-    """
-    wanted = durable(pairs.select(F.explode(F.array("a", "b")).alias("__line")).distinct())
-    texts = _lines(docs, True).join(_small(wanted, wanted.count()), F.col("line") == F.col("__line"), "left_semi")
-    texts = durable(texts.groupBy("line").agg(F.min("text").alias("text")).withColumn("letters", F.expr(_letters_sql("text"))))
-    x, y = (texts.select(F.col("line").alias(k), F.struct("text", "letters").alias(v)) for k, v in (("a", "x"), ("b", "y")))
-    apart = "aggregate(zip_with(x.letters, y.letters, (p, q) -> abs(p - q)), 0, (s, d) -> s + d)"
-    near = pairs.join(x, "a").join(y, "b").where(F.expr(apart) <= 2 * edits)
-    ordered = near.select("a", "b", F.expr("if(length(x.text) >= length(y.text), x.text, y.text)").alias("x"), F.expr("if(length(x.text) >= length(y.text), y.text, x.text)").alias("y"))
-    return ordered.where(F.expr(distance_sql("x", "y", edits)) <= edits).select("a", "b")
 
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.least("x.line", "y.line").alias("a"), F.greatest("x.line", "y.line").alias("b")).distinct()
 
-def alike(docs: DataFrame, firsts: DataFrame, edits: int, least: int) -> DataFrame:
-    """(a, b): pairs of lines that are alike, enough of them to connect all that are.
 
-    The first round compares the lines of a key with one of them, the second those still in different components: a
-    large group of lines that are alike never becomes all its pairs.
-    """
-    frequent = durable(firsts.where(F.col("n") > FREQUENT).select(F.col("line").alias("__line"), F.col("first").alias("__first")))
-    held = frequent.count()
-    lines = _lines(docs, True).where(F.length("text") >= least)
-    lines = lines.join(_small(frequent, held), F.col("line") == F.col("__line"), "left").where("__first is null or __first = struct(doc_id, no)")
-
-    def sent(probing: bool) -> DataFrame:
-        keys = lines.select("line", F.explode(F.expr(keys_sql("text", edits, probing))).alias("key"))
-        return keys.repartition("key").dropDuplicates(["key", "line"])
-
-    index, probes = sent(False), sent(True)
-    # Only keys that bring different lines together go on; every line probes its own segments.
-    several = probes.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high")).where("low <> high")
-    leads = index.groupBy("key").agg(F.min("line").alias("lead")).join(several, "key").select("key", "lead")
-    met = durable(probes.join(leads, "key").select("key", "line", "lead"))
-    pair = [F.least("line", "lead").alias("a"), F.greatest("line", "lead").alias("b")]
-    first = durable(met.where("line <> lead").select(*pair).distinct())
-    near = durable(verified(docs, first, edits))
-
-    groups = components(near).select(F.col("node").alias("line"), "component")
-    known = met.select("key", "line").join(_small(groups, groups.count()), "line", "left").select("key", "line", F.coalesce("component", "line").alias("group"))
-    mixed = known.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
-    known = durable(known.join(mixed, "key"))
-    held_lines = index.join(mixed, "key").select("key", F.col("line").alias("lead"))
-    left = held_lines.join(known.select("key", F.col("line").alias("lead"), F.col("group").alias("lead_group")), ["key", "lead"])
-    second = known.join(left, "key").where("group <> lead_group").select(*pair).distinct().join(first, ["a", "b"], "left_anti")
-    return near.union(verified(docs, durable(second), edits))
+def _stars(entries: DataFrame, edits: int, around: int, leaders: int) -> DataFrame:
+    """(a, b): lines of each key with its leaders of other components; around: the round."""
+
+    def priority(k: int) -> Column:
+        often = F.least(F.col("n"), F.lit((1 << 20) - 1)) if around == k == 0 else F.lit(0)
+        return F.lit((1 << 62) - 1) - F.shiftleft(often.cast("long"), 40) - F.shiftrightunsigned(F.xxhash64("line", F.lit(100 * around + k)), 24)
+
+    names = [f"p{k}" for k in range(leaders)]
+    ranked = entries.withColumns({f"p{k}": F.when(F.col("own"), priority(k)) for k in range(leaders)})
+    several = ranked.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *[F.min(p).alias(f"least_{p}") for p in names])
+    here = ranked.join(several.where("low <> high and least_p0 is not null"), "key")
+    first = here.where(" or ".join(f"{p} = least_{p}" for p in names)).select("key", F.struct(*_ENTRY).alias("y"))
+    return _pairs(here.select("key", F.struct(*_ENTRY).alias("x")).join(first, "key").where(_differ("x", "y", edits)))
+
+
+def _rest(entries: DataFrame, edits: int) -> DataFrame:
+    """(a, b): all lines of each key that are in different components and may be alike; a durable table."""
+    sizes = entries.groupBy("key", "comp").count().groupBy("key").agg(F.max(F.struct("count", "comp")).alias("top"))
+    sizes = durable(sizes.select("key", F.col("top.comp").alias("main")))
+    here = durable(entries.join(sizes, "key").select("key", "main", F.struct(*_ENTRY).alias("x")))
+    fewer = here.where("x.comp <> main").select("key", "main", F.col("x").alias("y"))
+    out = durable(_pairs(here.drop("main").join(fewer, "key").where(f"{_differ('x', 'y', edits)} and (x.comp = main or x.line < y.line)")))
+    discard(sizes, here)
+    return out
+
+
+def _mixed(entries: DataFrame, groups: DataFrame) -> DataFrame:
+    """Entries of keys with lines of several components, with these; a durable table."""
+    held = entries.join(small(groups, 64), "line", "left").withColumn("comp", F.coalesce("component", "line")).drop("component")
+    keys = held.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("own").alias("indexed")).where("low <> high and indexed").select("key")
+    keys = durable(keys)
+    out = durable(held.join(small(keys, 64), "key"))
+    discard(keys)
+    return out
+
+
+def verified(texts: DataFrame, pairs: DataFrame, edits: int) -> DataFrame:
+    """The pairs (a, b) of lines within the edit distance; texts: line, text."""
+    x, y = (texts.select(F.col("line").alias(k), F.col("text").alias(v)) for k, v in (("a", "x"), ("b", "y")))
+    near = pairs.join(x, "a").join(y, "b")
+    ordered = near.select("a", "b", F.expr("if(length(x) >= length(y), x, y)").alias("x"), F.expr("if(length(x) >= length(y), y, x)").alias("y"))
+    return ordered.where(F.expr(distance_sql("x", "y", edits)) <= edits).select("a", "b")
+
+
+def classes(docs: DataFrame, counts: DataFrame, edits: int, least: int) -> DataFrame:
+    """(line, component): lines that are alike with others; counts: line, n, low (smallest doc_id).  A durable table."""
+    lines = _lines(docs).where(F.length("text") >= least)
+    frequent = durable(counts.where(F.col("n") > FREQUENT).select("line", "low"))
+    sending = lines.join(small(frequent, 64), "line", "left").where("low is null or low = doc_id")
+    keys = with_keys(sending, edits).repartition("key")
+    # Only keys that bring different lines together go on.
+    several = keys.groupBy("key").agg(F.min("tagged").alias("first"), F.max("tagged").alias("last"), F.max(F.col("tagged").bitwiseAND(1)).alias("indexed"))
+    several = several.where("first & -2L <> last & -2L and indexed = 1").select("key")
+    met = durable(keys.join(several.hint("shuffle_hash"), "key").select("key", F.expr("tagged & -2L").alias("line"), F.expr("tagged & 1 = 1").alias("own")))
+    held = durable(met.select("line").distinct())
+    texts = lines.join(small(held, 64), "line").groupBy("line").agg(F.min("text").alias("text")).join(counts, "line")
+    texts = durable(texts.select("line", "n", "text", F.length("text").alias("size"), F.expr(_letters_sql("text")).alias("letters")))
+    entries = durable(met.distinct().join(texts.drop("text"), "line").withColumn("comp", F.col("line")))
+    discard(frequent, met, held)
+
+    near = found = None
+    done = [texts]
+    for around, leaders in enumerate((*LEADERS, 0)):
+        pairs = durable(_stars(entries, edits, around, leaders)) if leaders else _rest(entries, edits)
+        links = durable(verified(texts, pairs, edits))
+        near = links if near is None else near.union(links)
+        last, found = found, components(near)
+        done += [links, entries] if last is None else [links, entries, last]
+        discard(pairs)
+        if leaders:
+            entries = _mixed(entries.drop("comp"), found.select(F.col("node").alias("line"), "component"))
+            if entries.isEmpty():
+                done.append(entries)
+                break
+    discard(*done)
+    return found.select(F.col("node").alias("line"), "component")
 
 
 def gone(docs: DataFrame, edits: int, least: int) -> DataFrame:
-    """doc_id, gone: numbers of the lines that go, of documents that have any."""
-    occurrences = _lines(docs, False)
-    firsts = durable(occurrences.groupBy("line").agg(F.min(F.struct("doc_id", "no")).alias("first"), F.count("*").alias("n")))
-    classes = components(alike(docs, firsts, edits, least)).select(F.col("node").alias("line"), "component")
-    known = firsts.join(classes, "line", "left").where("n > 1 or component is not null")
-    known = known.withColumn("class", F.coalesce("component", "line"))
-    stays = known.groupBy("class").agg(F.min("first").alias("stays"))
-    decided = durable(known.select("line", "class").join(stays, "class").select(F.col("line").alias("__line"), "stays"))
-    late = occurrences.join(_small(decided, decided.count()), F.col("line") == F.col("__line")).where("stays <> struct(doc_id, no)")
-    return late.groupBy("doc_id").agg(F.collect_set("no").alias("gone"))
+    """doc_id, mark, gone: numbers of the lines that go, of documents that have any."""
+    occurrences = durable(_lines(docs).select("doc_id", "mark", "no", "line"))
+    counts = durable(occurrences.groupBy("line").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")))
+    alike = classes(docs, counts, edits, least)
+    known = counts.join(small(alike, 64), "line", "left").where("n > 1 or component is not null")
+    known = durable(known.select("line", F.coalesce("component", "line").alias("class")))
+    hits = durable(occurrences.join(small(known, 64), "line").select("class", F.struct("doc_id", "mark", "no").alias("at")))
+    stays = durable(hits.groupBy("class").agg(F.min("at").alias("stays")))
+    late = hits.join(small(stays, 100), "class").where("at <> stays").groupBy("at.doc_id", "at.mark").agg(F.collect_set("at.no").alias("gone"))
+    out = durable(late)
+    discard(occurrences, counts, known, hits, stays)
+    return out
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """docs with the lines that stay as `kept`, and the counts n_lines (not blank) and n_removed; columns so named are replaced."""
-    late = gone(docs, edits, least).select(F.col("doc_id").alias("__id"), F.col("gone").alias("__gone"))
-    joined = docs.join(late, docs["doc_id"] == late["__id"], "left").drop("__id")
-    lines = F.split(F.coalesce(F.make_valid_utf8("text"), F.lit("")), "\n")
-    kept = _let("l", "__lines", "transform(array_except(sequence(0, size(l) - 1), __gone), i -> get(l, i))")
-    return (
-        joined.withColumn("__lines", lines)
-        .withColumn("n_lines", F.expr("cast(size(filter(__lines, l -> l rlike r'\\S')) as bigint)"))
-        .withColumn("n_removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("bigint"))
-        .withColumn("kept", F.expr(f"if(__gone is null, array_join(__lines, '\n'), array_join({kept}, '\n'))"))
-        .drop("__lines", "__gone")
+    mark, lost, lines = (fresh(docs, x) for x in ("mark", "gone", "lines"))
+    late = gone(docs, edits, least).select("doc_id", F.col("mark").alias(mark), F.col("gone").alias(lost))
+    text = F.coalesce(F.make_valid_utf8("text"), F.lit(""))
+    joined = docs.withColumn(mark, F.xxhash64(text)).join(late, ["doc_id", mark], "left")
+    kept = _let("l", lines, f"transform(array_except(sequence(0, size(l) - 1), {lost}), i -> get(l, i))")
+    out = (
+        joined.withColumn(lines, F.split(text, "\n"))
+        .withColumn("n_lines", F.size(F.filter(lines, lambda x: F.btrim(x, F.lit(_BLANK)) != "")).cast("bigint"))
+        .withColumn("n_removed", F.coalesce(F.size(lost), F.lit(0)).cast("bigint"))
+        .withColumn("kept", F.expr(f"if({lost} is null, array_join({lines}, '\n'), array_join({kept}, '\n'))"))
     )
+    return out.select(*docs.columns, *[c for c in ("kept", "n_lines", "n_removed") if c not in docs.columns])
 
 
 def line_report(docs: DataFrame) -> DataFrame:

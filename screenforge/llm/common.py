@@ -31,7 +31,7 @@ def durable(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     name = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(name)
+    df.write.option("compression", "none").parquet(name)  # codecs hold native memory beside the heap
     out = spark.read.schema(df.schema).parquet(name)
     out._durable_at = name
     return out

@@ -10,6 +10,7 @@ from ..functions.text import output_basename
 from ..operators import stats
 from ..plans.screen import facts
 from ..session import prepare
+from ..sources import sinks
 
 
 def start(spark: SparkSession, folder: str, output: str, checkpoint: str, key: str, config: ScreenConfig, detector=None, **trigger):
@@ -24,12 +25,13 @@ def start(spark: SparkSession, folder: str, output: str, checkpoint: str, key: s
     scored = facts(lines, key, config, detector).withColumn("basename", output_basename(F.col("path")))
 
     def settle(batch: DataFrame, number: int) -> None:
-        batch = batch.drop("v", "text", "line", "found").persist()
-        try:
-            routed = batch.where("bucket is not null").select("value", "basename", "bucket")
-            routed.write.mode("overwrite").option("lineSep", "\n").partitionBy("basename", "bucket").text(f"{output}/lines/batch={number}")
-            stats.by_file(batch).write.mode("overwrite").parquet(f"{output}/stats/batch={number}")
-        finally:
-            batch.unpersist()
+        # Scored once, staged where a lost executor loses nothing, and read from there.
+        staged = f"{output}/_staged/batch={number}"
+        batch.drop("v", "text", "line", "found").write.mode("overwrite").parquet(staged)
+        rows = spark.read.parquet(staged)
+        routed = rows.where("bucket is not null").select("value", "basename", "bucket")
+        routed.write.mode("overwrite").option("lineSep", "\n").partitionBy("basename", "bucket").text(f"{output}/lines/batch={number}")
+        stats.by_file(rows).write.mode("overwrite").parquet(f"{output}/stats/batch={number}")
+        sinks.delete(spark, staged)
 
     return scored.writeStream.foreachBatch(settle).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -31,7 +31,9 @@ from .textscan import column_bytes, slices
 ORDER = 3
 SAMPLE_PER_LANGUAGE = 2000
 #: So many labels, the most frequent ones, are learnt at most.
-MOST_LANGUAGES = 1000
+MOST_LANGUAGES = 64
+#: Code lengths that are laid out in a table (those of the most frequent runs); others are worked out when they are needed.
+MOST_CELLS = 1 << 23
 #: Neighbouring bytes aren't independent evidence; so many bits count as one for the score.
 BITS_PER_EVIDENCE = 8.0
 _LOWER = np.arange(256, dtype=np.uint32)
@@ -67,7 +69,13 @@ class Trees:
                 total = np.bincount(inverse, n) + followers
                 levels.append((runs, np.log2(total[inverse] / n), contexts, np.log2(total / followers)))
             self.levels.append(levels)
-        self.known = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.uint32)
+        self.known = np.zeros(0, np.uint32)
+        if grams:
+            self.known, inverse = np.unique(np.concatenate(grams), return_inverse=True)
+            most = MOST_CELLS // len(labels)
+            if len(self.known) > most:
+                often = np.argsort(-np.bincount(inverse, np.concatenate(counts)), kind="stable")[:most]
+                self.known = self.known[np.sort(often)]
         self.table = self.lengths(self.known).astype(np.float32)
 
     def lengths(self, grams: np.ndarray) -> np.ndarray:

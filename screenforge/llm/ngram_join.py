@@ -385,6 +385,7 @@ def linked(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
     entries = rows.where(F.col("kind") != _DOCUMENT).select("h", "key", "n", "pos", F.col("key").alias("comp"))
     sets = near = groups = None
+    done: list[DataFrame] = []
     for around, leaders in enumerate((*LEADERS, 0)):
         pairs = durable(_stars(entries, percent, around, leaders)) if leaders else _rest(entries, nodes, percent)
         some = _close(pairs, nodes, percent)
@@ -392,14 +393,19 @@ def linked(docs: DataFrame, n: int, percent: int) -> DataFrame:
         wanted = durable((wanted if sets is None else wanted.join(sets.select("key"), "key", "left_anti")).join(nodes.select("key", "doc_id", "mark"), "key"))
         if sets is None or not wanted.isEmpty():
             new = sets_of(docs, wanted, n)
+            done.append(new)
             sets = new if sets is None else sets.union(new)
         links = verified(some, sets, percent)
+        done.append(links)
         near = links if near is None else near.union(links)
-        groups = components(near).select(F.col("node").alias("key"), "component")
+        found = components(near)
+        done.append(found)
+        groups = found.select(F.col("node").alias("key"), "component")
         discard(pairs, some, wanted)
         if leaders:
             mixed = _mixed(entries.drop("comp"), groups)
             entries = mixed
+            done.append(mixed)
             if mixed.isEmpty():
                 break
 
@@ -407,6 +413,7 @@ def linked(docs: DataFrame, n: int, percent: int) -> DataFrame:
     named = durable(groups.join(firsts, "key"))
     names = named.groupBy("component").agg(F.min("own").alias("first"))
     names = durable(named.join(names, "component").select("key", "first"))
+    discard(named, *done)
     names = firsts.join(small(names, 100), "key", "left").select("key", F.coalesce("first", "own").alias("first"))
     alone = every.where(~able).select("doc_id", "mark", "n", F.struct("doc_id", "mark").alias("first"))
     return every.where(able).join(names, "key").select("doc_id", "mark", "n", "first").union(alone)

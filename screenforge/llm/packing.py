@@ -30,8 +30,8 @@ from .tokens import ChunkCache, encoded, huggingface_encoder, plain_parts
 
 #: Tokens that are placed at a time, and cells (windows by queues) that are summed at a time.
 MOST_TOKENS, MOST_CELLS = 500_000, 1 << 20
-#: The table of queue starts by block is broadcast up to so many rows, and joined beyond.
-MOST_BROADCAST_ROWS = 500_000
+#: The table of queue starts by block is broadcast up to so many bytes, and joined beyond.
+MOST_BROADCAST = 8 << 20
 
 _TOKENS = pa.schema([("doc_id", pa.int64()), ("queue", pa.string()), ("block", pa.int64()), ("before", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
@@ -215,7 +215,7 @@ def packed(docs: DataFrame, tokenizer_path: str, size: int = 4096, end_id: int =
             tidy()
 
     table = starts.select(F.col("queue").alias("__queue"), F.col("block").alias("__block"), "base")
-    few = table.count() <= MOST_BROADCAST_ROWS
+    few = starts.agg(F.coalesce(F.sum(F.coalesce(F.octet_length("queue"), F.lit(0)) + 100), F.lit(0))).first()[0] <= MOST_BROADCAST
     joined = rows.join(F.broadcast(table) if few else table, rows["queue"].eqNullSafe(table["__queue"]) & (rows["block"] == table["__block"]))
     if not few:  # documents of one block fall into much the same windows
         joined = joined.sortWithinPartitions("block", "before")

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom, bucket_bits, durable, fresh, only_keys, record, split_by_keys, tidy, whole_text
+from .common import bloom, bucket_bits, discard, durable, fresh, only_keys, record, small, split_by_keys, tidy, whole_text
 from .textscan import column_bytes, distinct_spans, gram_hashes, slices, word_hashes, word_spans
 
 WINDOW = 20
@@ -44,8 +44,6 @@ _REACH = WINDOW - PHRASE + 1  # phrases in a window
 _FLUSH = 500_000
 #: An anchor with so many occurrences may be among the most frequent; so many are held by the driver and each worker.
 HOT_FROM, MOST_HOT = 1000, 1 << 16
-#: Tables of copies are broadcast up to so many rows of 32 bytes, and joined beyond.
-MOST_BROADCAST_ROWS = 200_000
 
 _ANCHORS = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("h", pa.binary()), ("row", pa.binary()), ("pos", pa.binary()), ("many", pa.binary()), ("times", pa.binary()), ("ids", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64()))])
 _ANCHORS_SQL = "bucket int, kind byte, h binary, row binary, pos binary, many binary, times binary, ids array<long>, marks array<long>"
@@ -307,8 +305,7 @@ def removals(docs: DataFrame) -> DataFrame:
     text = whole_text(docs.select("doc_id", "text")).where("doc_id is not null").withColumn("mark", F.xxhash64("text"))
     digest = text.select("doc_id", "mark", F.md5("text").alias("digest"), F.length("text").alias("size"))
     leads = durable(digest.groupBy("digest", "size").agg(F.min("doc_id").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    leads = F.broadcast(leads) if leads.count() <= MOST_BROADCAST_ROWS else leads
-    copies = durable(digest.join(leads, ["digest", "size"]).where("doc_id > lead").select("doc_id", "mark").distinct())
+    copies = durable(digest.join(small(leads, 150), ["digest", "size"]).where("doc_id > lead").select("doc_id", "mark").distinct())
 
     found = durable(recurring_anchors(text, bits))
     hot = found.where("hot is not null").orderBy(F.desc("times"), "hot").limit(MOST_HOT).select("hot").toArrow().column(0).to_numpy()
@@ -319,7 +316,9 @@ def removals(docs: DataFrame) -> DataFrame:
     contexts = some.mapInArrow(_contexts(shards, hot), _CONTEXTS_SQL)
     gone = contexts.groupBy("shard").applyInArrow(_locate, "doc_id long, mark long, at binary")
     gone = gone.groupBy("doc_id", "mark").agg(F.collect_list("at").alias("at")).withColumn("whole", F.lit(False))
-    return durable(gone.unionByName(copies.select("doc_id", "mark", F.expr("cast(null as array<binary>)").alias("at"), F.lit(True).alias("whole"))))
+    out = durable(gone.unionByName(copies.select("doc_id", "mark", F.expr("cast(null as array<binary>)").alias("at"), F.lit(True).alias("whole"))))
+    discard(leads, copies, found, anchors)
+    return out
 
 
 def _joined(docs: DataFrame, function, schema: str) -> DataFrame:

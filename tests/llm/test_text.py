@@ -109,7 +109,9 @@ def test_language_accuracy_and_edges(spark):
     assert {r.lang_pred for r in language_id.languages(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
-def test_predictions_match_brute_force(spark):
+@pytest.mark.parametrize("cells", [language_id.MOST_CELLS, 50])
+def test_predictions_match_brute_force(cells, spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_CELLS", cells)
     rows = [r for r in brute.documents() if len(r[1] or "") < 2000]
     rows += [(30_000 + k, f"{a} number {k} of {a}", lang, None, 0) for k in range(40) for a, lang in ((("the cat sat", "en"), ("le chat assis", "fr"))[k % 2],)]
     clash = spark.createDataFrame(rows + [rows[0]], brute.SCHEMA).withColumns({c: F.lit("clash") for c in ("lang_pred", "bits_per_byte", "held_out")})

@@ -58,11 +58,15 @@ def with_keys(lines: DataFrame, edits: int) -> DataFrame:
     """
     parts = edits + 1
     listed = ", ".join(f"named_struct('short', {a}, 'k', {k}, 'shift', {x})" for a, k, x in probes(edits))
-    rows = lines.select("line", "text", F.length("text").alias("size"), F.explode(F.expr(f"array({listed})")).alias("p"))
+    # Exploding one element keeps the optimizer from working the length out anew wherever it is used.
+    sized = lines.select("line", "text", F.explode(F.array(F.length("text"))).alias("size"))
+    rows = sized.select("line", "text", "size", F.explode(F.expr(f"array({listed})")).alias("p"))
     rows = rows.withColumn("m", F.expr("size - p.short")).withColumn("each", F.expr(f"cast(m div {parts} as int)")).withColumn("longer", F.expr(f"m % {parts}"))
     rows = rows.withColumn("start", F.expr(f"p.k * each + greatest(p.k - {parts} + longer, 0) + p.shift")).withColumn("many", F.expr(f"each + if(p.k >= {parts} - longer, 1, 0)"))
     rows = rows.where("start >= 0 and start + many <= size and each > 0")
-    return rows.select(F.expr("xxhash64(m, p.k, substring(text, start + 1, many))").alias("key"), F.expr("line | if(p.short = 0 and p.shift = 0, 1L, 0L)").alias("tagged"))
+    # Where code points are bytes, the substring is found without counting; its hash is the same.
+    part = "if(octet_length(text) = size, xxhash64(m, p.k, substring(cast(text as binary), start + 1, many)), xxhash64(m, p.k, substring(text, start + 1, many)))"
+    return rows.select(F.expr(part).alias("key"), F.expr("line | if(p.short = 0 and p.shift = 0, 1L, 0L)").alias("tagged"))
 
 
 def distance_sql(a: str, b: str, edits: int) -> str:

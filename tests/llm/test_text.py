@@ -311,3 +311,27 @@ def test_pipeline(spark, tmp_path):
     again = corpus_pipeline.run(spark, DATA)
     order = sorted(docs.columns)
     assert sorted(map(tuple, again.select(order).collect())) == sorted(map(tuple, docs.select(order).collect()))
+
+
+def test_pipeline_on_odd_rows_and_empty_tables(spark, tmp_path):
+    """Repeated and null ids, null columns, clashing names: every stage keeps the columns and what its operator says."""
+    near = " ".join(f"word{k} of the text" for k in range(40))
+    rows = [r for r in brute.documents() if r[1] is None or len(r[1]) < 5000]
+    rows += [(30_001, near, "en", "s", 0), (30_002, near + " tail", "en", "s", 0), (30_002, "another text under the same number", None, None, 0)]
+    rows += [(30_003, "twice the same row", "en", "s", 0)] * 2 + [(None, "a text without a number", None, None, None)]
+    names = ("mark", "key", "gone", "at", "whole", "comp", "salt", "sha", "queue", "lang_pred", "kept")
+    docs = spark.createDataFrame(rows, brute.SCHEMA).withColumns({c: F.concat(F.lit("own "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in names})
+    columns, empty = docs.columns, docs.limit(0)
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        docs, empty = stage(spark, docs, DATA), stage(spark, empty, DATA)
+        docs.write.parquet(str(tmp_path / str(k)))
+        docs = spark.read.parquet(str(tmp_path / str(k)))
+        assert empty.collect() == []
+        if k < 4:
+            kept = docs.collect()
+            assert docs.columns == empty.columns == columns
+            assert all(r[c] == f"own {'none' if r.doc_id is None else r.doc_id}" for r in kept for c in names)
+            texts = sorted(r.text for r in kept if r.doc_id in (30_001, 30_002, 30_003, None) and r.text)
+            left = ["a text without a number", "another text under the same number", "twice the same row", near]
+            assert texts == sorted(left + (["twice the same row"] if k < 1 else []) + ([near + " tail"] if k < 2 else [])), name
+    assert {r.doc_id for r in docs.collect()} == {r.doc_id for r in kept}

@@ -27,7 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
     Without that setting, it is in the warehouse if Spark runs in this process alone; on a cluster that is an error.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not folder:
         if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
+from .textscan import slices
 
 _LIBC = ctypes.CDLL("libc.so.6") if sys.platform == "linux" and ctypes.util.find_library("c") else None
 
@@ -84,15 +85,14 @@ def tidy() -> None:
         _LIBC.malloc_trim(0)
 
 
-def batches(function: Callable[[pa.RecordBatch], Iterator[dict] | dict | None], schema: pa.Schema):
-    """A mapInArrow function from one that turns a batch into column dictionaries."""
+def batches(function: Callable[[pa.RecordBatch], dict], schema: pa.Schema, text: int, most_bytes: int = 4 << 20):
+    """A mapInArrow function from one that turns rows into columns; it gets so many bytes of the text column at a time."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            if batch.num_rows:
-                out = function(batch)
-                for columns in [out] if isinstance(out, dict) else out or ():
-                    yield record(columns, schema)
+            for a, b in slices(batch.column(text), most_bytes):
+                yield record(function(batch.slice(a, b - a)), schema)
+                tidy()
 
     return run
 
@@ -151,6 +151,11 @@ def bloom_has(field: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def fits(table: DataFrame, most: int = 4 << 20) -> bool:
+    """Whether a durable table's files are small enough to broadcast it; they aren't compressed."""
+    return input_bytes(table) <= most
+
+
 def only_keys(df: DataFrame, column: str, field: np.ndarray | None) -> DataFrame:
     """Rows of df that the filter may hold; the caller's join settles which."""
     return df if field is None else _filtered(df, column, field, True)
@@ -162,21 +167,21 @@ def split_by_keys(df: DataFrame, column: str, field: np.ndarray | None) -> tuple
 
 
 def _filtered(df: DataFrame, column: str, field: np.ndarray, wanted: bool) -> DataFrame:
-    """Null keys count as held."""
     shared = df.sparkSession.sparkContext.broadcast(field)
-
-    def keep(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            ids = batch.column(batch.schema.get_field_index(column))
-            mask = bloom_has(shared.value, ids.fill_null(0).to_numpy(zero_copy_only=False))
-            if ids.null_count:
-                mask |= ids.is_null().to_numpy(zero_copy_only=False)
-            mask = mask == wanted
-            if mask.any():
-                yield batch.filter(pa.array(mask))
-            tidy()
-
-    return df.mapInArrow(keep, df.schema)
+    return df.mapInArrow(lambda stream: held_rows(stream, column, shared.value, wanted), df.schema)
+
+
+def held_rows(stream: Iterator[pa.RecordBatch], column: str, field: np.ndarray, wanted: bool) -> Iterator[pa.RecordBatch]:
+    """The rows whose key the filter may hold, or those whose key it surely doesn't hold; null keys count as held."""
+    for batch in stream:
+        ids = batch.column(batch.schema.get_field_index(column))
+        mask = bloom_has(field, ids.fill_null(0).to_numpy(zero_copy_only=False))
+        if ids.null_count:
+            mask |= ids.is_null().to_numpy(zero_copy_only=False)
+        mask = mask == wanted
+        if mask.any():
+            yield batch.filter(pa.array(mask))
+        tidy()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -179,7 +179,7 @@ def _salted(docs: DataFrame) -> DataFrame:
 
 def exact_classes(docs: DataFrame) -> DataFrame:
     """(digest, salt, keep_id, same, group_size): a row for each distinct normalised text and salt; same: rows that have keep_id."""
-    parts = _salted(docs).mapInArrow(batches(_parts, _PARTS), _PARTS_SQL)
+    parts = _salted(docs).mapInArrow(batches(_parts, _PARTS, 1), _PARTS_SQL)
     owned = parts.repartition("size", "mark").sortWithinPartitions("bytes").select("bytes", "digest", "salt", "doc_id", "same", "n")
     return owned.mapInArrow(_owners, "digest binary, salt long, keep_id long, same long, group_size long")
 
@@ -187,7 +187,7 @@ def exact_classes(docs: DataFrame) -> DataFrame:
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: one row per document."""
     classes = durable(exact_classes(docs))
-    digests = _salted(docs).mapInArrow(batches(_digests, _DIGESTS), "doc_id long, salt long, digest binary")
+    digests = _salted(docs).mapInArrow(batches(_digests, _DIGESTS, 1), "doc_id long, salt long, digest binary")
     joined = digests.join(classes, ["digest", "salt"]).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
     if not classes.where("same > 1").isEmpty():  # rows that repeat the doc_id and text that stay
         alike = Window.partitionBy("doc_id", "digest").orderBy(F.lit(1))

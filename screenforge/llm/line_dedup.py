@@ -126,7 +126,7 @@ def _pairs(met: DataFrame) -> DataFrame:
 
 
 def _stars(entries: DataFrame, edits: int, around: int, leaders: int) -> DataFrame:
-    """(a, b): lines of each key with its leaders of other components; around: the round."""
+    """(a, b): lines of each key with its leaders of other components; around: the round.  A durable table."""
 
     def priority(k: int) -> Column:
         often = F.least(F.col("n"), F.lit((1 << 20) - 1)) if around == k == 0 else F.lit(0)
@@ -135,9 +135,13 @@ def _stars(entries: DataFrame, edits: int, around: int, leaders: int) -> DataFra
     names = [f"p{k}" for k in range(leaders)]
     ranked = entries.withColumns({f"p{k}": F.when(F.col("own"), priority(k)) for k in range(leaders)})
     several = ranked.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *[F.min(p).alias(f"least_{p}") for p in names])
-    here = ranked.join(several.where("low <> high and least_p0 is not null"), "key")
-    first = here.where(" or ".join(f"{p} = least_{p}" for p in names)).select("key", F.struct(*_ENTRY).alias("y"))
-    return _pairs(here.select("key", F.struct(*_ENTRY).alias("x")).join(first, "key").where(_differ("x", "y", edits)))
+    # Written tables on both sides of a join let Spark split a key that very many lines share.
+    several = durable(several.where("low <> high and least_p0 is not null"))
+    here = durable(ranked.join(several, "key"))
+    first = durable(here.where(" or ".join(f"{p} = least_{p}" for p in names)).select("key", F.struct(*_ENTRY).alias("y")))
+    out = durable(_pairs(here.select("key", F.struct(*_ENTRY).alias("x")).join(first, "key").where(_differ("x", "y", edits))))
+    discard(several, here, first)
+    return out
 
 
 def _rest(entries: DataFrame, edits: int) -> DataFrame:
@@ -188,7 +192,7 @@ def classes(docs: DataFrame, counts: DataFrame, edits: int, least: int) -> DataF
     near = found = None
     done = [texts]
     for around, leaders in enumerate((*LEADERS, 0)):
-        pairs = durable(_stars(entries, edits, around, leaders)) if leaders else _rest(entries, edits)
+        pairs = _stars(entries, edits, around, leaders) if leaders else _rest(entries, edits)
         links = durable(verified(texts, pairs, edits))
         near = links if near is None else near.union(links)
         last, found = found, components(near)

@@ -45,7 +45,9 @@ SUFFIX_PARTS = 512
 _WORDS = SUFFIX_PARTS // 32  # 64-bit words of two bits a partition
 #: Members of each list that all others are compared with, by round.
 LEADERS = (2, 3)
-_FLUSH = 500_000
+#: A list with more entries is cut into parts of about so many, each with leaders of its own.
+MOST_ENTRIES = 100_000
+_FLUSH = 300_000
 
 _FREQ = pa.schema([("bucket", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary())])
 _PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("d", pa.binary()), ("ids", pa.list_(pa.int64()))])
@@ -265,7 +267,23 @@ def _stars(entries: DataFrame, percent: int, around: int, leaders: int) -> DataF
     """(a, b): sets of each list (h, key, n, pos, comp) with its leaders of other components; around: the round.
 
     A list comes in one piece, its leaders first, and passes by row after row: nothing of it is held but the leaders.
+    Long lists are cut into parts by hashes of their sets; the first leaders of the parts make up a list in turn.
     """
+    entries = entries.select("h", "key", "n", "pos", "comp")
+    first = [F.col("pos").cast("long") if around == 0 else F.lit(0).cast("long"), F.xxhash64("key", F.lit(around)), F.col("key")]
+    long = durable(entries.groupBy("h").agg(F.ceil(F.count("*") / MOST_ENTRIES).alias("parts")).where("parts > 1"))
+    if long.isEmpty():
+        discard(long)
+        return _around_leaders(entries, first, percent, leaders).distinct()
+    cut = entries.join(small(long, 64), "h", "left").withColumn("part", F.pmod(F.xxhash64("key", F.lit(-1 - around)), F.coalesce("parts", F.lit(1))))
+    tops = cut.where("parts is not null").groupBy("h", "part").agg(F.min(F.struct(*[x.alias(f"o{k}") for k, x in enumerate(first)], "n", "pos", "comp")).alias("t"))
+    tops = durable(tops.select("h", F.col("t.o2").alias("key"), "t.n", "t.pos", "t.comp"))
+    pairs = _around_leaders(cut.withColumn("h", F.when(F.col("parts").isNull(), F.col("h")).otherwise(F.xxhash64("h", "part"))), first, percent, leaders)
+    return pairs.union(_stars(tops, percent, around, leaders)).distinct()
+
+
+def _around_leaders(entries: DataFrame, first: list, percent: int, leaders: int) -> DataFrame:
+    """Pairs of the entries of each list with its leaders, which come first in the given order; some repeat."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, np.int64)] * 5
@@ -295,9 +313,8 @@ def _stars(entries: DataFrame, percent: int, around: int, leaders: int) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIRS)
             tidy()
 
-    first = ["pos"] if around == 0 else []
-    dealt = entries.select("h", "key", "n", "pos", "comp").repartition("h").sortWithinPartitions("h", *first, F.xxhash64("key", F.lit(around)), "key")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    dealt = entries.select("h", "key", "n", "pos", "comp").repartition("h").sortWithinPartitions("h", *first)
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def _mixed(entries: DataFrame, groups: DataFrame) -> DataFrame:
@@ -353,7 +370,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
         other = wanted.select(F.col("doc_id").alias("other_id"), F.col("mark").alias("other_mark"), "key")
         some = texts.join(F.broadcast(other), F.expr("doc_id = other_id and (mark ^ other_mark) = 0"))
     else:
-        some = only_keys(texts, "doc_id", bloom(wanted, "doc_id")).join(wanted, ["doc_id", "mark"])
+        some = only_keys(texts, "doc_id", bloom(wanted, "doc_id")).join(wanted.hint("merge"), ["doc_id", "mark"])
     return durable(some.select("key", "text").mapInArrow(sets, "key long, hashes binary").dropDuplicates(["key"]))
 
 
@@ -376,7 +393,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def linked(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, mark, n and first: the (doc_id, mark) that comes first in the row's component; one row per document."""
-    bits = bucket_bits(docs, 16 << 20)
+    bits = bucket_bits(docs, 6 << 20)
     rows = durable(prefix_rows(docs, n, percent, bits))
     every = rows.where(F.col("kind") == _DOCUMENT).select("doc_id", "mark", "key", "n")
     able = F.expr("n > 0 and doc_id is not null")

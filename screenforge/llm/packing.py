@@ -38,23 +38,12 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", p
 _PIECES_SQL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-_caches: dict[str, ChunkCache] = {}
-
-
-def _cache(path: str) -> ChunkCache:
-    """A cache of encoded chunks over a tokenizer, which a Python worker reads once."""
-    if path not in _caches:
-        _caches.clear()
-        _caches[path] = ChunkCache(huggingface_encoder(path))
-    return _caches[path]
-
-
 def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """Every document's ids, its block (task) and the tokens of its queue before it in that block."""
     queue = F.col("source").cast("string")
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, before, block = _cache(tokenizer_path), {}, TaskContext.get().partitionId()
+        cache, before, block = ChunkCache(huggingface_encoder(tokenizer_path)), {}, TaskContext.get().partitionId()
         for batch in stream:
             ids, names, texts = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
             for a, values, first in encoded(texts, cache, plain_parts):
@@ -71,7 +60,10 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
                     out["ids"].append((mine if mine.max() > 65535 else mine.astype("<u2")).tobytes())
                     before[name] = before.get(name, 0) + len(mine)
                 yield record(out, _TOKENS)
+                del out, values
                 tidy()
+        del cache
+        tidy()
 
     rows = whole_text(docs.select("doc_id", queue.alias("queue"), "text"))
     return rows.mapInArrow(run, "doc_id long, queue string, block long, before long, doc_tokens long, ids binary")

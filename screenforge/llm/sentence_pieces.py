@@ -402,24 +402,12 @@ def encoded_column(texts: pa.Array, cache: ChunkCache) -> Iterator[tuple[int, np
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("ids_crc32", pa.int64()), ("decoded_sha256", pa.string()), ("same", pa.bool_()), ("ids", pa.list_(pa.int32()))])
 
 
-_models: dict[str, ChunkCache] = {}
-
-
-def _model(path: str) -> ChunkCache:
-    """A cache of encoded chunks over a model, which a Python worker reads once."""
-    if path not in _models:
-        model = Pieces(path)
-        _models.clear()
-        _models[path] = ChunkCache(model.packed, model)
-    return _models[path]
-
-
 def pieces(docs: DataFrame, model_path: str, with_ids: bool = True) -> DataFrame:
     """doc_id, n_pieces, ids_crc32 (little-endian unsigned 32-bit), decoded_sha256, same (decoding gives the text back), ids."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _model(model_path)
-        model = cache.model
+        model = Pieces(model_path)
+        cache = ChunkCache(model.packed)
         for batch in stream:
             for a, values, first in encoded_column(batch.column(1), cache):
                 out: dict[str, list] = {f.name: [] for f in _OUT}
@@ -434,6 +422,8 @@ def pieces(docs: DataFrame, model_path: str, with_ids: bool = True) -> DataFrame
                     out["ids"].append(ids.astype(np.int32) if with_ids else None)
                 yield record(out, _OUT)
             tidy()
+        del model, cache
+        tidy()
 
     rows = whole_text(docs.select("doc_id", "text"))
     return rows.mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, decoded_sha256 string, same boolean, ids array<int>")

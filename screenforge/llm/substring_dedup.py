@@ -35,13 +35,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom, bucket_bits, discard, durable, fresh, only_keys, record, small, split_by_keys, tidy, whole_text
+from .common import bloom, bucket_bits, discard, durable, fits, fresh, held_rows, only_keys, record, small, tidy, whole_text
 from .textscan import column_bytes, distinct_spans, gram_hashes, slices, word_hashes, word_spans
 
 WINDOW = 20
 PHRASE = 8
 _REACH = WINDOW - PHRASE + 1  # phrases in a window
-_FLUSH = 500_000
+_FLUSH = 300_000
 #: An anchor with so many occurrences may be among the most frequent; so many are held by the driver and each worker.
 HOT_FROM, MOST_HOT = 1000, 1 << 16
 
@@ -300,7 +300,7 @@ def _covered(size: int, blobs: list[bytes] | None, whole: bool | None) -> np.nda
 
 def removals(docs: DataFrame) -> DataFrame:
     """doc_id, mark (of the text), at (lists of packed window starts), whole (all windows): documents of which something is removed."""
-    bits = bucket_bits(docs, 16 << 20)
+    bits = bucket_bits(docs, 6 << 20)
     shards = 1 << bucket_bits(docs, 2 << 20, most=26)
     text = whole_text(docs.select("doc_id", "text")).where("doc_id is not null").withColumn("mark", F.xxhash64("text"))
     digest = text.select("doc_id", "mark", F.md5("text").alias("digest"), F.length("text").alias("size"))
@@ -312,7 +312,9 @@ def removals(docs: DataFrame) -> DataFrame:
     hot = docs.sparkSession.sparkContext.broadcast(np.sort(hot.astype(np.int64).view(np.uint64)))
     anchors = found.where("doc_id is not null").join(copies, ["doc_id", "mark"], "left_anti")
     anchors = durable(anchors.groupBy("doc_id", "mark").agg(F.collect_list("at").alias("at")))
-    some = only_keys(text, "doc_id", bloom(anchors, "doc_id")).join(anchors, ["doc_id", "mark"]).select("doc_id", "text", "mark", "at")
+    # A join with a shuffle parts the filter's Python workers from those of the next step; else an executor holds twice as many.
+    some = text.join(F.broadcast(anchors), ["doc_id", "mark"]) if fits(anchors) else only_keys(text, "doc_id", bloom(anchors, "doc_id")).join(anchors.hint("merge"), ["doc_id", "mark"])
+    some = some.select("doc_id", "text", "mark", "at")
     contexts = some.mapInArrow(_contexts(shards, hot), _CONTEXTS_SQL)
     gone = contexts.groupBy("shard").applyInArrow(_locate, "doc_id long, mark long, at binary")
     gone = gone.groupBy("doc_id", "mark").agg(F.collect_list("at").alias("at")).withColumn("whole", F.lit(False))
@@ -324,13 +326,30 @@ def removals(docs: DataFrame) -> DataFrame:
 def _joined(docs: DataFrame, function, schema: str) -> DataFrame:
     """function over docs with the removals of each document as its last two columns."""
     mark, at, whole = (fresh(docs, x) for x in ("mark", "at", "whole"))
-    gone = removals(docs).select("doc_id", F.col("mark").alias(mark), F.col("at").alias(at), F.col("whole").alias(whole))
-    maybe, sure = split_by_keys(docs, "doc_id", bloom(gone, "doc_id"))
-    maybe = maybe.withColumn(mark, F.xxhash64("text")).join(gone, ["doc_id", mark], "left")
-    out = maybe.select(*docs.columns, at, whole).mapInArrow(function, schema)
-    if sure is None:
+    gone = removals(docs)
+    few, field = fits(gone), None
+    if not few:
+        field = bloom(gone, "doc_id")
+    gone = gone.select("doc_id", F.col("mark").alias(mark), F.col("at").alias(at), F.col("whole").alias(whole))
+    maybe = only_keys(docs, "doc_id", field).withColumn(mark, F.xxhash64("text"))
+    joined = maybe.join(F.broadcast(gone) if few else gone.hint("merge"), ["doc_id", mark], "left")
+    out = joined.select(*docs.columns, at, whole).mapInArrow(function, schema)
+    if field is None:
         return out
-    return out.union(sure.withColumns({at: F.expr("cast(null as array<binary>)"), whole: F.lit(False)}).mapInArrow(function, schema))
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+
+    def untouched(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """function over rows that surely lose nothing."""
+
+        def marked() -> Iterator[pa.RecordBatch]:
+            for batch in held_rows(stream, "doc_id", shared.value, False):
+                n = batch.num_rows
+                names = [*batch.schema.names, at, whole]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(n, pa.list_(pa.binary())), pa.array(np.zeros(n, bool))], names=names)
+
+        return function(marked())
+
+    return out.union(docs.mapInArrow(untouched, schema))
 
 
 def repeated_words(docs: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from .textscan import column_bytes, distinct_spans, slices, word_spans
 
 #: Entries of the younger and of the older half of a cache.
-_CACHE_MOST = 150_000
+_CACHE_MOST = 100_000
 
 
 class ChunkCache:
@@ -26,8 +26,8 @@ class ChunkCache:
     What is kept is bounded: when the younger half is full, it takes the older one's place; what is used again lives on.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], model=None) -> None:
-        self.encode, self.young, self.old, self.model = encode, {}, {}, model
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]]) -> None:
+        self.encode, self.young, self.old = encode, {}, {}
 
     def values(self, chunks: list[bytes]) -> list[bytes]:
         """The ids of different chunks."""

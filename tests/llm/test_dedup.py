@@ -101,6 +101,15 @@ def test_words_of_two_letters_are_told_apart(spark):
     assert {r.n_removed for r in substring_dedup.repeated_words(df).collect()} == {0}
 
 
+def test_large_tables_of_removals_are_joined(docs, rows, monkeypatch):
+    """The way beyond the broadcast: documents that surely lose nothing pass by, the others meet their removals in a shuffle."""
+    monkeypatch.setattr(substring_dedup, "fits", lambda table: False)
+    want = brute.repeats(rows)
+    assert by_id(substring_dedup.repeated_words(docs), "n_words", "n_removed", "kept_sha256") == want
+    got = {r.doc_id: brute.sha(" ".join(brute.WORD.findall(r.text))) for r in substring_dedup.drop_repeats(docs).collect()}
+    assert got == {i: x[2] for i, x in want.items() if x[1] < x[0] or x[0] == 0}
+
+
 def test_frequent_anchors_go_by_window(spark, docs, rows, monkeypatch):
     """Windows of the most frequent anchors are dealt by their own words, with the same result."""
     emit = substring_dedup.recurring_anchors
@@ -156,6 +165,11 @@ def test_large_near_copy_groups(seed, spark):
     assert by_id(ngram_join.similar(df), "n_shingles", "component_id") == brute.similar(rows)
 
 
+def test_long_lists_are_cut(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(ngram_join, "MOST_ENTRIES", 4)
+    assert by_id(ngram_join.similar(docs), "n_shingles", "component_id") == brute.similar(rows)
+
+
 @pytest.mark.parametrize("edits", [1, 2, 3])
 def test_banded_distance(edits, spark):
     r = random.Random(edits)

@@ -107,7 +107,10 @@ def same_spans(raw: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray)
 
 def distinct_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first, number): a span of each content, and for every span the place of its content there; bytes decide, not hashes."""
-    _, first, number = np.unique(span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+    found = pa.array(span_hashes(raw, starts, ends)).dictionary_encode()
+    number = found.indices.to_numpy().astype(np.int64)
+    first = np.zeros(len(found.dictionary), np.int64)
+    first[number[::-1]] = np.arange(len(number) - 1, -1, -1)
     size, lead = ends - starts, first[number]
     wrong = np.flatnonzero((size != size[lead]) | ~same_spans(raw, starts, starts[lead], np.minimum(size, size[lead])))
     if len(wrong):

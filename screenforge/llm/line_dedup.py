@@ -135,13 +135,9 @@ def _stars(entries: DataFrame, edits: int, around: int, leaders: int) -> DataFra
     names = [f"p{k}" for k in range(leaders)]
     ranked = entries.withColumns({f"p{k}": F.when(F.col("own"), priority(k)) for k in range(leaders)})
     several = ranked.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *[F.min(p).alias(f"least_{p}") for p in names])
-    # Written tables on both sides of a join let Spark split a key that very many lines share.
-    several = durable(several.where("low <> high and least_p0 is not null"))
-    here = durable(ranked.join(several, "key"))
-    first = durable(here.where(" or ".join(f"{p} = least_{p}" for p in names)).select("key", F.struct(*_ENTRY).alias("y")))
-    out = durable(_pairs(here.select("key", F.struct(*_ENTRY).alias("x")).join(first, "key").where(_differ("x", "y", edits))))
-    discard(several, here, first)
-    return out
+    here = ranked.join(several.where("low <> high and least_p0 is not null"), "key")
+    first = here.where(" or ".join(f"{p} = least_{p}" for p in names)).select("key", F.struct(*_ENTRY).alias("y"))
+    return durable(_pairs(here.select("key", F.struct(*_ENTRY).alias("x")).join(first, "key").where(_differ("x", "y", edits))))
 
 
 def _rest(entries: DataFrame, edits: int) -> DataFrame:

@@ -30,6 +30,8 @@ from .tokens import ChunkCache, encoded, huggingface_encoder, plain_parts
 
 #: Tokens that are placed at a time, and cells (windows by queues) that are summed at a time.
 MOST_TOKENS, MOST_CELLS = 500_000, 1 << 20
+#: Bytes of text that are encoded at a time.
+MOST_TEXT = 1 << 19
 #: The table of queue starts by block is broadcast up to so many bytes, and joined beyond.
 MOST_BROADCAST = 8 << 20
 
@@ -46,7 +48,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         cache, before, block = ChunkCache(huggingface_encoder(tokenizer_path)), {}, TaskContext.get().partitionId()
         for batch in stream:
             ids, names, texts = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
-            for a, values, first in encoded(texts, cache, plain_parts):
+            for a, values, first in encoded(texts, cache, plain_parts, MOST_TEXT):
                 out: dict[str, list] = {f.name: [] for f in _TOKENS}
                 values = values.astype("<u4")
                 for k in range(len(first) - 1):

@@ -50,12 +50,13 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return raw, *word_spans(raw, offsets)
 
 
-def encoded(column: pa.Array, cache: ChunkCache, spans=words) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def encoded(column: pa.Array, cache: ChunkCache, spans=words, most_bytes: int = 4 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For slices of the column: (row of its start, values of all chunks in order, per row the index of its first value).
 
     spans: cuts the bytes of rows into chunks; the bytes may be changed where that changes no chunk's ids.
+    most_bytes: of a slice (one row at least); beside its result, some fifty times that is held meanwhile.
     """
-    for a, b in slices(column, 4 << 20):
+    for a, b in slices(column, most_bytes):
         raw, starts, ends, first = spans(*column_bytes(column.slice(a, b - a)))
         if not len(starts):
             yield a, np.zeros(0, np.int64), np.zeros(b - a + 1, np.int64)

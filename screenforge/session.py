@@ -55,6 +55,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
 
 
+def small_batches(df: DataFrame, most_bytes: int = 4 << 20) -> DataFrame:
+    """df; from now on its session passes rows to Python workers in batches of at most about so many bytes (one row at least).
+
+    By Spark's own limits a batch of texts takes up to 64 MB, beside the heap and again in the worker.  A lower limit stays.
+    """
+    spark, name = df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > most_bytes:
+        spark.conf.set(name, str(most_bytes))
+    return df
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Of keys that repeat within a JSON object the last counts."""
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")

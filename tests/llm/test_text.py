@@ -6,10 +6,12 @@ import random
 import zlib
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from screenforge.llm import html_extract, language_id, order_minhash, queries
+from screenforge.session import isolated
 
 from ..conftest import DATA, rows_of
 from . import brute
@@ -335,3 +337,18 @@ def test_pipeline_on_odd_rows_and_empty_tables(spark, tmp_path):
             left = ["a text without a number", "another text under the same number", "twice the same row", near]
             assert texts == sorted(left + (["twice the same row"] if k < 1 else []) + ([near + " tail"] if k < 2 else [])), name
     assert {r.doc_id for r in docs.collect()} == {r.doc_id for r in kept}
+
+
+def test_pipeline_passes_long_texts_in_small_batches(spark):
+    """Texts of 40 MB in all: no stage hands a worker a batch of more than some megabytes; a lower limit of the session stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    sizes = lambda stream: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in stream)
+    for _, stage in corpus_pipeline.STAGES:
+        own = isolated(spark)
+        docs = own.range(0, 40, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('ab c', 1 << 18)").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1 << 20).alias("n_chars"))
+        stage(own, docs.limit(0), DATA)
+        found = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+        assert sum(found) >= 40 << 20 and max(found) <= 8 << 20
+        own.conf.set(name, "1m")
+        stage(own, docs.limit(0), DATA)
+        assert own.conf.get(name) == "1m"

@@ -31,7 +31,7 @@ from .tokens import ChunkCache, encoded, huggingface_encoder, plain_parts
 #: Tokens that are placed at a time, and cells (windows by queues) that are summed at a time.
 MOST_TOKENS, MOST_CELLS = 500_000, 1 << 20
 #: Bytes of text that are encoded at a time.
-MOST_TEXT = 1 << 19
+MOST_TEXT = 1 << 20
 #: The table of queue starts by block is broadcast up to so many bytes, and joined beyond.
 MOST_BROADCAST = 8 << 20
 
@@ -63,7 +63,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
                     before[name] = before.get(name, 0) + len(mine)
                 yield record(out, _TOKENS)
                 del out, values
-                tidy()
+            tidy()
         del cache
         tidy()
 
